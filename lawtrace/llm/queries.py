@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawtrace.llm import chat, mixing, packing, storage, token_counts, token_files
+from lawtrace.llm import chat, mixing, neighbours, packing, quality_classifier, quality_rules, storage, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,22 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("uses", F.lit(0))["position"], 6).alias("first_position"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    found = quality_classifier.score(docs, model, threshold=0.3)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 with c as (select conv_id, turn, role, text from conversations
     union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -87,7 +103,10 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_token_counts": op6_token_counts,
     "op8_mixing": op8_mixing,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op8_mixing": OP8_SQL}
