@@ -40,7 +40,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], cap: float, n_sha
 
     All sizes are shared by weight; targets stop at ``cap`` times their source's size and the excess is reshared.
     With sources in ascending order of cap / weight, the first k stop and the others get level * weight, where k is the
-    first for which the level does not reach the next source's stop. Sources go in code-point order, null last.
+    first for which the level does not reach the next source's stop; levels only fall after it, so it has the highest. Sources go in code-point order, null last.
     """
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     listed = "array(" + ", ".join(f"{w}D" for w in weights) + ")"
@@ -48,17 +48,17 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], cap: float, n_sha
     level = ranked.selectExpr("*", f"{cap}D * source_size as stop", f"{cap}D * source_size / weight as ratio")
     order = "(order by ratio, source asc nulls last rows between unbounded preceding and 1 preceding)"
     run = level.selectExpr("*", "sum(source_size) over () as everything", f"coalesce(sum(stop) over {order}, 0D) as stopped", f"sum(weight) over () - coalesce(sum(weight) over {order}, 0D) as open")
-    found = run.selectExpr("*", "(everything - stopped) / open as level").selectExpr("*", "min(case when level <= ratio then level end) over () as water")
-    return found.selectExpr("source", "source_size", "shape", "least(stop, coalesce(water, 0D) * weight) as target")
+    found = run.selectExpr("*", "(everything - stopped) / open as level").selectExpr("*", "max(case when level <= ratio then level end) over () as water")
+    return found.selectExpr("source", "source_size", "shape", "least(stop, coalesce(water * weight, stop)) as target")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0, shapes=SHAPES, seed: int = 7, rows_per_bucket: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0, shapes=SHAPES, seed: int = 7, rows_per_bucket: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row of ``docs``: id, size in words, source_size, target, taken and ``uses``.
 
     ``uses`` is an array of (pass, words, position): in pass p the mix takes the first ``words`` words of the document
     at that training position. The stream of a source, its documents in the order of md5(seed:id) repeated pass after
     pass, is cut at the whole part of its target, so taken words equal it exactly and no document is used more than
-    ``ceil(cap)`` times. keep: further columns of ``docs`` to carry along.
+    ``ceil(cap)`` times. No text moves; ``text_key`` is its hash.
 
     Word offsets inside a source come from sums of hash buckets (as many as give ``rows_per_bucket`` rows each) and a
     window inside each bucket: no task orders a whole source. Null texts have no words and are never taken; a null
@@ -67,14 +67,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
     from math import ceil, log
 
     spark = docs.sparkSession
-    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).alias("key"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"), *[F.col(c).alias(f"kept_{c}") for c in keep])
+    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).alias("key"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
     sized, _ = written(sized, "sized")
     digits = max(1, ceil(log(max(sized.count() / rows_per_bucket, 1), 16)) + 1)
     targets, _ = written(source_targets(sized, weights, cap, len(shapes)), "targets")
 
     bucketed = sized.withColumn("bucket", F.expr(f"substring(key, 1, {digits})"))
     before = bucketed.groupBy("source", "bucket").agg(F.sum("size").alias("n")).selectExpr("source as b_source", "bucket as b_bucket", "coalesce(sum(n) over (partition by source order by bucket rows between unbounded preceding and 1 preceding), 0) as earlier")
-    inside = bucketed.selectExpr("*", "coalesce(sum(size) over (partition by source, bucket order by key, doc_id, tie rows between unbounded preceding and 1 preceding), 0) as own")
+    inside = bucketed.selectExpr("*", "coalesce(sum(size) over (partition by source, bucket order by key, doc_id, text_key rows between unbounded preceding and 1 preceding), 0) as own")
     placed = inside.join(before, F.expr("source <=> b_source and bucket = b_bucket")).withColumn("at", F.expr("own + earlier"))
     placed = placed.join(F.broadcast(targets.withColumnRenamed("source", "t_source")), F.expr("source <=> t_source"))  # one row for each source
 
@@ -88,9 +88,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
     solve = "case when s.w0 = s.w1 then y else (sqrt(s.w0 * s.w0 + (s.w1 - s.w0) * (s.w0 + s.w1) * y) - s.w0) / (s.w1 - s.w0) end"
     position = f"transform(array({segment}), s -> transform(array((u.share - s.d0) / (s.d1 - s.d0)), y -> s.t0 + (s.t1 - s.t0) * ({solve}))[0])[0]"
     uses = uses.withColumn("uses", F.expr(f"transform(raw, u -> named_struct('pass', u.pass, 'words', u.words, 'position', {position}))"))
-    return uses.selectExpr("doc_id", "size", "source", "source_size", "target", "coalesce(aggregate(uses, 0L, (a, u) -> a + u.words), 0L) as taken", "uses", *[f"kept_{c}" for c in keep])
+    return uses.selectExpr("doc_id", "size", "source", "source_size", "target", "coalesce(aggregate(uses, 0L, (a, u) -> a + u.words), 0L) as taken", "uses", "text_key")
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """One row for each use, range-sorted by training position; ties by id and pass."""
-    return mixed.withColumn("use", F.explode("uses")).repartitionByRange("use.position", "doc_id").sortWithinPartitions("use.position", "doc_id", "use.pass")
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` as the mix takes them, range-sorted by training position: a row for each use, its text cut to the words
+    used. Documents the mix never takes go. Rows equal in id and text share their uses and the columns of one of them.
+    """
+    uses = mix(docs, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias("use_id"), F.col("text_key").alias("use_key"), "size", F.explode("uses").alias("use"))
+    grouped = uses.groupBy("use_id", "use_key").agg(F.first("size").alias("size"), F.collect_list("use").alias("uses"))
+    grouped, _ = written(grouped.withColumn("use_id", F.coalesce("use_id", F.lit(-(1 << 63)))), "uses")
+    keyed = docs.withColumn("use_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("use_key", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = keyed.dropDuplicates(["use_id", "use_key"]).join(grouped, ["use_id", "use_key"]).withColumn("use", F.explode("uses"))
+    cut = F.when(F.col("use.words") >= F.col("size"), F.col(text_col)).otherwise(F.array_join(F.slice(F.split(text_col, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("use.words").cast("int")), ""))
+    ordered = joined.withColumn("cut_text", cut).repartitionByRange("use.position", "use_id").sortWithinPartitions("use.position", "use_id", "use.pass")
+    return ordered.select(*[F.col("cut_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])

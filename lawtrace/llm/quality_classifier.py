@@ -146,4 +146,4 @@ def score(docs: DataFrame, model: LatentVoter, threshold: float = 0.3, text_col:
     kept = docs.select(*[F.col(c) for c in keep])
     schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kept.schema)], "score double, predicted int"])
     rows = docs.select(F.col(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
-    return rows.mapInArrow(scored, schema).withColumnsRenamed({f"c{i}": c for i, c in enumerate(keep)})
+    return rows.mapInArrow(scored, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")

@@ -123,8 +123,8 @@ def references(docs: DataFrame, words: int = 60, longest: int = 6, least_words:
     return out
 
 
-def judged(docs: DataFrame, char_bound: tuple[float, float] = (0.15, 0.82), word_bound: tuple[float, float] = (0.25, 1.2), least_words: int = 30, longest: int = 6, words: int = 60, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",), rejected: bool = True) -> DataFrame:
-    """Columns ``keep`` of every row with ``VERDICT``; without the rejected rows if ``rejected`` is false.
+def judged(docs: DataFrame, char_bound: tuple[float, float] = (0.15, 0.82), word_bound: tuple[float, float] = (0.25, 1.2), least_words: int = 30, longest: int = 6, words: int = 60, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",), passing: bool = False) -> DataFrame:
+    """Columns ``keep`` of every row with ``VERDICT``; if ``passing``, only kept rows and only those columns.
 
     A bound (a, b) is ``a + b / sqrt(n_words)``. Two maps over the rows and one small aggregation between them. Null
     and empty texts have no words and fail the base rules; a null language is a language of its own; a language with no
@@ -153,10 +153,11 @@ def judged(docs: DataFrame, char_bound: tuple[float, float] = (0.15, 0.82), word
                 rows.append((n, chars, symbols, lines, again, failed, good, d_char, d_word))
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             out = pa.RecordBatch.from_arrays([*batch.columns[2:], *(pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9, types))], [*[f"c{i}" for i in range(batch.num_columns - 2)], *names])
-            yield out if rejected else out.filter(out.column(out.num_columns - 3))
+            yield out.filter(out.column(out.num_columns - 3)) if passing else out
 
     names = [x.split(" ")[0] for x in VERDICT.split(", ")]
     kept = [F.col(c) for c in keep]
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"), *[c.alias(f"c{i}") for i, c in enumerate(kept)])
     schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.select(*kept).schema)], VERDICT])
-    return rows.mapInArrow(judge, schema).withColumnsRenamed({f"c{i}": c for i, c in enumerate(keep)})
+    out = rows.mapInArrow(judge, schema)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *([] if passing else names))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawtrace.llm import chat, mixing, neighbours, packing, quality_classifier, quality_rules, storage, token_counts, token_files
+from lawtrace.llm import chat, line_dedup, minhash, mixing, neighbours, packing, quality_classifier, quality_rules, storage, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, 4096)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, sf_dir, "documents")).select("doc_id", "line", "class_doc", "class_line", "kept")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("uses", F.lit(0))["position"], 6).alias("first_position"))
@@ -82,8 +90,8 @@ ratios as (select *, stop / weight as ratio from level),
 run as (select *, (sum(source_size) over ())::double as everything,
         coalesce(sum(stop) over (order by ratio, source asc nulls last rows between unbounded preceding and 1 preceding), 0) as stopped,
         sum(weight) over () - coalesce(sum(weight) over (order by ratio, source asc nulls last rows between unbounded preceding and 1 preceding), 0) as open from ratios),
-water as (select *, min(case when (everything - stopped) / open <= ratio then (everything - stopped) / open end) over () as w from run),
-targets as (select source, source_size, shape, least(stop, coalesce(w, 0) * weight) as target from water),
+water as (select *, max(case when (everything - stopped) / open <= ratio then (everything - stopped) / open end) over () as w from run),
+targets as (select source, source_size, shape, least(stop, coalesce(w * weight, stop)) as target from water),
 placed as (select s.doc_id, s.size, t.source_size, t.target, t.shape,
         coalesce(sum(s.size) over (partition by s.source order by s.key, s.doc_id, s.tie rows between unbounded preceding and 1 preceding), 0)::bigint as place
     from sized s join targets t on s.source is not distinct from t.source),
@@ -104,7 +112,9 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,

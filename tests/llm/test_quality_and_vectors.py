@@ -87,7 +87,8 @@ def test_verdicts_of_odd_rows(spark):
     got = quality_rules.judged(table).collect()
     assert {r.doc_id: r.kept for r in got} == brute_verdicts([(i, t, lang) for i, t, lang, _ in rows])
     assert quality_rules.judged(table.limit(0)).count() == 0
-    kept = quality_rules.judged(table, rejected=False, keep=("doc_id", "text"))
+    kept = quality_rules.judged(table, passing=True, keep=("doc_id", "text", "kept"))
+    assert kept.columns == ["doc_id", "text", "kept"]
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.kept}
 
 
