@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from lawtrace.plans import motion  # noqa: F401
+from lawtrace.plans.catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    return motion.teleport_severity(spark, sf_dir)
