@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 from lawtrace.functions.vectors import clip, smoothstep
 
 KEY = ("clip_uid", "body_id")
-BY_FRAME = Window.partitionBy(*KEY).orderBy("frame")
-WHOLE = Window.partitionBy(*KEY)
+
+
+def by_frame():
+    return Window.partitionBy(*KEY).orderBy("frame")
+
+
+def whole():
+    return Window.partitionBy(*KEY)
+
 XYZ = "xyz"
 #: Strengths of every edit at its three severities.
 STRENGTHS = {
@@ -39,7 +46,7 @@ def draw(*key: Column, salt: str) -> Column:
 
 def at_frame(column: str, frame: Column) -> Column:
     """The body's own value at another frame."""
-    return F.max(F.when(F.col("frame") == frame, F.col(column))).over(WHOLE)
+    return F.max(F.when(F.col("frame") == frame, F.col(column))).over(whole())
 
 
 def changed(traj: DataFrame, when: Column, **columns: Column) -> DataFrame:
@@ -120,7 +127,7 @@ def retime(traj: DataFrame, who: Column, t0: Column, rate: float, frames: int =
 
     Its source position is a running sum of rates; the pose is interpolated between the frames around it."""
     speed = F.when(late(who, t0), 1 + (rate - 1) * F.least(F.lit(1.0), (F.col("frame") - t0 + 1) / frames)).otherwise(F.lit(1.0))
-    place = F.sum(F.when(F.col("frame") == 0, 0.0).otherwise(speed)).over(BY_FRAME.rowsBetween(Window.unboundedPreceding, 0))
+    place = F.sum(F.when(F.col("frame") == 0, 0.0).otherwise(speed)).over(by_frame().rowsBetween(Window.unboundedPreceding, 0))
     t = traj.withColumn("u", place).withColumn("lo", F.floor("u").cast("int")).withColumn("hi", F.ceil("u").cast("int"))
     at = traj.select(*KEY, F.col("frame").alias("f"), "px", "py", "pz")
     t = t.join(at.select(*KEY, F.col("f").alias("lo"), *[F.col(f"p{a}").alias(f"lo{a}") for a in XYZ]), [*KEY, "lo"], "left")
@@ -187,8 +194,8 @@ def invert(traj: DataFrame, who: Column, foot_x: Column, foot_y: Column, factor:
 def resynced(traj: DataFrame, fps: float) -> DataFrame:
     """Velocities from the edited positions; the first frame takes the second's."""
     def v(a: str) -> Column:
-        own = (F.col(f"p{a}") - F.lag(f"p{a}").over(BY_FRAME)) * fps
-        return F.coalesce(own, (F.lead(f"p{a}").over(BY_FRAME) - F.col(f"p{a}")) * fps, F.lit(0.0))
+        own = (F.col(f"p{a}") - F.lag(f"p{a}").over(by_frame())) * fps
+        return F.coalesce(own, (F.lead(f"p{a}").over(by_frame()) - F.col(f"p{a}")) * fps, F.lit(0.0))
 
     return traj.withColumns({f"v{a}": v(a) for a in XYZ})
 

@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 from lawtrace.functions.vectors import at_least, clip, cross, dot, lab_distance, norm, sub, vec
 
 KEY = ("clip_uid", "body_id")
-BY_FRAME = Window.partitionBy(*KEY).orderBy("frame")
-WHOLE = Window.partitionBy(*KEY)
+
+
+def by_frame():
+    return Window.partitionBy(*KEY).orderBy("frame")
+
+
+def whole():
+    return Window.partitionBy(*KEY)
+
 #: Columns of trajectories with the value an absent channel has.
 OPTIONAL = {"present": True, "sx": 1.0, "sy": 1.0, "sz": 1.0, "cr": 0.0, "cg": 0.0, "cb": 0.0, "opacity": 1.0}
 LAWS: dict[str, Callable[[float, float], Column]] = {}
@@ -38,17 +45,17 @@ def with_defaults(traj: DataFrame) -> DataFrame:
 
 def finite_difference(column: str, dt: float) -> Column:
     """Central inside, one-sided at both ends, zero for a single frame."""
-    before, here, after = F.lag(column).over(BY_FRAME), F.col(column), F.lead(column).over(BY_FRAME)
+    before, here, after = F.lag(column).over(by_frame()), F.col(column), F.lead(column).over(by_frame())
     return F.when(before.isNull() & after.isNull(), 0.0).when(before.isNull(), (after - here) / dt).when(after.isNull(), (here - before) / dt).otherwise((after - before) / (2 * dt))
 
 
 def first(column: str) -> Column:
-    return F.first_value(column).over(BY_FRAME)
+    return F.first_value(column).over(by_frame())
 
 
 def step(column: str) -> Column:
     """Change since the frame before; zero on the first."""
-    return F.coalesce(F.col(column) - F.lag(column).over(BY_FRAME), F.lit(0.0))
+    return F.coalesce(F.col(column) - F.lag(column).over(by_frame()), F.lit(0.0))
 
 
 def contact_forces(contacts: DataFrame) -> DataFrame:
@@ -84,18 +91,18 @@ def prepared(traj: DataFrame, contacts: DataFrame, fps: float, ctx: dict[str, fl
     arm = (F.col("px"), F.col("py"), F.col("pz") - F.col("pivot_z"))
     span = at_least(dot(arm, arm), 1e-12)
     t = t.withColumn("arm", F.sqrt(span)).withColumns(dict(zip(("tx", "ty", "tz"), (c / span for c in cross(arm, vec("v"))))))
-    near = F.max("touch").over(BY_FRAME.rowsBetween(-1, 1))
+    near = F.max("touch").over(by_frame().rowsBetween(-1, 1))
     firsts = {f"first_{c}": first(c) for c in ("volume", "alpha", "ratio", "siblings", "cr", "cg", "cb")}
-    t = t.withColumns({**acc, **steps, **{f"dt{a}": step(f"t{a}") for a in "xyz"}, "speed_before": F.lag("speed").over(BY_FRAME), "energy_before": F.lag("pair_energy").over(BY_FRAME), "nth": F.row_number().over(BY_FRAME), "touching": near, **firsts})
+    t = t.withColumns({**acc, **steps, **{f"dt{a}": step(f"t{a}") for a in "xyz"}, "speed_before": F.lag("speed").over(by_frame()), "energy_before": F.lag("pair_energy").over(by_frame()), "nth": F.row_number().over(by_frame()), "touching": near, **firsts})
     moved = norm(vec("dp"))
     t = t.withColumn("moved", moved)
     seconds = (F.col("nth") - 1) * dt
     t = t.withColumn("seconds", seconds).withColumns({f"fit{a}": F.col(f"p{a}") - (0.0 if a != "z" else -0.5 * g) * seconds * seconds for a in "xyz"})
-    t = t.withColumns({"typical_move": F.median(F.when((F.col("nth") > 1) & (F.col("moved") > 1e-9), F.col("moved"))).over(WHOLE), "frames": F.count("*").over(WHOLE), "mean_arm": F.avg("arm").over(WHOLE), "mt": F.avg("seconds").over(WHOLE), **{f"mf{a}": F.avg(f"fit{a}").over(WHOLE) for a in "xyz"}})
+    t = t.withColumns({"typical_move": F.median(F.when((F.col("nth") > 1) & (F.col("moved") > 1e-9), F.col("moved"))).over(whole()), "frames": F.count("*").over(whole()), "mean_arm": F.avg("arm").over(whole()), "mt": F.avg("seconds").over(whole()), **{f"mf{a}": F.avg(f"fit{a}").over(whole()) for a in "xyz"}})
     centred = F.col("seconds") - F.col("mt")
-    t = t.withColumns({"tt": F.sum(centred * centred).over(WHOLE), **{f"tf{a}": F.sum(centred * (F.col(f"fit{a}") - F.col(f"mf{a}"))).over(WHOLE) for a in "xyz"}})
+    t = t.withColumns({"tt": F.sum(centred * centred).over(whole()), **{f"tf{a}": F.sum(centred * (F.col(f"fit{a}") - F.col(f"mf{a}"))).over(whole()) for a in "xyz"}})
     lost = F.when((F.col("nth") > 1) & (F.col("typical_move") > 1e-9), clip(1 - F.col("moved") / F.col("typical_move"), 0, 1)).otherwise(0.0)
-    return t.withColumn("lost", F.sum(lost).over(BY_FRAME.rowsBetween(Window.unboundedPreceding, 0)))
+    return t.withColumn("lost", F.sum(lost).over(by_frame().rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def _free_error(g: float) -> Column:

@@ -12,8 +12,15 @@ from lawtrace.plans.catalog import query, r, tidy
 
 CTX = {"surface_top": 1.5, "cx": 5.0, "cy": 5.0, "hx": 3.0, "hy": 3.0, "lx": 0.3, "ly": 0.2, "lz": -1.0, "pivot_z": 8.0}
 G, DT = views.GRAVITY, 1.0 / views.FPS
-CLIP = Window.partitionBy("clip_uid")
-CULPRIT = F.col("body_id") % 15 == 3
+
+
+def by_clip():
+    return Window.partitionBy("clip_uid")
+
+
+def culprit():
+    return F.col("body_id") % 15 == 3
+
 BODY = "over (partition by clip_uid, body_id order by frame)"
 ALL = "over (partition by clip_uid, body_id)"
 
@@ -100,17 +107,17 @@ pairs as (select *, case when body_id % 15 = 3 and frame >= t_event then px + 4
 
 
 def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = views.traj(spark, sf_dir).withColumn("frames", F.max("frame").over(CLIP) + 1)
+    t = views.traj(spark, sf_dir).withColumn("frames", F.max("frame").over(by_clip()) + 1)
     return t.withColumn("t_event", F.floor(F.lit(0.35) * F.col("frames")).cast("int"))
 
 
 def twin_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = sized(spark, sf_dir)
-    return twins.aligned(valid, edits.teleport(valid, CULPRIT, F.col("t_event"), 4.0))
+    return twins.aligned(valid, edits.teleport(valid, culprit(), F.col("t_event"), 4.0))
 
 
 def culprits(pairs: DataFrame) -> DataFrame:
-    return pairs.where(CULPRIT).select("clip_uid", "body_id").distinct()
+    return pairs.where(culprit()).select("clip_uid", "body_id").distinct()
 
 
 @query(TWIN_SQL + " select clip_uid, body_id, frame, t_event, " + r("i_px - px", "dx") + " from pairs")
@@ -125,7 +132,7 @@ select c.clip_uid, w.clip_uid is null as identical, case when w.clip_uid is not
 def twin_prefix(spark, sf_dir):
     """A faulty edit that begins two frames before its event is reported with its channel and frame."""
     valid = sized(spark, sf_dir)
-    early = CULPRIT & (F.col("frame") >= F.col("t_event") - 2)
+    early = culprit() & (F.col("frame") >= F.col("t_event") - 2)
     return twins.prefix_report(twins.aligned(valid, edits.changed(valid, early, opacity=F.col("opacity") / 2))).select("clip_uid", "identical", "channel", "frame")
 
 
@@ -160,7 +167,7 @@ def twin_dynamics_changed(spark, sf_dir):
 @query(TWIN_SQL + " select clip_uid, body_id from pairs where body_id % 15 = 7 group by 1, 2 having bool_or(frame >= t_event)")
 def twin_undeclared_change(spark, sf_dir):
     valid = sized(spark, sf_dir)
-    both = edits.changed(edits.teleport(valid, CULPRIT, F.col("t_event"), 4.0), edits.late(F.col("body_id") % 15 == 7, F.col("t_event")), opacity=F.col("opacity") * 0.5)
+    both = edits.changed(edits.teleport(valid, culprit(), F.col("t_event"), 4.0), edits.late(F.col("body_id") % 15 == 7, F.col("t_event")), opacity=F.col("opacity") * 0.5)
     p = twins.aligned(valid, both)
     return twins.undeclared(p, culprits(p))
 
@@ -171,7 +178,7 @@ SPLICE_SQL = TWIN_SQL + " select clip_uid, body_id, frame, " + r("i_px", "px") +
 @query(SPLICE_SQL)
 def twin_splice(spark, sf_dir):
     valid = sized(spark, sf_dir)
-    tail = edits.teleport(valid, CULPRIT, F.lit(0), 4.0).where(F.col("frame") >= F.col("t_event"))
+    tail = edits.teleport(valid, culprit(), F.lit(0), 4.0).where(F.col("frame") >= F.col("t_event"))
     return tidy(twins.spliced(valid, tail, "t_event").select("clip_uid", "body_id", "frame", "px", "pz"))
 
 
@@ -189,9 +196,9 @@ def law_contamination(spark, sf_dir):
     names = ("position_continuity", "mass_continuity", "shape_continuity", "colour_continuity")
 
     def measured(t):
-        return laws.wide(t, c, views.FPS, CTX, G, names).where(CULPRIT).unpivot(["clip_uid", "body_id", "frame"], list(names), "law", "r")
+        return laws.wide(t, c, views.FPS, CTX, G, names).where(culprit()).unpivot(["clip_uid", "body_id", "frame"], list(names), "law", "r")
 
-    return tidy(twins.leaks(measured(valid), measured(edits.teleport(valid, CULPRIT, F.col("t_event"), 4.0)), "penetration", 0.01))
+    return tidy(twins.leaks(measured(valid), measured(edits.teleport(valid, culprit(), F.col("t_event"), 4.0)), "penetration", 0.01))
 
 
 # ---- severity
@@ -229,10 +236,10 @@ def scored_rows(spark, sf_dir):
     """Continuity residuals of the culprit against the lawful twin."""
     valid = sized(spark, sf_dir)
     c = views.contacts(spark, sf_dir)
-    bad = edits.teleport(valid, CULPRIT, F.col("t_event"), 4.0)
+    bad = edits.teleport(valid, culprit(), F.col("t_event"), 4.0)
     a = laws.wide(valid, c, views.FPS, CTX, G, ("position_continuity",)).withColumnRenamed("position_continuity", "twin")
     b = laws.wide(bad, c, views.FPS, CTX, G, ("position_continuity",)).withColumnRenamed("position_continuity", "r")
-    joined = b.join(a, twins.KEY).where(CULPRIT)
+    joined = b.join(a, twins.KEY).where(culprit())
     return joined.withColumn("score", severity.score_against_twin(F.col("r"), F.col("twin"), F.lit(9.0)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lawtrace.plans import motion  # noqa: F401
+from lawtrace.plans import frames, motion, pixel_queries  # noqa: F401
 from lawtrace.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
