@@ -9,10 +9,9 @@ k ln k darts however many shingles it has.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,26 +24,12 @@ _POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040,
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHash(dict):
-    """64-bit word hashes, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHash:
-    return WordHash()
+    x = x ^ (x >> np.uint64(30))
+    x *= _M1
+    x ^= x >> np.uint64(27)
+    x *= _M2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingles(text: str | None, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +40,7 @@ def shingles(text: str | None, size: int) -> tuple[np.ndarray, np.ndarray]:
     words = (text or "").lower().encode("utf-8").split()
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0)
-    h = np.array([*map(word_hashes().__getitem__, words)], np.uint64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = max(1, len(h) - size + 1)
     out = np.full(n, len(h) if len(h) < size else 0, np.uint64)
     for i in range(min(size, len(h))):
@@ -99,11 +84,13 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     top = (k * np.log(k) + 2 * k) / weights.sum()
     while True:
         rank, where, name = darts(elements, weights, top)
-        slot = (where % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((name, rank, slot))
-        first = np.flatnonzero(np.diff(slot[order], prepend=-1))
-        if len(first) == k:
-            return name[order[first]]
+        late_first = np.argsort(-rank)
+        slot = (where % np.uint64(k)).astype(np.int64)[late_first]
+        out, filled = np.zeros(k, np.uint64), np.zeros(k, bool)
+        out[slot] = name[late_first]  # of equal coordinates the last written, the earliest dart, stays
+        filled[slot] = True
+        if filled.all():
+            return out
         top *= 2
 
 
