@@ -185,3 +185,20 @@ def keyed_draws(spark, sf_dir):
 def target_share(spark, sf_dir):
     n = views.traj(spark, sf_dir).groupBy("clip_uid").agg(F.countDistinct("body_id").alias("n"))
     return n.withColumn("members", edits.share_size(F.col("n"), F.lit(0.6)))
+
+
+_al = "(3e0 + 20) / (py + 20)"
+
+
+@query(f"{TC} select clip_uid, body_id, frame, py > 3 and abs(5 + {_al} * (px - 5) - 5) <= 4 - radius * {_al} and 6 + {_al} * (pz - 6) between 4 - 2.5e0 + radius * {_al} and 4 + 2.5e0 - radius * {_al} as hidden from traj")
+def camera_screen(spark, sf_dir):
+    t = views.traj(spark, sf_dir)
+    return t.select("clip_uid", "body_id", "frame", geometry.behind_screen((5.0, -20.0, 6.0), (5.0, 3.0, 4.0), (4.0, 2.5), F.col("radius")).alias("hidden"))
+
+
+@query(f"""{TC}, s as (select c.clip_uid, c.seq, t.step, a.vx * nx + a.vy * ny + a.vz * nz as ua, b.vx * nx + b.vy * ny + b.vz * nz as ub from contacts c cross join (values (-1), (0), (1), (2), (3)) t(step)
+    join traj a on a.clip_uid = c.clip_uid and a.body_id = c.body_a and a.frame = c.frame + t.step join traj b on b.clip_uid = c.clip_uid and b.body_id = c.body_b and b.frame = c.frame + t.step),
+g as (select clip_uid, seq, max(ua) filter (where step = -1) - max(ub) filter (where step = -1) as approach, arg_min(ub - ua, step) filter (where step >= 0 and ub - ua > 1e-3) as apart from s group by 1, 2)
+select clip_uid, seq, {r('approach', 'approach')}, {r('case when abs(approach) < 1e-6 then 0.5e0 else least(greatest(coalesce(apart, -approach) / approach, 0.05e0), 1) end', 'restitution')} from g where approach is not null""")
+def contact_restitution(spark, sf_dir):
+    return tidy(geometry.implied_restitution(views.contacts(spark, sf_dir), views.traj(spark, sf_dir)))

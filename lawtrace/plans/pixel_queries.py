@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lawtrace.operators import pixels
+from lawtrace.operators import pixels, validation
 from lawtrace.plans import views
 from lawtrace.plans.catalog import query, r, tidy
 
@@ -220,3 +220,33 @@ def flow_scale(spark, sf_dir):
     m = Scene(spark, sf_dir).i.withColumn("mag", F.sqrt(F.col("r") * F.col("r") + F.col("g") * F.col("g")))
     top = F.coalesce(F.percentile(F.when(F.col("mag") > 100, F.col("mag")), F.lit(0.99)), F.percentile("mag", F.lit(0.99)))
     return tidy(m.groupBy("clip_uid", "frame").agg(F.greatest(top, F.lit(1e-6)).alias("scale")))
+
+
+CHECKED = BASE + """, lines as (select clip_uid, frame, frame between 5 and 15 as expected, (frame between 5 and 15) <> (frame % 11 = 7 and clip_uid % 3 = 0) as active, frame % 2 = 0 as observable from frame_list)"""
+
+
+def _timelines(s):
+    """Timelines with some wrong flags."""
+    t = s.frames.withColumn("expected", F.col("frame").between(5, 15))
+    return t.withColumn("active", F.col("expected") != ((F.col("frame") % 11 == 7) & (F.col("clip_uid") % 3 == 0))).withColumn("observable", F.col("frame") % 2 == 0)
+
+
+@query(CHECKED + " select clip_uid, frame, 'timeline differs' as rule from lines where expected <> active")
+def validation_timelines(spark, sf_dir):
+    s = Scene(spark, sf_dir)
+    windows = s.clips.select("clip_uid", F.lit(5).alias("s"), F.lit(15).alias("e"))
+    return validation.timeline_violations(windows, _timelines(s).select("clip_uid", "frame", "active"))
+
+
+@query(CHECKED + ", n as (select clip_uid, frame, count(*) as n from mask group by 1, 2) select l.clip_uid, l.frame, case when observable then 'mask empty' else 'mask where nothing shows' end as rule from lines l left join n on n.clip_uid = l.clip_uid and n.frame = l.frame where active and observable <> (coalesce(n, 0) > 0)")
+def validation_masks(spark, sf_dir):
+    s = Scene(spark, sf_dir)
+    return validation.mask_violations(_timelines(s).select("clip_uid", "frame", "active", "observable"), s.mask())
+
+
+@query(BASE + "select f.clip_uid, f.frame, 'severity differs' as rule from frame_list f left join field x on x.clip_uid = f.clip_uid and x.frame = f.frame group by 1, 2 having abs(coalesce(max(score), 0) - case when f.frame % 5 = 0 then coalesce(max(score), 0) else 0.5e0 end) > 1e-3")
+def validation_profiles(spark, sf_dir):
+    s = Scene(spark, sf_dir)
+    profile = pixels.profile(s.frames, s.field())
+    recorded = profile.withColumn("severity", F.when(F.col("frame") % 5 == 0, F.col("score")).otherwise(0.5)).drop("score")
+    return validation.profile_violations(profile, recorded)
