@@ -37,17 +37,16 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame | None]:
     """``(links, labels)`` of the nodes that share a bucket and pass ``verified``.
 
-    members: (slot, key, node). First every node of a bucket meets only the bucket's smallest node. Nodes that this
+    members: (slot, key, node), read twice, so best an explode of a stored table. First every node of a bucket meets only the bucket's smallest node. Nodes that this
     connects need no further pair among themselves; where a bucket still holds several groups, all its pairs across
     groups are verified, so no connection that a bucket offers is lost, and a bucket of n near copies costs n pairs and
     not n squared. ``verified`` gets distinct pairs (a, b), a < b, and returns those that hold. labels is None if no
     pair holds; nodes without a link are not in it.
     """
     spark = members.sparkSession
-    members, kept = written(members, "members")
     shared, p1 = written(members.groupBy("slot", "key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
     crowd, p2 = written(members.join(shared, ["slot", "key"]), "crowd")
-    dropped(spark, kept, p1)
+    dropped(spark, p1)
     star = crowd.where("node <> pivot").groupBy("pivot", "node").agg(F.lit(1).alias("one")).selectExpr("pivot as a", "node as b")
     tested, p3 = written(star, "star")
     links, _ = written(verified(tested), "links")
