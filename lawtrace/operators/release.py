@@ -133,3 +133,11 @@ def caption(template: Column, colour: Column, noun: Column, count: Column) -> Co
     thing = F.concat_ws(" ", colour, noun)
     article = F.when(F.lower(F.substring(thing, 1, 1)).isin(*"aeiou"), "an").otherwise("a")
     return F.replace(F.replace(template, F.lit("{subject}"), F.when(count > 1, F.concat_ws(" ", count.cast("string"), F.concat(thing, F.lit("s")))).otherwise(F.concat_ws(" ", article, thing))), F.lit("{colour}"), colour)
+
+
+def ladder(clips: DataFrame, scene: list[str]) -> DataFrame:
+    """Mean absolute magnitude of each severity of a scene, and whether it is at least that of the next weaker one."""
+    order = F.when(F.col("severity_bin") == "weak", 0).when(F.col("severity_bin") == "medium", 1).otherwise(2)
+    mean = clips.groupBy(*scene, "severity_bin").agg(F.avg(F.abs("magnitude")).alias("mean_magnitude"))
+    before = F.lag("mean_magnitude").over(Window.partitionBy(*scene).orderBy(order))
+    return mean.withColumn("rising", F.col("mean_magnitude") >= before)

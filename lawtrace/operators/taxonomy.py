@@ -109,6 +109,13 @@ def priced(cells: DataFrame, bins: int, variants: int, tier: str, workers: int)
     return renders.withColumn("hours", (F.col("invalid") + F.col("valid")) * rate / 3600.0 / speed)
 
 
+def unknown_scenarios(clips: DataFrame) -> DataFrame:
+    """``(rule, item)`` of the scenarios that a corpus names and the taxonomy does not."""
+    named = clips.select(F.col("scenario").alias("item")).distinct()
+    known = scenarios(clips.sparkSession).select(F.col("scenario").alias("item"))
+    return named.join(F.broadcast(known), "item", "left_anti").select(F.lit("unknown scenario").alias("rule"), "item")
+
+
 def inconsistencies(spark: SparkSession) -> DataFrame:
     """``(rule, item)`` of dimension rows that name what does not exist: empty if the taxonomy is consistent."""
     names = lambda values: spark.createDataFrame([(v,) for v in values], "item string")

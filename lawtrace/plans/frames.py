@@ -242,18 +242,6 @@ def edit_label(spark, sf_dir):
     return found.selectExpr("clip_uid", "family", "severity_bin", "culprit", "magnitude", "violation.s as t_event", "violation.e as t_end")
 
 
-@query("select family, severity_bin, magnitude, rising from (select family, severity_bin, abs(magnitude) as magnitude, case when lag(n) over (partition by family order by n) is null then null else true end as rising from (values " + ", ".join(f"('{f}', '{s}', {float(v[s])!r}e0, {i})" for f, v in edits.STRENGTHS.items() if f not in ("drop_out", "fade", "retime", "invert") for i, s in enumerate(("weak", "medium", "strong"))) + ") as v(family, severity_bin, magnitude, n)) where (select count(*) from events) > 0")
-def severity_ladder(spark, sf_dir):
-    """Strengths rise from weak to strong, for the families whose strength is a distance or factor."""
-    from pyspark.sql import Window
-
-    rows = [(f, s, i, float(v[s])) for f, v in edits.STRENGTHS.items() if f not in ("drop_out", "fade", "retime", "invert") for i, s in enumerate(("weak", "medium", "strong"))]
-    made = views.table(spark, sf_dir, "events").limit(1).select(F.lit(1).alias("one"))
-    t = spark.createDataFrame(rows, "family string, severity_bin string, n int, magnitude double").join(F.broadcast(made))
-    by = Window.partitionBy("family").orderBy("n")
-    return t.select("family", "severity_bin", F.abs("magnitude").alias("magnitude"), (F.abs("magnitude") >= F.lag(F.abs("magnitude")).over(by)).alias("rising"))
-
-
 # ---- energy
 
 _N = "sqrt(qw * qw + qx * qx + qy * qy + qz * qz)"

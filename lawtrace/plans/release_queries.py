@@ -192,9 +192,15 @@ def validation_twins(spark, sf_dir):
     return validation.dangling_twins(records(spark, sf_dir))
 
 
-@query(f"{CLIPS} select 'unknown domain' as rule, 'none' as item from clips where false")
+@query(f"{CLIPS}, {DIMS} select distinct 'unknown scenario' as rule, c.scenario as item from clips c where not exists (select 1 from scenarios s where s.scenario = c.scenario)")
 def taxonomy_consistency(spark, sf_dir):
-    return taxonomy.inconsistencies(spark).join(F.broadcast(views.clips(spark, sf_dir).limit(1).select(F.lit(1).alias("one")))).drop("one")
+    """Faults of the dimensions, of which there are none, and scenarios of the corpus that they do not know."""
+    return taxonomy.inconsistencies(spark).unionByName(taxonomy.unknown_scenarios(views.clips(spark, sf_dir)))
+
+
+@query(CLIPS + ", m as (select scenario, family_no, severity_bin, avg(abs(magnitude)) as mean_magnitude from clips group by 1, 2, 3), l as (select *, lag(mean_magnitude) over (partition by scenario, family_no order by case severity_bin when 'weak' then 0 when 'medium' then 1 else 2 end) as before from m) select scenario, family_no, severity_bin, " + r("mean_magnitude", "mean_magnitude", 4) + ", mean_magnitude >= before as rising from l")
+def severity_ladder(spark, sf_dir):
+    return tidy(release.ladder(views.clips(spark, sf_dir), ["scenario", "family_no"]), 4)
 
 
 @query(CLIPS + " select clip_key, concat('rel/', replace(scenario, ' ', '_'), '/', printf('%04d', o_orderkey % 400)) as pair_uid, case when true then replace(scenario, ' ', '_') end as stratum from clips")
