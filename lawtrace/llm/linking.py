@@ -34,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], traits: DataFrame, plausible: Callable[[str, str], str]) -> tuple[DataFrame, DataFrame | None]:
     """``(links, labels)`` of the nodes that share a bucket and pass ``verified``.
 
     members: (slot, key, node), read twice, so best an explode of a stored table. First every node of a bucket meets only the bucket's smallest node. Nodes that this
@@ -48,20 +48,30 @@ def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tu
     crowd, p2 = written(members.join(shared, ["slot", "key"]), "crowd")
     dropped(spark, p1)
     star = crowd.where("node <> pivot").groupBy("pivot", "node").agg(F.lit(1).alias("one")).selectExpr("pivot as a", "node as b")
+    columns = [c for c in traits.columns if c != "node"]
+    own, p8 = written(traits.join(crowd.select("node").distinct(), "node"), "traits")
+
+    def of(side: str) -> DataFrame:
+        return own.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+
+    star = star.join(of("a"), "a").join(of("b"), "b").where(plausible("a_", "b_")).select("a", "b")
     tested, p3 = written(star, "star")
     links, _ = written(verified(tested), "links")
     labels = None if links.isEmpty() else components(links)
     grouped = crowd.withColumn("label", F.col("node")) if labels is None else crowd.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     grouped, p4 = written(grouped, "grouped")
     several, p5 = written(grouped.groupBy("slot", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("slot", "key"), "several")
-    mixed, p6 = written(grouped.join(several, ["slot", "key"]), "mixed")
-    left, right = mixed.selectExpr("slot", "key", "node as a", "label as la"), mixed.selectExpr("slot", "key", "node as b", "label as lb")
-    across = left.join(right, ["slot", "key"]).where("a < b and la <> lb").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
+    mixed, p6 = written(grouped.join(several, ["slot", "key"]).join(own, "node"), "mixed")
+
+    def side(s: str) -> DataFrame:
+        return mixed.select("slot", "key", F.col("node").alias(s), F.col("label").alias(f"l{s}"), *[F.col(c).alias(f"{s}_{c}") for c in columns])
+
+    across = side("a").join(side("b"), ["slot", "key"]).where(f"a < b and la <> lb and ({plausible('a_', 'b_')})").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
     rest, p7 = written(across.join(tested, ["a", "b"], "left_anti"), "across")
     if not rest.isEmpty():
         more, _ = written(verified(rest), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
-    dropped(spark, p2, p3, p4, p5, p6, p7)
+    dropped(spark, p2, p3, p4, p5, p6, p7, p8)
     return links, labels

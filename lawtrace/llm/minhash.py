@@ -9,6 +9,8 @@ k ln k darts however many shingles it has.
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lawtrace.llm.linking import linked
-from lawtrace.llm.storage import written
+from lawtrace.llm.storage import dropped, written
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Cumulative Poisson(1) probabilities: darts of a region by one uniform number.
@@ -101,12 +103,20 @@ def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> list[int]:
+    """One bit of each coordinate, packed in longs."""
+    bits = np.packbits((sig >> np.uint64(17) & np.uint64(1)).astype(np.uint8))
+    return np.frombuffer(bits.tobytes().ljust(-(-len(bits) // 8) * 8, b"\0"), np.int64).tolist()
+
+
 def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_bands: int = 36, rows: int = 7, counted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, class_id)`` for every row: the smallest id of its near-duplicate group.
 
     Two texts are linked if the Jaccard similarity of their sets of ``words``-word shingles (lower case; of their bags,
     if ``counted``) is at least ``similarity``, tested exactly on candidate pairs; groups are connected. Candidates share
     a band: at similarity s a pair is missed with probability (1 - s ** rows) ** n_bands, 0.0002 for 0.8 by default.
+    Of those, pairs whose one-bit signatures differ in more coordinates than the expected number and six deviations are
+    left out (one in 10 ** 9 at the threshold), and pairs whose sizes rule the similarity out.
     Equal word sequences are one node, so copies are never paired; see ``linking.linked`` for near copies.
 
     Texts of fewer words are one shingle and match only equal ones; null, empty and wordless texts are each a class
@@ -122,24 +132,31 @@ def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_band
                 found, times = shingles(text, words)
                 if len(found):
                     h = mixed(found * _M1) if not counted else mixed(found * _M1 + times.astype(np.uint64))
-                    keys = bands(signature(found, times if counted else np.ones(len(found)), n_bands * rows), rows)
-                    out.append((key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), len(found), keys.tolist()))
+                    sig = signature(found, times if counted else np.ones(len(found)), n_bands * rows)
+                    out.append((key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), len(found), bands(sig, rows).tolist(), sketch(sig)))
                 else:
-                    out.append((key, None, None, 0, None))
-            cols = zip(*out) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["doc_id", "f1", "f2", "n", "keys"])
+                    out.append((key, None, None, 0, None, None))
+            cols = zip(*out) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], ["doc_id", "f1", "f2", "n", "keys", "bits"])
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints, p1 = written(rows_in.mapInArrow(printed, "doc_id long, f1 long, f2 long, n long, keys array<long>"), "prints")
-    texts = prints.where("f1 is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+    prints, _ = written(rows_in.mapInArrow(printed, "doc_id long, f1 long, f2 long, n long, keys array<long>, bits array<long>"), "prints")
+    texts = prints.where("f1 is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     texts, p2 = written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
     members = texts.select("node", F.posexplode("keys").alias("slot", "key")).select("slot", "key", "node")
 
+    held: list[str] = []
+
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted, _ = written(texts.select("node", "f1", "f2", "n", "doc_id").join(ends, "node"), "wanted")
-        sources = rows_in.join(wanted.select(F.col("doc_id").alias("w_id"), "node", "f1", "f2", "n"), F.expr("doc_id <=> w_id")).select("node", "f1", "f2", "text")
-        sets, _ = written(sources.mapInArrow(shingled, "node long, held binary, times binary").dropDuplicates(["node"]), "sets")
+        wanted, wanted_path = written(texts.select("node", "f1", "f2", "n", "doc_id").join(ends, "node"), "wanted")
+        own = wanted.select(F.col("doc_id").alias("w_id"), "node", "f1", "f2", "n")
+        if not held:  # the first call's ids grow with the input: never a broadcast side, however small here
+            own = own.hint("merge")
+        sources = rows_in.join(own, F.expr("doc_id <=> w_id")).select("node", "f1", "f2", "text")
+        sets, sets_path = written(sources.mapInArrow(shingled, "node long, held binary, times binary").dropDuplicates(["node"]), "sets")
+        dropped(spark, wanted_path)
+        held.append(sets_path)
         both = pairs.join(sets.selectExpr("node as a", "held as ha", "times as ta"), "a").join(sets.selectExpr("node as b", "held as hb", "times as tb"), "b")
         return both.mapInArrow(compared, "a long, b long")
 
@@ -168,12 +185,19 @@ def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_band
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep, pa.int64())), batch.column("b").take(pa.array(keep, pa.int64()))], ["a", "b"])
 
-    links, labels = linked(members, verified)
+    k = n_bands * rows
+    most = ceil(k * (1 - similarity) / 2 + 6 * (k * (1 - similarity * similarity) / 4) ** 0.5)
+    longs = range(-(-k // 64))
+    traits = texts.select("node", "n", *[F.col("bits")[i].alias(f"k{i}") for i in longs])
+    sizes = "" if counted else f" and least(%sn, %sn) >= {similarity - 1e-9} * greatest(%sn, %sn)"
+    near = lambda a, b: " + ".join(f"bit_count({a}k{i} ^ {b}k{i})" for i in longs) + f" <= {most}" + (sizes % (a, b, a, b) if sizes else "")
+    links, labels = linked(members, verified, traits, near)
     grouped = texts.select("f1", "f2", "n", "node", "doc_id")
     grouped = grouped.withColumn("label", F.col("node")) if labels is None else grouped.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     grouped, _ = written(grouped, "grouped")
     named, _ = written(grouped.groupBy("label").agg(F.min("doc_id").alias("class_id")), "named")
     classes, _ = written(grouped.join(named, "label").selectExpr("f1 as c1", "f2 as c2", "n as cn", "class_id"), "classes")
+    dropped(spark, p2, *held)
     out = prints.select("doc_id", "f1", "f2", "n").join(classes, F.expr("f1 = c1 and f2 = c2 and n = cn"), "left")
     return out.select("doc_id", F.expr("if(f1 is null, doc_id, class_id)").alias("class_id"))
 
@@ -181,5 +205,5 @@ def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_band
 def one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose id names its class, one row for each class; documents without words all stay."""
     keep, _ = written(near_groups(docs, similarity, words, id_col=id_col, text_col=text_col).where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    left = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    left = docs.join(keep.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
     return left.dropDuplicates([id_col, text_col])
