@@ -37,19 +37,26 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], traits: DataFrame, plausible: Callable[[str, str], str]) -> tuple[DataFrame, DataFrame | None]:
     """``(links, labels)`` of the nodes that share a bucket and pass ``verified``.
 
-    members: (slot, key, node), read twice, so best an explode of a stored table. First every node of a bucket meets only the bucket's smallest node. Nodes that this
-    connects need no further pair among themselves; where a bucket still holds several groups, all its pairs across
-    groups are verified, so no connection that a bucket offers is lost, and a bucket of n near copies costs n pairs and
-    not n squared. ``verified`` gets distinct pairs (a, b), a < b, and returns those that hold. labels is None if no
-    pair holds; nodes without a link are not in it.
+    members: (slot, key, node), read twice, so best an explode of a stored table. First every node of a bucket meets
+    only the bucket's most central node: the one with the most company in all its buckets, as an original has among its
+    copies. Nodes that this connects need no further pair among themselves; where a bucket still holds several groups,
+    all its pairs across groups are verified, so no connection that a bucket offers is lost, and a bucket of n copies of
+    one text costs n pairs and not n squared. ``verified`` gets distinct pairs (a, b), a < b, and returns those that
+    hold. labels is None if no pair holds; nodes without a link are not in it.
+
+    traits: (node, ...) small columns; ``plausible("a_", "b_")`` is SQL over them, prefixed, that holds for every pair
+    that can pass. It is a condition of the joins, so implausible pairs of a bucket never become rows.
     """
     spark = members.sparkSession
-    shared, p1 = written(members.groupBy("slot", "key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
+    shared, p1 = written(members.groupBy("slot", "key").agg(F.count("*").alias("company")).where("company > 1"), "shared")
     crowd, p2 = written(members.join(shared, ["slot", "key"]), "crowd")
     dropped(spark, p1)
-    star = crowd.where("node <> pivot").groupBy("pivot", "node").agg(F.lit(1).alias("one")).selectExpr("pivot as a", "node as b")
+    degrees, p9 = written(crowd.groupBy("node").agg(F.sum("company").alias("degree")), "degrees")
+    best = F.max(F.struct("degree", (-F.col("node")).alias("low")))
+    pivots, p10 = written(crowd.join(degrees, "node").groupBy("slot", "key").agg(best.alias("best")).select("slot", "key", (-F.col("best.low")).alias("pivot")), "pivots")
+    star = crowd.join(pivots, ["slot", "key"]).where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
     columns = [c for c in traits.columns if c != "node"]
-    own, p8 = written(traits.join(crowd.select("node").distinct(), "node"), "traits")
+    own, p8 = written(traits.join(degrees.select("node"), "node"), "traits")
 
     def of(side: str) -> DataFrame:
         return own.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
@@ -58,7 +65,7 @@ def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], trait
     tested, p3 = written(star, "star")
     links, _ = written(verified(tested), "links")
     labels = None if links.isEmpty() else components(links)
-    grouped = crowd.withColumn("label", F.col("node")) if labels is None else crowd.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    grouped = crowd.drop("company").withColumn("label", F.col("node")) if labels is None else crowd.drop("company").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     grouped, p4 = written(grouped, "grouped")
     several, p5 = written(grouped.groupBy("slot", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("slot", "key"), "several")
     mixed, p6 = written(grouped.join(several, ["slot", "key"]).join(own, "node"), "mixed")
@@ -73,5 +80,5 @@ def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], trait
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
-    dropped(spark, p2, p3, p4, p5, p6, p7, p8)
+    dropped(spark, p2, p3, p4, p5, p6, p7, p8, p9, p10)
     return links, labels
