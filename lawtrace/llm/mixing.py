@@ -99,7 +99,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = uses.groupBy("use_id", "use_key").agg(F.first("size").alias("size"), F.collect_list("use").alias("uses"))
     grouped, _ = written(grouped.withColumn("use_id", F.coalesce("use_id", F.lit(-(1 << 63)))), "uses")
     keyed = docs.withColumn("use_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("use_key", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = keyed.dropDuplicates(["use_id", "use_key"]).join(grouped, ["use_id", "use_key"]).withColumn("use", F.explode("uses"))
+    joined = keyed.dropDuplicates(["use_id", "use_key"]).join(grouped.hint("merge"), ["use_id", "use_key"]).withColumn("use", F.explode("uses"))
     cut = F.when(F.col("use.words") >= F.col("size"), F.col(text_col)).otherwise(F.array_join(F.slice(F.split(text_col, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("use.words").cast("int")), ""))
     ordered = joined.withColumn("cut_text", cut).repartitionByRange("use.position", "use_id").sortWithinPartitions("use.position", "use_id", "use.pass")
     return ordered.select(*[F.col("cut_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
