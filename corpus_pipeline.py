@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(line_dedup.without_repeated_lines(docs))
+    return _counted(line_dedup.without_repeated_lines(docs, least_exact=1))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

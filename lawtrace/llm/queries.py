@@ -35,7 +35,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_groups(table(spark, sf_dir, "documents")).select("doc_id", "line", "class_doc", "class_line", "kept")
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"), least_exact=1).select("doc_id", "line", "class_doc", "class_line", "kept")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import random
 
-from lawtrace.llm import line_dedup
+import corpus_pipeline
+from lawtrace.llm import line_dedup, queries
 
 CASES = ((5, 1), (7, 1), (10, 2), (15, 3), (20, 4), (24, 4), (25, 5), (30, 6), (50, 10))
 
@@ -53,3 +54,18 @@ def test_edits_that_shift_words_and_lengths_on_both_sides_of_the_cut(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     kept = [r.doc_id for r in line_dedup.line_groups(table).collect() if r.line == 1 and r.kept]
     assert len(kept) <= 0.01 * len(docs), kept
+
+
+def test_short_lines_and_other_white_space(spark, tmp_path):
+    long = "one two three four five six"
+    docs = [(0, f"All rights reserved.\n{long}\nLes.\n...\n \t\n"), (1, "all  rights\treserved\none\ttwo three four five　six\nles\n...\nAll rights kept."), (2, "没有空格的一行\nLES\r"), (3, "没有空格的一行")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.line): (r.class_doc, r.class_line, r.kept) for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {
+        (0, 0): (0, 0, True), (0, 1): (0, 1, True), (0, 2): (0, 2, True),
+        (1, 0): (0, 0, False), (1, 1): (0, 1, False), (1, 2): (0, 2, False), (1, 4): (1, 4, True),
+        (2, 0): (2, 0, True), (2, 1): (0, 2, False), (3, 0): (2, 0, False),
+    }
+    left = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, table, str(tmp_path)).collect()}
+    assert left == {0: docs[0][1], 1: "...\nAll rights kept.", 2: "没有空格的一行"}
