@@ -1,20 +1,92 @@
 """Token ids by the tokenizers library, one call for each distinct chunk of text.
 
 A text is cut where neither file's pre-tokenizer can join what stands on both sides, so that the ids of the chunks in
-order are the ids of the text; each distinct chunk goes through the library once while it is remembered.
+order are the ids of the text. The chunks of a slice of texts are coded at once by Arrow, each distinct chunk goes through
+the library once while it is remembered, and the ids of all chunks are taken by their codes.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-
-#: Where any white space is not one blank or one line feed between two visible characters, or the mark used below
-#: stands in the text, the byte-level file's whitespace rules look further than a chunk; such texts go in whole.
-_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|\x00|[\x1c-\x1f]")
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: White space other than blank and line feed, and the mark that is set at cuts.
+OTHER_SPACE = r"\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: A text in which any white space is not one blank or one line feed between two visible characters.
+UNEVEN = rf"[{OTHER_SPACE}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
+_CUT = re.compile(r"(?<=\S)(?= \S)")
+LONG = 64  # characters of the longest chunk that is remembered
+
+
+def slices(column: pa.Array, rows: int = 10_000, size: int = 8 << 20) -> Iterator[pa.Array]:
+    """Slices of a text column of at most ``rows`` rows and about ``size`` bytes, one text at least; nulls as empty texts."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = sizes[at - 1] if at else 0
+        end = min(max(at + 1, int(np.searchsorted(sizes, before + size, side="right"))), at + rows, len(column))
+        yield pc.fill_null(column.slice(at, end - at), "")
+        at = end
+
+
+def chunked(texts: pa.Array, spaced: bool) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """Places of texts, their chunks end to end, and the offsets of each text's chunks; every text once, in two parts at most.
+
+    spaced: whether the file's pre-tokenizer keeps a blank with the word after it (byte-level files do). Then even texts
+    are cut before blanks and on both sides of line feeds, others only before single blanks between two visible
+    characters. Otherwise white space only separates words and every blank and line feed is a cut.
+    """
+    if not spaced:
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        yield np.arange(len(texts)), parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        return
+    odd = pc.match_substring_regex(texts, UNEVEN)
+    even = texts.filter(pc.invert(odd))
+    at = odd.to_numpy(zero_copy_only=False)
+    if len(even):
+        marked = pc.replace_substring(pc.replace_substring(even, " ", "\x00 "), "\n", "\x00\n\x00")
+        parts = pc.split_pattern(marked, "\x00")
+        yield np.flatnonzero(~at), parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    if len(even) < len(texts):
+        lists = [_CUT.split(t) for t in texts.filter(odd).to_pylist()]
+        yield np.flatnonzero(at), pa.array([c for x in lists for c in x], pa.string()), np.cumsum([0, *map(len, lists)])
+
+
+class Memo:
+    """Values of chunks in two generations of about ``size`` bytes together: when the young one is full it becomes the old
+    one, and a chunk that is met again moves up. Chunks of more than ``LONG`` characters are never remembered."""
+
+    def __init__(self, size: int):
+        self.half, self.held = size // 2, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def values(self, chunks: list[str], find: Callable[[list[str]], list]) -> list:
+        """The value of each of these distinct chunks; ``find`` gives those that are not remembered."""
+        if self.held > self.half:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old = self.young, self.old
+        out = [young.get(c) for c in chunks]
+        missing = [i for i, v in enumerate(out) if v is None]
+        new = []
+        for i in missing:
+            v = old.get(chunks[i])
+            if v is None:
+                new.append(i)
+            else:
+                out[i] = young[chunks[i]] = v
+        for i, v in zip(new, find([chunks[i] for i in new])):
+            out[i] = v
+            if len(chunks[i]) <= LONG:
+                young[chunks[i]] = v
+        self.held += 220 * len(missing)  # about what a short text, its value and its entry take
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -26,50 +98,50 @@ def library(path: str):
 
 
 class ChunkEncoder:
-    """Little-endian ids of whole texts as bytes, ``dtype`` each.
-
-    spaced: whether the file's pre-tokenizer keeps a blank with the word after it (byte-level files do). Otherwise
-    white space only separates words and every blank and line feed is a cut.
-    remembered: chunks kept at most, in two generations: when the young one is full it becomes the old one, and a
-    chunk that is met again moves up, so frequent chunks stay whatever the order of the texts.
-    """
-
-    def __init__(self, path: str, dtype: str = "<u4", spaced: bool = True, remembered: int = 1_200_000):
-        self.tokenizer, self.dtype, self.spaced, self.half = library(path), dtype, spaced, remembered // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        if not self.spaced:
-            return text.replace("\n", " ").split(" ")
-        if _UNEVEN.search(text):
-            return [text]
-        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-
-    def encode(self, text: str | None) -> bytes:
-        """All ids of one text; null and empty texts have none."""
-        if not text:
-            return b""
-        chunks = self.chunks(text)
-        if len(chunks) == 1:
-            return self._ids(chunks)[0]
-        if len(self.young) > self.half:
-            self.old, self.young = self.young, {}
-        young = self.young
-        missing = list(set(chunks).difference(young))
-        if missing:
-            old = self.old
-            new = [c for c in missing if c not in old]
-            young.update((c, old[c]) for c in missing if c in old)
-            young.update(zip(new, self._ids(new)))
-        return b"".join([young[c] for c in chunks])
+    """Ids of whole texts; ``memo_bytes`` bounds what is remembered and changes no result."""
+
+    def __init__(self, path: str, spaced: bool = True, memo_bytes: int = 48 << 20):
+        self.tokenizer, self.spaced, self.memo = library(path), spaced, Memo(memo_bytes)
+        #: The library cuts a text at special tokens before anything else, so one of them between chunks parts them.
+        specials = {i: t for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
+        self.mark_id, self.mark = next(((i, t.content) for i, t in sorted(specials.items(), reverse=True)), (None, None))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array without nulls; empty texts have none."""
+        out: list = [None] * len(texts)
+        for places, chunks, offsets in chunked(texts, self.spaced):
+            coded = chunks.dictionary_encode()
+            known = self.memo.values(coded.dictionary.to_pylist(), self._ids)
+            values = np.frombuffer(b"".join(known), "<u4")
+            sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            firsts = np.cumsum(sizes) - sizes
+            codes = coded.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+            flat = values[np.arange(ends[-1], dtype=np.int32) + np.repeat((firsts[codes] - ends[:-1]).astype(np.int32), sizes[codes])]
+            bounds = ends[offsets]
+            for i, a, b in zip(places.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                out[i] = flat[a:b]
+        return out
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        """Chunks without added tokens go through the library as one text, parted by a special token; others alone."""
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if self.mark is not None and not any(t in c for t in self.added)]
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join([chunks[i] for i in plain])], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            raw, at = ids.tobytes(), 0
+            for i, end in zip(plain, ends):
+                out[i] = raw[4 * at : 4 * end]
+                at = end + 1
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, dtype: str, spaced: bool) -> ChunkEncoder:
+def encoder(path: str, spaced: bool) -> ChunkEncoder:
     """One for each worker process: what it remembers serves all tasks of that worker."""
-    return ChunkEncoder(path, dtype, spaced)
+    return ChunkEncoder(path, spaced)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawtrace.llm.encoding import encoder
+from lawtrace.llm.encoding import encoder, slices
 from lawtrace.llm.storage import written
 
 PIECES = "partition int, doc_id long, piece int, start long, length long, ids_crc32 long, nth long"
@@ -31,18 +31,22 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, sp
     def cut(batches):
         from pyspark import TaskContext
 
-        own, part = encoder(tokenizer, "<u4", spaced), TaskContext.get().partitionId()
-        end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
+        own, part = encoder(tokenizer, spaced), TaskContext.get().partitionId()
+        end, seen = np.array([end_id], "<u4"), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            out: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = own.encode(text) + end
-                for i, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    piece = ids[at : at + 4 * capacity]
-                    n = len(piece) // 4
-                    out.append((part, key, i, at // 4, n, zlib.crc32(piece), int(seen[n])))
-                    seen[n] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4))], [x.split(" ")[0] for x in PIECES.split(", ")])
+            keys, done = batch.column(0).to_pylist(), 0
+            for texts in slices(batch.column(1)):
+                out: list[tuple] = []
+                for key, ids in zip(keys[done:], own.encode(texts)):
+                    for i, at in enumerate(range(0, len(ids) + 1, capacity)):
+                        piece = ids[at : at + capacity]
+                        n, crc = len(piece), zlib.crc32(piece)
+                        if n < capacity:  # so it is the last piece, which the end id closes
+                            n, crc = n + 1, zlib.crc32(end, crc)
+                        out.append((part, key, i, at, n, crc, int(seen[n])))
+                        seen[n] += 1
+                done += len(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4))], [x.split(" ")[0] for x in PIECES.split(", ")])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(cut, PIECES)

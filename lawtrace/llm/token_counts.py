@@ -11,10 +11,14 @@ import json
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawtrace.llm.encoding import Memo, chunked, slices
+
 #: FIXED VALUE: the published pre-tokenization pattern of byte-level BPE files.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -27,12 +31,9 @@ def byte_letters() -> dict[int, str]:
 
 
 class MergeCounter:
-    """Counts the tokens of texts for a byte-level BPE file.
-
-    remembered: words whose count is kept at most, in two generations (a word that is met again moves up).
-    """
+    """Counts the tokens of texts for a byte-level BPE file; ``memo_bytes`` bounds what is remembered and changes no result."""
 
-    def __init__(self, path: str, remembered: int = 1_200_000):
+    def __init__(self, path: str, memo_bytes: int = 48 << 20):
         import regex
 
         with open(path, encoding="utf-8") as file:
@@ -45,10 +46,7 @@ class MergeCounter:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.words = regex.compile(PRE_TOKENS)
-        #: Where all white space is single blanks or line feeds between visible characters, a chunk from one such
-        #: place to the next is pre-tokenized alone as it is inside its text.
-        self.uneven = regex.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|\x00|[\x1c-\x1f]")
-        self.half, self.young, self.old = remembered // 2, {}, {}
+        self.memo = Memo(memo_bytes)
 
     def merged(self, word: bytes) -> int:
         """Symbols left of one pre-token after all merges."""
@@ -87,33 +85,15 @@ class MergeCounter:
             parts = self.special.split(chunk)
         return special + sum(self.merged(w.encode("utf-8")) for p in parts for w in self.words.findall(p))
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if self.uneven.search(text):
-            chunks = [text[i:j] for i, j in self._even_cuts(text)]
-        else:
-            chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        if len(self.young) > self.half:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        for c in set(chunks).difference(young):
-            young[c] = old[c] if c in old else self.of_chunk(c)
-        return sum([young[c] for c in chunks])
-
-    def _even_cuts(self, text: str):
-        """Spans between the places where one blank stands between two visible characters."""
-        at = 0
-        while (cut := text.find(" ", at + 1)) >= 0:
-            start = at
-            while cut >= 0 and (cut == 0 or cut + 1 >= len(text) or text[cut - 1].isspace() or text[cut + 1].isspace()):
-                cut = text.find(" ", cut + 1)
-            if cut < 0:
-                at = start
-                break
-            yield start, cut
-            at = cut
-        yield at, len(text)
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text of a string array without nulls; each distinct chunk is merged once while it is remembered."""
+        out = np.zeros(len(texts), np.int64)
+        for places, chunks, offsets in chunked(texts, spaced=True):
+            coded = chunks.dictionary_encode()
+            known = np.array(self.memo.values(coded.dictionary.to_pylist(), lambda new: [self.of_chunk(c) for c in new]), np.int64)
+            sums = np.concatenate([[0], np.cumsum(known[coded.indices.to_numpy()])])
+            out[places] = sums[offsets[1:]] - sums[offsets[:-1]]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -132,10 +112,9 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     def counted(batches):
         own = counter(path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            n = [own.count(t) for t in texts]
-            sizes = [len(t.encode("utf-8")) if t else 0 for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            n = np.concatenate([np.zeros(0, np.int64), *(own.counts(x) for x in slices(batch.column(1)))])
+            sizes = pc.fill_null(pc.cast(pc.binary_length(batch.column(1)), pa.int64()), 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

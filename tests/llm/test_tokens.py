@@ -6,12 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lawtrace.llm import packing, queries, token_counts, token_files
-from lawtrace.llm.encoding import ChunkEncoder
+from lawtrace.llm import encoding, packing, queries, token_counts, token_files
+from lawtrace.llm.encoding import ChunkEncoder, slices
 
 LIBRARIES = {}
 
@@ -34,17 +35,28 @@ def crc(ids):
 
 def test_chunks_give_the_library_ids():
     for path, spaced in ((BYTES, True), (WORDS, False)):
-        own, lib = ChunkEncoder(path, spaced=spaced, remembered=40), library(path)
-        for t in ODD * 2:
-            assert np.frombuffer(own.encode(t), "<u4").tolist() == (lib.encode(t, add_special_tokens=False).ids if t else [])
+        lib = library(path)
+        want = [lib.encode(t, add_special_tokens=False).ids if t else [] for t in ODD * 2]
+        for memo in (1 << 10, 32 << 20):  # what is remembered changes no result
+            own = ChunkEncoder(path, spaced, memo)
+            assert [x.tolist() for part in slices(pa.array(ODD * 2), rows=5, size=200) for x in own.encode(part)] == want
+
+
+def test_very_long_texts_stay_whole_and_are_not_remembered():
+    texts = ["x" * 1_000_000, "word and " * 120_000, "\t" * 1000 + "y " * 400_000]
+    for path, spaced in ((BYTES, True), (WORDS, False)):
+        own, lib = ChunkEncoder(path, spaced, 1 << 20), library(path)
+        for t in texts:
+            assert own.encode(pa.array([t]))[0].tolist() == lib.encode(t, add_special_tokens=False).ids
+        assert max(map(len, (*own.memo.young, *own.memo.old))) <= encoding.LONG
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab' \n\té.1,<|>　Z"), max_size=40))
 def test_any_white_space_gives_the_library_ids(text):
     lib = library(BYTES)
-    assert np.frombuffer(ChunkEncoder(BYTES).encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
-    assert token_counts.counter(BYTES).count(text) == len(lib.encode(text, add_special_tokens=False).ids)
+    assert encoding.encoder(BYTES, True).encode(pa.array([text]))[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert token_counts.counter(BYTES).counts(pa.array([text, "", text])).tolist() == [n := len(lib.encode(text, add_special_tokens=False).ids), 0, n]
 
 
 def test_counts(spark):
@@ -68,8 +80,9 @@ def test_counts_of_the_table(spark, small):
 def test_elias_fano_selects(steps):
     values = np.cumsum(steps)
     ef = token_files.EliasFano.of(values, int(values[-1]) + 1)
-    assert ef.values().tolist() == values.tolist()
-    assert [ef.select(i) for i in range(len(values))] == values.tolist()
+    assert ef.select(np.arange(len(values))).tolist() == values.tolist()
+    for v in (0, int(values[-1]), int(values[-1]) + 1):
+        assert ef.first_not_below(v) == int(np.searchsorted(values, v))
     assert 8 * (len(ef.low) + len(ef.high)) <= len(values) * (3 + max(0, np.log2(values[-1] / len(values) + 1))) + 32
 
 
@@ -82,7 +95,9 @@ def test_token_files_round_trip(spark, tmp_path):
     for key, text in sorted(zip(ids, ODD)):
         own = (lib.encode(text, add_special_tokens=False).ids if text else []) + [2]
         assert (rows[key].start, rows[key].n_tokens, rows[key].ids_crc32) == (start, len(own), crc(own))
+        assert [(r.start, r.ids) for r in token_files.token_ids(spark, out, key).collect()] == [(start, own)]
         start += len(own)
+    assert token_files.token_ids(spark, out, 999).count() == 0
 
 
 def test_token_files_of_ties_nulls_and_nothing(spark, tmp_path):
@@ -90,6 +105,7 @@ def test_token_files_of_ties_nulls_and_nothing(spark, tmp_path):
     token_files.write_token_files(table, str(tmp_path / "ties"), BYTES, end_id=2)
     rows = token_files.read_token_files(spark, str(tmp_path / "ties")).orderBy("start").collect()
     assert [(r.doc_id, r.start) for r in rows] == [(None, 0), (-4, 2), (1, 4), (1, 6), (1, 8)]
+    assert sorted(r.start for r in token_files.token_ids(spark, str(tmp_path / "ties"), 1).collect()) == [4, 6, 8]
     token_files.write_token_files(table.limit(0), str(tmp_path / "none"), BYTES, end_id=2)
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
 
