@@ -35,6 +35,14 @@ def slices(column: pa.Array, rows: int = 10_000, size: int = 8 << 20) -> Iterato
         at = end
 
 
+def sliced(batch: pa.RecordBatch, text: int, rows: int = 256, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and about ``size`` bytes in its column ``text``; nulls stay."""
+    at = 0
+    for part in slices(batch.column(text), rows, size):
+        yield batch.slice(at, len(part))
+        at += len(part)
+
+
 def chunked(texts: pa.Array, spaced: bool) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
     """Places of texts, their chunks end to end, and the offsets of each text's chunks; every text once, in two parts at most.
 

@@ -7,78 +7,78 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawtrace.llm.storage import dropped, written
+from lawtrace.llm.storage import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, label)`` for every node of ``edges`` (a, b): the smallest node of its connected group.
 
     Labels fall to the smallest of the neighbours' and then jump to their label's label, so long chains shorten by
     half in each round; every round is a written table, and only a count comes to the driver.
     """
-    spark = edges.sparkSession
-    both, p = written(edges.select("a", "b").union(edges.select("b", "a")), "edges")
-    paths = [p]
-    labels, p = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    own = Scratch(edges.sparkSession)
+    both = own.written(edges.select("a", "b").union(edges.select("b", "a")), "edges")
+    labels = own.written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        step, q = written(step, "step")
-        target = step.selectExpr("node as label", "label as next")
-        jumped, r = written(step.join(target, "label").select("node", "was", F.least("label", "next").alias("label")), "labels")
-        moved = jumped.where("label <> was").limit(1).count()
-        dropped(spark, p, q)
-        labels, p = jumped.select("node", "label"), r
-        if not moved:
-            dropped(spark, *paths)
-            return labels
+        step = own.written(labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")), "step")
+        jumped = own.written(step.join(step.selectExpr("node as label", "label as next"), "label").select("node", "was", F.least("label", "next").alias("label")), "labels")
+        labels = jumped.select("node", "label")
+        if jumped.where("label <> was").isEmpty():
+            break
+    labels = scratch.written(labels, "labels")
+    own.drop()
+    return labels
 
 
-def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], traits: DataFrame, plausible: Callable[[str, str], str]) -> tuple[DataFrame, DataFrame | None]:
-    """``(links, labels)`` of the nodes that share a bucket and pass ``verified``.
+def linked(nodes: DataFrame, traits_of: Callable[[DataFrame], DataFrame], verified: Callable[[DataFrame], DataFrame], plausible: Callable[[str, str], str], scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """``(links, labels)`` of the nodes that share a key and pass ``verified``; labels is None if no pair holds.
 
-    members: (slot, key, node), read twice, so best an explode of a stored table. First every node of a bucket meets
-    only the bucket's most central node: the one with the most company in all its buckets, as an original has among its
-    copies. Nodes that this connects need no further pair among themselves; where a bucket still holds several groups,
-    all its pairs across groups are verified, so no connection that a bucket offers is lost, and a bucket of n copies of
-    one text costs n pairs and not n squared. ``verified`` gets distinct pairs (a, b), a < b, and returns those that
-    hold. labels is None if no pair holds; nodes without a link are not in it.
+    nodes: a stored table (node, keys array of long). First every node of a bucket meets only the bucket's most
+    central node: the one with the most company in all its buckets, as an original has among its copies. Nodes that this
+    connects need no further pair among themselves; where a bucket still holds several groups, its pairs across groups
+    are verified, so no connection that a bucket offers is lost, and a bucket of n copies of one text costs n pairs and
+    not n squared. A pair of several common keys is made in the bucket of the least of them alone. ``verified`` gets
+    distinct pairs (a, b), a < b, and returns those that hold.
 
-    traits: (node, ...) small columns; ``plausible("a_", "b_")`` is SQL over them, prefixed, that holds for every pair
-    that can pass. It is a condition of the joins, so implausible pairs of a bucket never become rows.
+    ``traits_of`` gets the nodes (node) that share a key with another and returns them with small columns, the traits;
+    ``plausible("a_", "b_")`` is SQL over the traits, prefixed, that holds for every pair that can pass. It is a condition of
+    the joins, so implausible pairs never become rows. Bucket sizes are aggregated before the shuffle, and members meet
+    their bucket in sort-merge joins of two plain inputs, which adaptive execution splits where a key is hot.
     """
-    spark = members.sparkSession
-    shared, p1 = written(members.groupBy("slot", "key").agg(F.count("*").alias("company")).where("company > 1"), "shared")
-    crowd, p2 = written(members.join(shared, ["slot", "key"]), "crowd")
-    dropped(spark, p1)
-    degrees, p9 = written(crowd.groupBy("node").agg(F.sum("company").alias("degree")), "degrees")
+    own = Scratch(nodes.sparkSession)
+    members = nodes.select("node", F.explode("keys").alias("key"))
+    shared = own.written(members.groupBy("key").agg(F.count("*").alias("company")).where("company > 1"), "shared")
+    crowd = own.written(members.join(shared.hint("merge"), "key"), "crowd")
+    degrees = own.written(crowd.groupBy("node").agg(F.sum("company").alias("degree")), "degrees")
+    light = own.written(traits_of(degrees.select("node")), "traits")
+    # the largest degree, then the smallest node, as one number would not hold both
     best = F.max(F.struct("degree", (-F.col("node")).alias("low")))
-    pivots, p10 = written(crowd.join(degrees, "node").groupBy("slot", "key").agg(best.alias("best")).select("slot", "key", (-F.col("best.low")).alias("pivot")), "pivots")
-    star = crowd.join(pivots, ["slot", "key"]).where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
-    columns = [c for c in traits.columns if c != "node"]
-    own, p8 = written(traits.join(degrees.select("node"), "node"), "traits")
+    pivots = own.written(crowd.join(degrees, "node").groupBy("key").agg(best.alias("best")).select("key", (-F.col("best.low")).alias("pivot")), "pivots")
+    star = crowd.join(pivots, "key").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    columns = [c for c in light.columns if c != "node"]
 
     def of(side: str) -> DataFrame:
-        return own.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+        return light.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
 
-    star = star.join(of("a"), "a").join(of("b"), "b").where(plausible("a_", "b_")).select("a", "b")
-    tested, p3 = written(star, "star")
-    links, _ = written(verified(tested), "links")
-    labels = None if links.isEmpty() else components(links)
-    grouped = crowd.drop("company").withColumn("label", F.col("node")) if labels is None else crowd.drop("company").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    grouped, p4 = written(grouped, "grouped")
-    several, p5 = written(grouped.groupBy("slot", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("slot", "key"), "several")
-    mixed, p6 = written(grouped.join(several, ["slot", "key"]).join(own, "node"), "mixed")
+    tested = own.written(star.join(of("a"), "a").join(of("b"), "b").where(plausible("a_", "b_")).select("a", "b"), "star")
+    links = scratch.written(verified(tested), "links")
+    labels = None if links.isEmpty() else components(links, scratch)
+    grouped = crowd.select("key", "node", F.col("node").alias("label")) if labels is None else crowd.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    grouped = own.written(grouped, "grouped")
+    several = own.written(grouped.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"), "several")
+    mixed = own.written(grouped.join(several, "key").join(light, "node").join(nodes.select("node", "keys"), "node"), "mixed")
 
     def side(s: str) -> DataFrame:
-        return mixed.select("slot", "key", F.col("node").alias(s), F.col("label").alias(f"l{s}"), *[F.col(c).alias(f"{s}_{c}") for c in columns])
+        return mixed.select("key", F.col("node").alias(s), F.col("label").alias(f"l{s}"), *[F.col(c).alias(f"{s}_{c}") for c in [*columns, "keys"]])
 
-    across = side("a").join(side("b"), ["slot", "key"]).where(f"a < b and la <> lb and ({plausible('a_', 'b_')})").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
-    rest, p7 = written(across.join(tested, ["a", "b"], "left_anti"), "across")
+    once = "array_min(array_intersect(a_keys, b_keys)) = key"
+    across = side("a").join(side("b"), "key").where(f"a < b and la <> lb and ({plausible('a_', 'b_')}) and {once}").select("a", "b")
+    rest = own.written(across.join(tested, ["a", "b"], "left_anti"), "across")
     if not rest.isEmpty():
-        more, _ = written(verified(rest), "links")
+        more = scratch.written(verified(rest), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
-            labels = components(links)
-    dropped(spark, p2, p3, p4, p5, p6, p7, p8, p9, p10)
+            labels = components(links, scratch)
+    own.drop()
     return links, labels

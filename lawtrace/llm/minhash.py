@@ -17,8 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawtrace.llm.encoding import sliced
 from lawtrace.llm.linking import linked
-from lawtrace.llm.storage import dropped, written
+from lawtrace.llm.storage import Scratch
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Cumulative Poisson(1) probabilities: darts of a region by one uniform number.
@@ -97,113 +98,123 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
 
 
 def bands(sig: np.ndarray, rows: int) -> np.ndarray:
-    out = np.zeros(len(sig) // rows, np.uint64)
+    """A key for each band of ``rows`` coordinates; bands of different places have different keys."""
+    out = np.arange(1, len(sig) // rows + 1, dtype=np.uint64)
     for i in range(rows):
         out = mixed(out * _STEP + sig[i::rows][: len(out)])
     return out.view(np.int64)
 
 
 def sketch(sig: np.ndarray) -> list[int]:
-    """One bit of each coordinate, packed in longs."""
-    bits = np.packbits((sig >> np.uint64(17) & np.uint64(1)).astype(np.uint8))
-    return np.frombuffer(bits.tobytes().ljust(-(-len(bits) // 8) * 8, b"\0"), np.int64).tolist()
+    """Four bits of each coordinate, sixteen coordinates to a long, the last long filled up with zeros."""
+    own = np.zeros(-(-len(sig) // 16) * 16, np.uint8)
+    own[: len(sig)] = (sig >> np.uint64(17) & np.uint64(15)).astype(np.uint8)
+    return (own[::2] | own[1::2] << 4).view(np.int64).tolist()
 
 
-def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_bands: int = 36, rows: int = 7, counted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _unequal(a: str, b: str) -> str:
+    """SQL for how many of the sixteen coordinates of two longs differ."""
+    x = f"({a} ^ {b})"
+    return f"bit_count(({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & {0x1111111111111111}L)"
+
+
+def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_bands: int = 36, rows: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, class_id)`` for every row: the smallest id of its near-duplicate group.
 
-    Two texts are linked if the Jaccard similarity of their sets of ``words``-word shingles (lower case; of their bags,
-    if ``counted``) is at least ``similarity``, tested exactly on candidate pairs; groups are connected. Candidates share
-    a band: at similarity s a pair is missed with probability (1 - s ** rows) ** n_bands, 0.0002 for 0.8 by default.
-    Of those, pairs whose one-bit signatures differ in more coordinates than the expected number and six deviations are
-    left out (one in 10 ** 9 at the threshold), and pairs whose sizes rule the similarity out.
-    Equal word sequences are one node, so copies are never paired; see ``linking.linked`` for near copies.
+    Two texts are linked if the weighted Jaccard similarity of their bags of ``words``-word shingles (lower case; a shingle weighs
+    as often as it stands in the text) is at least ``similarity``, tested exactly on candidate pairs; groups are connected.
+    Candidates share a band: at similarity s a pair is missed with probability (1 - s ** rows) ** n_bands, 0.0002 for 0.8 by
+    default. Of those, pairs whose signatures, of four bits a coordinate, differ in more coordinates than the expected
+    number and five deviations are left out (one in 10 ** 6 at the threshold). Equal bags of shingles are one node, so
+    copies are never paired; see ``linking.linked`` for near copies.
 
     Texts of fewer words are one shingle and match only equal ones; null, empty and wordless texts are each a class
     of their own id; a null id is compared like others and stays null as a row's id, and never names a class that has
-    another id; rows with equal ids keep their own text's class.
+    another id; rows with equal ids keep their own text's class. Rows of an empty table have none.
     """
+    return _classed(docs, similarity, words, n_bands, rows, id_col, text_col).select("doc_id", "class_id")
+
+
+def _classed(docs: DataFrame, similarity: float, words: int, n_bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_groups`` with ``text_key``, a hash of the row's text, and ``class_key``, that of the class's first text."""
     spark = docs.sparkSession
+    own, lasting = Scratch(spark), Scratch(spark)
 
     def printed(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, times = shingles(text, words)
-                if len(found):
-                    h = mixed(found * _M1) if not counted else mixed(found * _M1 + times.astype(np.uint64))
-                    sig = signature(found, times if counted else np.ones(len(found)), n_bands * rows)
-                    out.append((key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), len(found), bands(sig, rows).tolist(), sketch(sig)))
-                else:
-                    out.append((key, None, None, 0, None, None))
-            cols = zip(*out) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], ["doc_id", "f1", "f2", "n", "keys", "bits"])
-
-    rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints, _ = written(rows_in.mapInArrow(printed, "doc_id long, f1 long, f2 long, n long, keys array<long>, bits array<long>"), "prints")
-    texts = prints.where("f1 is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    texts, p2 = written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
-    members = texts.select("node", F.posexplode("keys").alias("slot", "key")).select("slot", "key", "node")
-
-    held: list[str] = []
+            for part in sliced(batch, 1):
+                out: list[tuple] = []
+                for key, text, text_key in zip(*(c.to_pylist() for c in part.columns)):
+                    found, times = shingles(text, words)
+                    if len(found):
+                        h = mixed(found * _M1 + times.astype(np.uint64))
+                        sig = signature(found, times, n_bands * rows)
+                        out.append((key, text_key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), int(times.sum()), bands(sig, rows).tolist(), sketch(sig)))
+                    else:
+                        out.append((key, text_key, None, None, 0, None, None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 5, *[pa.list_(pa.int64())] * 2))], ["doc_id", "text_key", "f1", "f2", "n", "keys", "bits"])
+
+    rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
+    prints = lasting.written(rows_in.mapInArrow(printed, "doc_id long, text_key long, f1 long, f2 long, n long, keys array<long>, bits array<long>"), "prints")
+    # of the rows of one bag the first by id and text stands for all; max_by and min_by order by one plain value each
+    texts = prints.where("f1 is not null").groupBy("f1", "f2", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("first"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
+    texts = own.written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted, wanted_path = written(texts.select("node", "f1", "f2", "n", "doc_id").join(ends, "node"), "wanted")
-        own = wanted.select(F.col("doc_id").alias("w_id"), "node", "f1", "f2", "n")
-        if not held:  # the first call's ids grow with the input: never a broadcast side, however small here
-            own = own.hint("merge")
-        sources = rows_in.join(own, F.expr("doc_id <=> w_id")).select("node", "f1", "f2", "text")
-        sets, sets_path = written(sources.mapInArrow(shingled, "node long, held binary, times binary").dropDuplicates(["node"]), "sets")
-        dropped(spark, wanted_path)
-        held.append(sets_path)
-        both = pairs.join(sets.selectExpr("node as a", "held as ha", "times as ta"), "a").join(sets.selectExpr("node as b", "held as hb", "times as tb"), "b")
+        wanted = texts.join(ends.hint("merge"), "node").select(F.col("first.doc_id").alias("w_id"), F.col("first.text_key").alias("w_key"), "node")
+        # ids grow with the input: never a broadcast side, however small here; the hash keeps rows of one id or none apart
+        sources = rows_in.join(wanted.hint("merge"), F.expr("text_key = w_key and doc_id <=> w_id")).select("node", "text")
+        sets = own.written(sources.mapInArrow(shingled, "node long, held binary, times binary").dropDuplicates(["node"]), "sets")
+        both = pairs.join(sets.selectExpr("node as a", "held as ha", "times as ta").hint("merge"), "a").join(sets.selectExpr("node as b", "held as hb", "times as tb").hint("merge"), "b")
         return both.mapInArrow(compared, "a long, b long")
 
     def shingled(batches):
         for batch in batches:
-            out = []
-            for node, f1, f2, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found, times = shingles(text, words)
-                h = mixed(found * _M1) if not counted else mixed(found * _M1 + times.astype(np.uint64))
-                if (int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64))) == (f1, f2):  # ids may repeat
-                    out.append((node, found.tobytes(), times.astype(np.uint32).tobytes() if counted else b""))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 3, (pa.int64(), pa.binary(), pa.binary()))], ["node", "held", "times"])
+            for part in sliced(batch, 1):
+                out = [(node, *shingles(text, words)) for node, text in zip(*(c.to_pylist() for c in part.columns))]
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tobytes() for o in out], pa.binary()), pa.array([o[2].astype(np.uint32).tobytes() for o in out], pa.binary())], ["node", "held", "times"])
 
     def compared(batches):
         for batch in batches:
             keep = []
-            for i, (ha, ta, hb, tb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ha", "ta", "hb", "tb")))):
-                a, b = np.frombuffer(ha, np.uint64), np.frombuffer(hb, np.uint64)
-                _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-                if counted:
-                    wa, wb = np.frombuffer(ta, np.uint32).astype(np.int64), np.frombuffer(tb, np.uint32).astype(np.int64)
-                    both, every = np.minimum(wa[ia], wb[ib]).sum(), wa.sum() + wb.sum()
-                else:
-                    both, every = len(ia), len(a) + len(b)
+            for i in range(batch.num_rows):
+                ha, ta, hb, tb = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("ha", np.uint64), ("ta", np.uint32), ("hb", np.uint64), ("tb", np.uint32)))
+                _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
+                both, every = int(np.minimum(ta[ia], tb[ib]).sum(dtype=np.int64)), int(ta.sum(dtype=np.int64) + tb.sum(dtype=np.int64))
                 if both >= similarity * (every - both) - 1e-9:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep, pa.int64())), batch.column("b").take(pa.array(keep, pa.int64()))], ["a", "b"])
 
     k = n_bands * rows
-    most = ceil(k * (1 - similarity) / 2 + 6 * (k * (1 - similarity * similarity) / 4) ** 0.5)
-    longs = range(-(-k // 64))
-    traits = texts.select("node", "n", *[F.col("bits")[i].alias(f"k{i}") for i in longs])
-    sizes = "" if counted else f" and least(%sn, %sn) >= {similarity - 1e-9} * greatest(%sn, %sn)"
-    near = lambda a, b: " + ".join(f"bit_count({a}k{i} ^ {b}k{i})" for i in longs) + f" <= {most}" + (sizes % (a, b, a, b) if sizes else "")
-    links, labels = linked(members, verified, traits, near)
-    grouped = texts.select("f1", "f2", "n", "node", "doc_id")
+    agree = similarity + (1 - similarity) / 16  # unlike coordinates agree in four bits by chance
+    most = ceil(k * (1 - agree) + 5 * (k * agree * (1 - agree)) ** 0.5)
+    longs = range(-(-k // 16))
+
+    def traits_of(shared: DataFrame) -> DataFrame:
+        return texts.join(shared.hint("merge"), "node").select("node", "n", *[F.col("bits")[i].alias(f"k{i}") for i in longs])
+
+    def plausible(a: str, b: str) -> str:
+        return f"least({a}n, {b}n) >= {similarity - 1e-9} * greatest({a}n, {b}n) and " + " + ".join(_unequal(f"{a}k{i}", f"{b}k{i}") for i in longs) + f" <= {most}"
+
+    _, labels = linked(texts.select("node", "keys"), traits_of, verified, plausible, own)
+    grouped = texts.select("f1", "f2", "n", "first", "node")
     grouped = grouped.withColumn("label", F.col("node")) if labels is None else grouped.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    grouped, _ = written(grouped, "grouped")
-    named, _ = written(grouped.groupBy("label").agg(F.min("doc_id").alias("class_id")), "named")
-    classes, _ = written(grouped.join(named, "label").selectExpr("f1 as c1", "f2 as c2", "n as cn", "class_id"), "classes")
-    dropped(spark, p2, *held)
-    out = prints.select("doc_id", "f1", "f2", "n").join(classes, F.expr("f1 = c1 and f2 = c2 and n = cn"), "left")
-    return out.select("doc_id", F.expr("if(f1 is null, doc_id, class_id)").alias("class_id"))
+    grouped = own.written(grouped, "grouped")
+    named = grouped.groupBy("label").agg(F.min("first").alias("winner"))
+    classes = lasting.written(grouped.join(named, "label").selectExpr("f1 as c1", "f2 as c2", "n as cn", "winner.doc_id as class_id", "winner.text_key as class_key"), "classes")
+    own.drop()
+    out = prints.select("doc_id", "text_key", "f1", "f2", "n").join(classes, F.expr("f1 = c1 and f2 = c2 and n = cn"), "left")
+    return out.select("doc_id", "text_key", F.expr("if(f1 is null, doc_id, class_id)").alias("class_id"), F.expr("if(f1 is null, text_key, class_key)").alias("class_key"))
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id names its class, one row for each class; documents without words all stay."""
-    keep, _ = written(near_groups(docs, similarity, words, id_col=id_col, text_col=text_col).where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    left = docs.join(keep.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
-    return left.dropDuplicates([id_col, text_col])
+    """One row of ``docs`` for each class: the row with the smallest id, and of rows with one id that with the smallest text
+    hash; null ids come last. Rows that agree in id and text are one, and which of them stays is open; documents
+    without words all stay but for such repetitions.
+    """
+    classed = _classed(docs, similarity, words, 36, 7, id_col, text_col)
+    keep = Scratch(docs.sparkSession).written(classed.where("doc_id <=> class_id and text_key = class_key").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct(), "kept")
+    keyed = docs.withColumn("kept_own", F.xxhash64(F.col(text_col)))
+    left = keyed.join(keep.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")) & (F.col("kept_own") == F.col("kept_key")), "left_semi")
+    return left.dropDuplicates([id_col, "kept_own"]).drop("kept_own")

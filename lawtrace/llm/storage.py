@@ -6,6 +6,7 @@ schema, so empty tables keep their columns.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,14 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share.
+
+    Where the session names none, a cluster's warehouse holds the tables; only a session whose executors run inside the
+    driver, as in tests, gets a folder of the machine.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
-            return found.get().rstrip("/")
-        folder = tempfile.mkdtemp(prefix="lawtrace-")
-        spark.sparkContext.setCheckpointDir(folder)
+            folder = found.get()
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            folder = tempfile.mkdtemp(prefix="lawtrace-")
+            spark.sparkContext.setCheckpointDir(folder)
+        else:
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lawtrace-scratch"
     return folder.rstrip("/")
 
 
@@ -42,3 +50,20 @@ def dropped(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Stored tables of one step, deleted together by ``drop``. What a returned frame still reads must be in none that is
+    dropped: those few tables stay until the session's shared folder is cleared."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        table, path = written(df, label)
+        self.paths.append(path)
+        return table
+
+    def drop(self) -> None:
+        dropped(self.spark, *self.paths)
+        self.paths = []

@@ -2,12 +2,14 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lawtrace.llm import line_dedup, linking, minhash, queries
+from lawtrace.llm import line_dedup, linking, minhash, queries, storage
 
 
 def grouped(ids, links):
@@ -24,15 +26,16 @@ def grouped(ids, links):
     return {i: root(i) for i in ids}
 
 
-def word_sets(text, n=5):
+def word_bags(text, n=5):
     words = (text or "").lower().encode().split()
-    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+    return Counter(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else Counter()
 
 
 def brute_groups(texts, similarity=0.8):
-    sets = {k: word_sets(t) for k, t in texts}
-    links = [(a, b) for a, b in combinations(sets, 2) if sets[a] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
-    return grouped(list(sets), links)
+    """Groups by weighted Jaccard similarity of all pairs."""
+    bags = {k: word_bags(t) for k, t in texts}
+    links = [(a, b) for a, b in combinations(bags, 2) if bags[a] and (bags[a] & bags[b]).total() >= similarity * (bags[a] | bags[b]).total()]
+    return grouped(list(bags), links)
 
 
 def families(n_base=12, copies=6, seed=5):
@@ -63,6 +66,16 @@ def test_near_groups_of_odd_rows(spark):
     assert sorted((r.doc_id or -1, r.class_id) for r in minhash.near_groups(ties).collect()) == [(-1, 1), (1, 1), (1, 1), (1, 1), (4, 1)]
 
 
+def test_one_of_each_with_equal_and_null_ids(spark):
+    a, b, c = families(n_base=3, copies=1, seed=9)
+    near = a + " and more"
+    rows = [(1, a), (2, near), (2, b), (None, near), (None, c), (None, c), (3, None), (3, None), (4, ""), (None, None)]
+    table = spark.createDataFrame([(*r, "clash", 5) for r in rows], "doc_id long, text string, class_id string, text_key int")
+    kept = minhash.one_of_each(table)
+    assert kept.columns == table.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (2, b), (None, c), (3, None), (4, ""), (None, None)], key=str)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     for low, high in ((1, 2), (1, 9)):
@@ -79,16 +92,17 @@ def test_signatures_estimate_weighted_similarity():
 
 def test_linking_keeps_all_connections_of_a_bucket(spark):
     # in one bucket, 1-2-3 is a chain off the pivot 0, and 4 is alone
-    members = spark.createDataFrame([(0, 0, n) for n in range(5)] + [(1, 5, n) for n in (4, 9)], "slot int, key long, node long")
+    nodes = spark.createDataFrame([(n, [7, 8] if n == 4 else [8] if n == 9 else [7]) for n in (*range(5), 9)], "node long, keys array<long>")
+    traits = lambda shared: shared.withColumn("n", F.lit(1))
     true = {(1, 2), (2, 3)}
     table = spark.createDataFrame(sorted(true), "a long, b long")
-    traits = spark.createDataFrame([(n, 1) for n in (*range(5), 9)], "node long, n int")
-    links, labels = linking.linked(members, lambda pairs: pairs.join(table, ["a", "b"]), traits, lambda a, b: f"{a}n = {b}n")
+    scratch = storage.Scratch(spark)
+    links, labels = linking.linked(nodes, traits, lambda pairs: pairs.join(table, ["a", "b"]), lambda a, b: f"{a}n = {b}n", scratch)
     assert {tuple(r) for r in links.collect()} == true
     assert {r.node: r.label for r in labels.collect()} == {1: 1, 2: 1, 3: 1}
-    assert linking.linked(members, lambda pairs: pairs.where("false"), traits, lambda a, b: "true")[1] is None
+    assert linking.linked(nodes, traits, lambda pairs: pairs.where("false"), lambda a, b: "true", scratch)[1] is None
     chain = spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long")
-    assert {r.label for r in linking.components(chain).collect()} == {0}
+    assert {r.label for r in linking.components(chain, scratch).collect()} == {0}
 
 
 def words_of(line):
