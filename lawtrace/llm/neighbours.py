@@ -1,21 +1,22 @@
 """Approximate nearest neighbours by cross-polytope hashing with multiprobe tables and exact reranking.
 
 Vectors are scaled to the unit ball and completed to unit length in one more coordinate, so that the largest inner
-product is the largest cosine. A pseudo-rotation is three rounds of random signs and a fast Hadamard transform; a
-vector's bucket is its nearest signed axis, and a query probes its nearest axes in every table. Inside a bucket all
-inner products are computed in blocks and only each query's best stay.
+product is the largest cosine. A pseudo-rotation is three rounds of random signs and a fast Hadamard transform, and hashes
+a vector to its nearest signed axis. A table's bucket joins the axes of ``depth`` rotations, as many as leave about 64
+vectors or fewer in a bucket; a query probes the buckets whose axes have the largest summed coordinates, about
+``effort * sqrt(n)`` vectors in each table. All inner products of a probed bucket are computed and only each query's best stay.
 """
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawtrace.llm.storage import written
+from lawtrace.llm.storage import Scratch
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -31,13 +32,14 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 class CrossPolytope:
     """The tables' pseudo-rotations; equal parameters give equal tables in every task."""
 
-    def __init__(self, dim: int, tables: int, seed: int, longest: float, shortest: float):
+    def __init__(self, dim: int, tables: int, depth: int, seed: int, longest: float, shortest: float):
         self.dim, self.longest, self.equal = dim, longest, shortest >= longest * (1 - 1e-6)
         self.width = 1 << (dim - self.equal).bit_length()  # with room for the completing coordinate, if lengths differ
-        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, self.width))
+        self.axes, self.depth, self.tables = 2 * self.width, depth, tables
+        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, depth, 3, self.width))
 
-    def _axes(self, x: np.ndarray, table: int) -> np.ndarray:
-        for s in self.signs[table]:
+    def _axes(self, x: np.ndarray, table: int, level: int) -> np.ndarray:
+        for s in self.signs[table, level]:
             x = hadamard(x * s)
         return np.concatenate([x, -x], axis=1)
 
@@ -49,15 +51,25 @@ class CrossPolytope:
             out[:, self.dim] = np.sqrt(np.clip(1 - (size / self.longest) ** 2, 0, None))
         return out
 
-    def buckets(self, x: np.ndarray) -> np.ndarray:
-        """``[tables, rows]``: the nearest signed axis."""
-        x = self._placed(x, query=False)
-        return np.array([self._axes(x, t).argmax(axis=1) for t in range(len(self.signs))])
+    def buckets(self, x: np.ndarray, table: int) -> np.ndarray:
+        """The nearest signed axis of every level, as digits of one number."""
+        x, out = self._placed(x, query=False), np.zeros(len(x), np.int64)
+        for level in range(self.depth):
+            out = out * self.axes + self._axes(x, table, level).argmax(axis=1)
+        return out
 
-    def probes(self, x: np.ndarray, n: int) -> np.ndarray:
-        """``[tables, rows, n]``: the n nearest signed axes."""
+    def probes(self, x: np.ndarray, table: int, n: int) -> np.ndarray:
+        """``[rows, n]``: the n buckets of the largest summed coordinates. A bucket is among them only if its first
+        levels are among the n best of those, so the levels are joined one by one."""
         x = self._placed(x, query=True)
-        return np.array([np.argsort(-self._axes(x, t), axis=1, kind="stable")[:, :n] for t in range(len(self.signs))])
+        score, code = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
+        for level in range(self.depth):
+            joined = (len(x), score.shape[1] * self.axes)
+            score = (score[:, :, None] + self._axes(x, table, level)[:, None, :]).reshape(joined)
+            code = (code[:, :, None] * self.axes + np.arange(self.axes)).reshape(joined)
+            keep = np.argsort(-score, axis=1, kind="stable")[:, :n]
+            score, code = np.take_along_axis(score, keep, 1), np.take_along_axis(code, keep, 1)
+        return code
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -66,107 +78,130 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     return v.where("v is not null and vec_id is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
 
 
-def nearest(vectors: DataFrame, query_condition: str, k: int = 20, tables: int = 12, probe_share: float = 12 / 128, seed: int = 11, block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, query_condition: str, k: int = 20, tables: int = 32, effort: float = 0.55, seed: int = 11, block: int = 16384, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for rows meeting ``query_condition`` (SQL on vec_id) their k nearest found.
 
-    Nearest is the largest inner product in double precision, ties to the smaller id; a query's own row is no
-    candidate, other rows with its id are. Rows of ``usable`` with the table's most frequent dimension take part.
-    Buckets are cut into blocks of about ``block`` vectors by ``block`` queries that are shuffled by (table, bucket,
-    block, block), so a hot bucket becomes many equal groups; what is broadcast is one count for each table and axis.
-    There is no cap: every vector of a probed bucket is scored.
-    A query probes ``probe_share`` of all axes in each table; the few whose probed buckets together hold fewer than k
-    other rows are asked again with all axes of one table, so no result is short while rows are left.
+    Nearest is the largest inner product in double precision, ties to the smaller id; rows with a query's own id are no
+    candidates of it. Rows of ``usable`` take part; vectors meet those of their own dimension, in one search for each.
+    There is no cap: every vector of a probed bucket is scored. The few queries whose probed buckets together hold fewer
+    than k other rows are asked again with all buckets of one table, so no result is short while rows are left. An empty
+    table has no result; of repeated rows with one id and vector a query names the id once.
     """
-    found = _probed(vectors, query_condition, k, tables, probe_share, seed, block, id_col, vector_col)
-    found, _ = written(found, "neighbours")
+    rows = usable(vectors, id_col, vector_col)
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    length = F.expr("sqrt(aggregate(v, 0D, (a, x) -> a + x * x))")
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(length).alias("longest"), F.min(length).alias("shortest")).orderBy("dim").collect()
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for s in sizes:  # one row for each dimension, commonly a single one
+        own = rows.where(F.size("v") == s["dim"]).withColumn("is_query", F.expr(query_condition))
+        found = found.unionByName(_of_one_dimension(own, s, k, tables, effort, seed, block, kind))
+    return found
+
+
+def _of_one_dimension(rows: DataFrame, size, k: int, tables: int, effort: float, seed: int, block: int, kind: str) -> DataFrame:
+    axes = CrossPolytope(size["dim"], 1, 1, seed, size["longest"], size["shortest"]).axes
+    depth = max(1, ceil(log(max(size["n"] / 64, 1)) / log(axes)))
+    probes = min(axes**depth, ceil(effort * size["n"] ** 0.5 * axes**depth / size["n"]) + (depth == 1))
+    own = Scratch(rows.sparkSession)
+    found = Scratch(rows.sparkSession).written(_probed(rows, CrossPolytope(size["dim"], tables, depth, seed, size["longest"], size["shortest"]), k, probes, block, kind), "neighbours")
     full = found.groupBy("query_id").agg(F.count("*").alias("n")).where(f"n >= {k}").select(F.col("query_id").alias("vec_id"))
-    short = usable(vectors, id_col, vector_col).where(query_condition).select("vec_id").distinct().join(full, "vec_id", "left_anti")
-    short, _ = written(short, "short-queries")
+    short = own.written(rows.where("is_query").select("vec_id").distinct().join(full, "vec_id", "left_anti"), "short-queries")
     if short.isEmpty():
+        own.drop()
         return found
-    again = _probed(vectors, query_condition, k, 1, 1.0, seed, block, id_col, vector_col, short)
-    return found.join(short.withColumnRenamed("vec_id", "query_id"), "query_id", "left_anti").select(*found.columns).unionByName(again)
+    asked = rows.join(short.withColumn("asked", F.lit(True)), "vec_id", "left").withColumn("is_query", F.expr("is_query and asked is not null")).select(*rows.columns)
+    again = Scratch(rows.sparkSession).written(_probed(asked, CrossPolytope(size["dim"], 1, 1, seed, size["longest"], size["shortest"]), k, axes, block, kind).unionByName(found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi")), "neighbours")
+    own.drop()
+    return again
 
 
-def _probed(vectors: DataFrame, query_condition: str, k: int, tables: int, probe_share: float, seed: int, block: int, id_col: str, vector_col: str, only: DataFrame | None = None) -> DataFrame:
-    """One search; ``only``: the ids of the rows that may ask."""
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col).withColumn("is_query", F.expr(query_condition))
-    if only is not None:
-        rows = rows.join(only.withColumn("asked", F.lit(True)), "vec_id", "left").withColumn("is_query", F.expr("is_query and asked is not null"))
-    length = F.expr("sqrt(aggregate(v, 0D, (a, x) -> a + x * x))")
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(length).alias("longest"), F.min(length).alias("shortest"))
-    common = sizes.orderBy(F.desc("n"), "dim").first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if common is None:
-        return spark.createDataFrame([], result)
-    rows = rows.where(F.size("v") == common["dim"])
-    polytope = CrossPolytope(common["dim"], tables, seed, common["longest"], common["shortest"])
-    axes = 2 * polytope.width
-    probes = max(1, ceil(probe_share * axes))
-
-    def vectors_of(batch) -> np.ndarray:
-        return np.array(batch.column("v").values.to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, polytope.dim))
+def _probed(rows: DataFrame, polytope: CrossPolytope, k: int, probes: int, block: int, kind: str) -> DataFrame:
+    """One search. Rows are dealt out by (table, all levels but the last): a group holds the buckets of all last axes, and a
+    query comes to it once with the last axes that it probes there. Groups of more than ``block`` vectors or queries, as
+    a hot vector makes them, are cut into blocks of each; what is broadcast is the number of blocks of those groups.
+    Vectors of single precision are shuffled in it, which loses nothing.
+    """
+    spark, dim, axes, tables = rows.sparkSession, polytope.dim, polytope.axes, polytope.tables
 
-    def counted(batches):
-        held, asked = np.zeros((tables, axes), np.int64), np.zeros((tables, axes), np.int64)
+    def parts(batches):
+        """Ids, vectors and which rows ask, a thousand rows at a time."""
         for batch in batches:
-            x = vectors_of(batch)
-            own = polytope.buckets(x)
-            q = np.asarray(batch.column("is_query").to_pylist(), bool)
-            near = polytope.probes(x[q], probes)
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
+                yield b.column("vec_id").to_numpy(), np.array(b.column("v").flatten().to_numpy(zero_copy_only=False), float).reshape(b.num_rows, dim), np.asarray(b.column("is_query").to_pylist(), bool)
+
+    def asked_groups(near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of probed buckets [queries, n]: query, group, and the last axes of each such pair as (axes, offsets)."""
+        who, code = np.repeat(np.arange(len(near)), near.shape[1]), near.ravel()
+        order = np.lexsort((code, who))
+        who, code = who[order], code[order]
+        new = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (code[1:] // axes != code[:-1] // axes))) if len(who) else np.zeros(0, np.int64)
+        return who[new], code[new] // axes, (code % axes).astype(np.int32), np.append(new, len(who)).astype(np.int32)
+
+    def counted(batches):
+        for _, x, asks in parts(batches):
             for t in range(tables):
-                held[t] += np.bincount(own[t], minlength=axes)
-                asked[t] += np.bincount(near[t].ravel(), minlength=axes)
-        t, b = np.nonzero(held + asked)
-        yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(b, pa.int32()), pa.array(held[t, b]), pa.array(asked[t, b])], ["t", "b", "held", "asked"])
+                held, n_held = np.unique(polytope.buckets(x, t) // axes, return_counts=True)
+                group, n_asked = np.unique(asked_groups(polytope.probes(x[asks], t, probes))[1], return_counts=True)
+                g = np.concatenate([held, group])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), t), pa.int32()), pa.array(g), pa.array(np.append(n_held, np.zeros(len(group), np.int64))), pa.array(np.append(np.zeros(len(held), np.int64), n_asked))], ["t", "g", "held", "asked"])
 
     picked = rows.select("vec_id", "v", "is_query")
-    counts = picked.mapInArrow(counted, "t int, b int, held long, asked long").groupBy("t", "b").agg(F.sum("held").alias("held"), F.sum("asked").alias("asked")).collect()
-    blocks = np.ones((2, tables, axes), np.int64)
-    for r in counts:
-        blocks[:, r["t"], r["b"]] = max(1, -(-r["held"] // block)), max(1, -(-r["asked"] // block))
+    counts = picked.mapInArrow(counted, "t int, g long, held long, asked long").groupBy("t", "g").agg(F.sum("held").alias("held"), F.sum("asked").alias("asked")).where(f"held > {block} or asked > {block}").collect()
+    large = {(r["t"], r["g"]): (-(-r["held"] // block) or 1, -(-r["asked"] // block) or 1) for r in counts}
+
+    def blocks(t: int, groups: np.ndarray) -> np.ndarray:
+        """``[groups, 2]``: blocks of vectors and of queries."""
+        names, place = np.unique(groups, return_inverse=True)
+        return np.array([large.get((t, int(g)), (1, 1)) for g in names], np.int64).reshape(-1, 2)[place]
 
     def dealt(batches):
-        for batch in batches:
-            x, ids = vectors_of(batch), batch.column("vec_id").to_numpy()
+        for ids, x, asks in parts(batches):
             mixed = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
-            q = np.flatnonzero(np.asarray(batch.column("is_query").to_pylist(), bool))
-            own, near = polytope.buckets(x), polytope.probes(x[q], probes)
+            q = np.flatnonzero(asks)
             for t in range(tables):
-                for asks, who, bucket in ((False, np.arange(len(x)), own[t]), (True, np.repeat(q, near.shape[2]), near[t].ravel())):
-                    mine, other = blocks[int(asks), t][bucket], blocks[1 - int(asks), t][bucket]
-                    part = (mixed[who] % mine.astype(np.uint64)).astype(np.int64)
-                    at = np.repeat(np.arange(len(who)), other)  # once for every block of the other side
+                code = polytope.buckets(x, t)
+                who, group, last, offsets = asked_groups(polytope.probes(x[q], t, probes))
+                for asking, w, g, last_axes, bounds in ((False, np.arange(len(x)), code // axes, (code % axes).astype(np.int32), np.arange(len(x) + 1, dtype=np.int32)), (True, q[who], group, last, offsets)):
+                    n = blocks(t, g)
+                    mine, other = n[:, int(asking)], n[:, 1 - int(asking)]
+                    part = (mixed[w] % mine.astype(np.uint64)).astype(np.int64)
+                    at = np.repeat(np.arange(len(w)), other)  # once for every block of the other side
                     facing = np.arange(len(at)) - np.repeat(np.cumsum(other) - other, other)
-                    pair = (facing, part[at]) if asks else (part[at], facing)
-                    key = ((np.int64(t) * axes + bucket[at]) << 40) | (pair[0] << 20) | pair[1]
-                    chosen = who[at]
-                    flat = pa.array(x[chosen].ravel())
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[chosen]), pa.array(np.full(len(at), asks)), pa.FixedSizeListArray.from_arrays(flat, polytope.dim).cast(pa.list_(pa.float64()))], ["key", "vec_id", "asks", "v"])
+                    pair = (facing, part[at]) if asking else (part[at], facing)
+                    key = ((np.int64(t) * axes ** (polytope.depth - 1) + g[at]) << 36) | (pair[0] << 18) | pair[1]
+                    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(last_axes)).take(pa.array(at))
+                    flat = pa.array(x[w[at]].ravel(), pa.float32() if kind == "array<float>" else pa.float64())
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[w[at]]), pa.array(np.full(len(at), asking)), lists, pa.FixedSizeListArray.from_arrays(flat, dim).cast(pa.list_(flat.type))], ["key", "vec_id", "asks", "last", "v"])
 
     def best(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         asks = np.asarray(group.column("asks").to_pylist(), bool)
-        x = np.concatenate([c.values.to_numpy() for c in group.column("v").chunks]).reshape(len(asks), -1) if len(asks) else np.zeros((0, polytope.dim))
-        ids = group.column("vec_id").to_numpy()
-        (q, qid), (c, cid) = (x[asks], ids[asks]), (x[~asks], ids[~asks])
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for at in range(0, len(q) if len(c) else 0, 512):
-            rough = q[at : at + 512] @ c.T
-            same = qid[at : at + 512, None] == cid[None, :]
-            rough[same] = -np.inf
-            keep = min(k, len(cid))
-            least = np.partition(rough, len(cid) - keep, axis=1)[:, len(cid) - keep] - 1e-9
-            i, j = np.nonzero((rough >= np.where(np.isfinite(least), least, -np.finfo(float).max)[:, None]) & ~same)
-            score = (q[at + i] * c[j]).sum(axis=1)  # equal vectors get equal scores, whatever block they are in
-            order = np.lexsort((cid[j], -score, i))
-            i, j, score = i[order], j[order], score[order]
-            nth = np.arange(len(i)) - np.searchsorted(i, i)
-            out.append((qid[at + i[nth < k]], cid[j[nth < k]], score[nth < k]))
-        return pa.table({"query_id": np.concatenate([o[0] for o in out]), "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
-
-    pairs = picked.mapInArrow(dealt, "key long, vec_id long, asks boolean, v array<double>").groupBy("key").applyInArrow(best, "query_id long, vec_id long, score double")
+        x = np.concatenate([np.zeros(0), *(c.flatten().to_numpy() for c in group.column("v").chunks)]).astype(float).reshape(len(asks), -1) if len(asks) else np.zeros((0, dim))
+        ids, lasts = group.column("vec_id").to_numpy(), group.column("last").to_pylist()
+        at_q, at_c = np.flatnonzero(asks), np.flatnonzero(~asks)
+        wanted: dict[int, list[int]] = {}
+        for i in at_q.tolist():
+            for a in lasts[i]:
+                wanted.setdefault(a, []).append(i)
+        own = np.array([lasts[i][0] for i in at_c.tolist()], np.int64)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for a in np.unique(own).tolist():
+            c = at_c[own == a]
+            for at in range(0, len(wanted.get(a, ())), 256):
+                q = np.array(wanted[a][at : at + 256])
+                rough = x[q] @ x[c].T
+                rough[ids[q][:, None] == ids[c][None, :]] = -np.inf
+                least = np.partition(rough, len(c) - min(k, len(c)), axis=1)[:, len(c) - min(k, len(c))] - 1e-9
+                i, j = np.nonzero((rough >= np.where(np.isfinite(least), least, -np.finfo(float).max)[:, None]) & np.isfinite(rough))
+                found.append((q[i], c[j], (x[q[i]] * x[c[j]]).sum(axis=1)))  # equal vectors get equal scores in any block
+        q, c, score = (np.concatenate([f[n] for f in found]) for n in range(3))
+        order = np.lexsort((ids[c], -score, q))
+        q, c, score = q[order], c[order], score[order]
+        nth = np.arange(len(q)) - np.searchsorted(q, q)
+        return pa.table({"query_id": ids[q[nth < k]], "vec_id": ids[c[nth < k]], "score": score[nth < k]})
+
+    pairs = picked.mapInArrow(dealt, f"key long, vec_id long, asks boolean, last array<int>, v {kind}").groupBy("key").applyInArrow(best, "query_id long, vec_id long, score double")
     once = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = once.selectExpr("query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank", "vec_id", "score")
     return ranked.where(f"rank <= {k}")

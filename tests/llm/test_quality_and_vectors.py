@@ -143,3 +143,40 @@ def test_neighbours_of_few_odd_and_equal_vectors(spark):
     hot = spark.createDataFrame([(i, [0.6, 0.8]) for i in range(500)], "vec_id long, embedding array<float>")
     for r in neighbours.nearest(hot, "vec_id % 20 = 0", k=5, block=64).collect():
         assert r.vec_id == [i for i in range(7) if i != r.query_id][r["rank"] - 1]
+
+
+def test_neighbours_of_mixed_dimensions_null_ids_and_single_precision(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(3 if i % 3 else 5).tolist()) for i in range(90)] + [(None, [1.0, 2.0, 3.0])]
+    for kind in ("float", "double"):
+        exact = [(i, np.float32(v) if kind == "float" else v) for i, v in rows]
+        got = {}
+        for r in neighbours.nearest(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), "vec_id % 20 = 0", k=100).orderBy("rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        for q in range(0, 90, 20):
+            own = [(i, np.asarray(v, float)) for i, v in exact if i is not None and i != q and len(v) == len(rows[q][1])]
+            scores = {i: float(np.dot(np.asarray(exact[q][1], float), v)) for i, v in own}
+            assert sorted(i for i, _ in got[q]) == sorted(scores)  # fewer than k: all candidates
+            assert all(abs(scores[i] - s) < 1e-12 for i, s in got[q])
+
+
+def test_two_levels_of_axes_score_a_seventh_of_the_pairs_at_most():
+    """At 50,000 vectors like the table's: what brute force finds and how many products it takes, by the operator's own hashes."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((50_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = np.arange(0, 50_000, 1000)
+    polytope = neighbours.CrossPolytope(64, 32, 2, 11, 1.0, 1.0)
+    probes = int(np.ceil(0.55 * 50_000**0.5 * polytope.axes**2 / 50_000))
+    found, products = np.zeros((len(q), len(x)), bool), 0
+    for t in range(32):
+        code, near = polytope.buckets(x, t), polytope.probes(x[q], t, probes)
+        for i in range(len(q)):
+            hit = np.isin(code, near[i])
+            found[i] |= hit
+            products += int(hit.sum())
+    scores = x[q] @ x.T
+    scores[np.arange(len(q)), q] = -2
+    top = np.argsort(-scores, axis=1)[:, :20]
+    assert np.take_along_axis(found, top, 1).mean() >= 0.9
+    assert products <= 0.15 * len(q) * len(x)
