@@ -9,8 +9,6 @@ k ln k darts however many shingles it has.
 
 from __future__ import annotations
 
-from math import ceil
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,6 +20,7 @@ from lawtrace.llm.linking import linked
 from lawtrace.llm.storage import Scratch
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+BINS = 512  # of the sketch that candidate pairs are held to
 #: Cumulative Poisson(1) probabilities: darts of a region by one uniform number.
 _POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880, 3628800)])
 
@@ -105,17 +104,33 @@ def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketch(sig: np.ndarray) -> list[int]:
-    """Four bits of each coordinate, sixteen coordinates to a long, the last long filled up with zeros."""
-    own = np.zeros(-(-len(sig) // 16) * 16, np.uint8)
-    own[: len(sig)] = (sig >> np.uint64(17) & np.uint64(15)).astype(np.uint8)
+def sketch(elements: np.ndarray, times: np.ndarray) -> list[int]:
+    """Of all elements, an element of weight w being w elements, the least hash in each of ``BINS`` bins: four bits of
+    it, zero for an empty bin, sixteen bins to a long. For bags of fewer elements than bins this is nearly the whole bag."""
+    times = times.astype(np.int64)
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    h = np.sort(mixed(np.repeat(elements, times) + _STEP * (nth.astype(np.uint64) + np.uint64(1))))
+    at = (h // np.uint64((1 << 64) // BINS)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    own = np.zeros(BINS, np.uint8)
+    own[at[first]] = mixed(h[first]) % np.uint64(15) + np.uint64(1)
     return (own[::2] | own[1::2] << 4).view(np.int64).tolist()
 
 
-def _unequal(a: str, b: str) -> str:
-    """SQL for how many of the sixteen coordinates of two longs differ."""
-    x = f"({a} ^ {b})"
-    return f"bit_count(({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & {0x1111111111111111}L)"
+def _sketches_allow(a: str, b: str, similarity: float, deviations: float = 5) -> str:
+    """SQL that holds unless the share of equal bins lies ``deviations`` below what it is at the similarity.
+
+    N of the U elements of both bags stand in a bin, as a sample without repetition, so the variance of the share is
+    s (1 - s) / N (1 - N / U).
+    """
+    held = lambda x: f"bit_count(({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & {0x1111111111111111}L)"
+    longs = range(BINS // 16)
+    unequal = " + ".join(held(f"({a}k{i} ^ {b}k{i})") for i in longs)
+    filled = " + ".join(held(f"({a}k{i} | {b}k{i})") for i in longs)
+    u = f"(({a}n + {b}n) / {1 + similarity}D)"
+    n = f"({BINS}D * (1D - exp(-{u} / {BINS}D)))"
+    low = f"({similarity - 0.002}D - {deviations}D * sqrt(greatest({similarity * (1 - similarity)}D / {n} * (1D - {n} / {u}), 0D)))"
+    return f"({unequal}) <= ({filled}) * (1D - {low})"
 
 
 def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_bands: int = 36, rows: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,8 +139,8 @@ def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5, n_band
     Two texts are linked if the weighted Jaccard similarity of their bags of ``words``-word shingles (lower case; a shingle weighs
     as often as it stands in the text) is at least ``similarity``, tested exactly on candidate pairs; groups are connected.
     Candidates share a band: at similarity s a pair is missed with probability (1 - s ** rows) ** n_bands, 0.0002 for 0.8 by
-    default. Of those, pairs whose signatures, of four bits a coordinate, differ in more coordinates than the expected
-    number and five deviations are left out (one in 10 ** 6 at the threshold). Equal bags of shingles are one node, so
+    default. Of those, pairs whose sketches of ``BINS`` bins agree five deviations less than at the threshold are left
+    out (one in 10 ** 6 there). Equal bags of shingles are one node, so
     copies are never paired; see ``linking.linked`` for near copies.
 
     Texts of fewer words are one shingle and match only equal ones; null, empty and wordless texts are each a class
@@ -149,7 +164,7 @@ def _classed(docs: DataFrame, similarity: float, words: int, n_bands: int, rows:
                     if len(found):
                         h = mixed(found * _M1 + times.astype(np.uint64))
                         sig = signature(found, times, n_bands * rows)
-                        out.append((key, text_key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), int(times.sum()), bands(sig, rows).tolist(), sketch(sig)))
+                        out.append((key, text_key, int(h.sum().view(np.int64)), int(mixed(h ^ _M2).sum().view(np.int64)), int(times.sum()), bands(sig, rows).tolist(), sketch(found, times)))
                     else:
                         out.append((key, text_key, None, None, 0, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 5, *[pa.list_(pa.int64())] * 2))], ["doc_id", "text_key", "f1", "f2", "n", "keys", "bits"])
@@ -186,16 +201,11 @@ def _classed(docs: DataFrame, similarity: float, words: int, n_bands: int, rows:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep, pa.int64())), batch.column("b").take(pa.array(keep, pa.int64()))], ["a", "b"])
 
-    k = n_bands * rows
-    agree = similarity + (1 - similarity) / 16  # unlike coordinates agree in four bits by chance
-    most = ceil(k * (1 - agree) + 5 * (k * agree * (1 - agree)) ** 0.5)
-    longs = range(-(-k // 16))
-
     def traits_of(shared: DataFrame) -> DataFrame:
-        return texts.join(shared.hint("merge"), "node").select("node", "n", *[F.col("bits")[i].alias(f"k{i}") for i in longs])
+        return texts.join(shared.hint("merge"), "node").select("node", "n", *[F.col("bits")[i].alias(f"k{i}") for i in range(BINS // 16)])
 
     def plausible(a: str, b: str) -> str:
-        return f"least({a}n, {b}n) >= {similarity - 1e-9} * greatest({a}n, {b}n) and " + " + ".join(_unequal(f"{a}k{i}", f"{b}k{i}") for i in longs) + f" <= {most}"
+        return f"least({a}n, {b}n) >= {similarity - 1e-9}D * greatest({a}n, {b}n) and {_sketches_allow(a, b, similarity)}"
 
     _, labels = linked(texts.select("node", "keys"), traits_of, verified, plausible, own)
     grouped = texts.select("f1", "f2", "n", "first", "node")

@@ -156,8 +156,10 @@ def _bounds(row: dict) -> tuple[EliasFano, EliasFano]:
 
 
 def _starts(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``base``, the ids before their partition. A plain join: what it matches is one row a partition."""
-    return blocks.join(partition_starts(blocks), "partition")
+    """``blocks`` with ``base``, the ids before their partition. The side with a row for each task of the writing job is
+    broadcast up to a million tasks, so that no block is shuffled; beyond that both sides are."""
+    starts = partition_starts(blocks)
+    return blocks.join(F.broadcast(starts) if starts.count() <= 1_000_000 else starts, "partition")
 
 
 def read_token_files(spark, folder: str) -> DataFrame:

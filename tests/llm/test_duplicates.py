@@ -66,6 +66,26 @@ def test_near_groups_of_odd_rows(spark):
     assert sorted((r.doc_id or -1, r.class_id) for r in minhash.near_groups(ties).collect()) == [(-1, 1), (1, 1), (1, 1), (1, 1), (4, 1)]
 
 
+def test_sketches_never_rule_out_links_of_small_bags(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in (1, 4, 20, 146, 700, 3000):
+        for _ in range(40):
+            e = rng.integers(0, 2**63, n, dtype=np.uint64)
+            times = rng.integers(1, 3, n).astype(float)
+            other = times.copy()
+            total = int(times.sum())
+            for i in rng.permutation(n):  # take elements away while the similarity stays at 0.8 or more
+                if other.sum() - 1 >= 0.8 * total:
+                    other[i] -= 1
+            held = other > 0
+            rows.append((total, int(other.sum()), minhash.sketch(e, times), minhash.sketch(e[held], other[held])))
+    table = spark.createDataFrame(rows, "a_n long, b_n long, a array<long>, b array<long>")
+    table = table.select("a_n", "b_n", *[F.col(s)[i].alias(f"{s}_k{i}") for s in "ab" for i in range(minhash.BINS // 16)])
+    assert table.where(minhash._sketches_allow("a_", "b_", 0.8)).count() == len(rows)
+    assert table.where(minhash._sketches_allow("a_", "b_", 0.99)).count() < 0.5 * len(rows)
+
+
 def test_one_of_each_with_equal_and_null_ids(spark):
     a, b, c = families(n_base=3, copies=1, seed=9)
     near = a + " and more"
