@@ -50,9 +50,9 @@ def camera_in_view(spark, sf_dir):
     return views.traj(spark, sf_dir).select("clip_uid", "body_id", "frame", seen().alias("seen"))
 
 
-@query(SEEN_SQL + ", p as (select clip_uid, frame, count(*) filter (where present) as here, count(*) filter (where present and seen) as n from seen where frame >= 5 and body_id % 3 = 0 group by 1, 2) select clip_uid, count(*) filter (where n < 0.6e0 * here) as frames from p group by 1")
+@query(SEEN_SQL + ", p as (select clip_uid, frame, count(*) filter (where present) as here, count(*) filter (where present and seen) as n from seen where frame >= 5 group by 1, 2) select clip_uid, count(*) filter (where n < 0.6e0 * here) as frames from p group by 1")
 def camera_off_screen(spark, sf_dir):
-    return geometry.off_screen_frames(views.traj(spark, sf_dir).where("body_id % 3 = 0"), seen(), F.lit(5))
+    return geometry.off_screen_frames(views.traj(spark, sf_dir), seen(), F.lit(5))
 
 
 _slab = "greatest(least((4 - 5) / nullif(px - 5, 0), (6.5e0 - 5) / nullif(px - 5, 0)), least((0 + 20) / (py + 20), (1 + 20) / (py + 20)), least((1 - 6) / nullif(pz - 6, 0), (4 - 6) / nullif(pz - 6, 0)), 0)"

@@ -97,20 +97,20 @@ def mask_subset(spark, sf_dir):
     return pixels.outside(s.i.where("body_id in (1, 2)").select(*pixels.PIXEL), s.mask()).groupBy("clip_uid").agg(F.count("*").alias("outside"))
 
 
-DILATED = f"dil as (select distinct clip_uid, frame, (y + dy + {H}) % {H} as y, (x + dx + {W}) % {W} as x from i, (select unnest(range(-3, 4)) as dy) a, (select unnest(range(-3, 4)) as dx) b where body_id = 1 and clip_uid % 5 = 0)"
+DILATED = f"dil as (select distinct clip_uid, frame, (y + dy + {H}) % {H} as y, (x + dx + {W}) % {W} as x from i, (select unnest(range(-3, 4)) as dy) a, (select unnest(range(-3, 4)) as dx) b where body_id = 1)"
 
 
 @query(f"{BASE}, {DILATED} select clip_uid, frame, count(*) as n, sum(y * {W} + x)::bigint as s from dil group by 1, 2")
 def mask_dilated(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    d = pixels.dilated(pixels.footprint(s.i, s.culprits).where("clip_uid % 5 = 0"), 3, H, W)
+    d = pixels.dilated(pixels.footprint(s.i, s.culprits), 3, H, W)
     return d.groupBy("clip_uid", "frame").agg(F.count("*").alias("n"), F.sum(F.col("y") * W + F.col("x")).cast("long").alias("s"))
 
 
-@query(f"{BASE}, {DILATED}, levels as (select {PX}, 1 as level from i where body_id = 1 and clip_uid % 5 = 0 union all select {PX}, 2 from i where body_id = 2 and clip_uid % 5 = 0 union all select {PX}, 2 from i join dil using (clip_uid, frame, y, x) where body_id = 3) select {PX}, min(level) as level from levels group by all")
+@query(f"{BASE}, {DILATED}, levels as (select {PX}, 1 as level from i where body_id = 1 union all select {PX}, 2 from i where body_id = 2 union all select {PX}, 2 from i join dil using (clip_uid, frame, y, x) where body_id = 3) select {PX}, min(level) as level from levels group by all")
 def causal_mask(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    roles = s.clips.where("clip_uid % 5 = 0").withColumn("e", F.explode(F.array(*[F.struct(F.lit(b).alias("body_id"), F.lit(x).alias("role")) for b, x in ((1, "culprit"), (2, "moving"), (3, "static"))]))).select("clip_uid", "e.*")
+    roles = s.clips.withColumn("e", F.explode(F.array(*[F.struct(F.lit(b).alias("body_id"), F.lit(x).alias("role")) for b, x in ((1, "culprit"), (2, "moving"), (3, "static"))]))).select("clip_uid", "e.*")
     return pixels.causal_levels(s.i, roles, H, W)
 
 
@@ -119,10 +119,10 @@ def severity_map(spark, sf_dir):
     return tidy(Scene(spark, sf_dir).field())
 
 
-@query(BASE + f"select clip_uid, cast(f as int) as frame, cast(y as int) as y, cast(x as int) as x, {r('(clip_uid + f) % 7 / 6e0', 'score')} from (select distinct clip_uid from seg where clip_uid < 5), range({T}) a(f), range({H}) b(y), range({W}) c(x)")
+@query(BASE + f"select clip_uid, cast(f as int) as frame, cast(y as int) as y, cast(x as int) as x, {r('(clip_uid + f) % 7 / 6e0', 'score')} from (select distinct clip_uid from seg), range({T}) a(f), range({H}) b(y), range({W}) c(x)")
 def severity_everywhere(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    return tidy(pixels.painted_everywhere(s.frames.where("clip_uid < 5").withColumn("score", (F.col("clip_uid") + F.col("frame")) % 7 / 6.0), H, W))
+    return tidy(pixels.painted_everywhere(s.frames.withColumn("score", (F.col("clip_uid") + F.col("frame")) % 7 / 6.0), H, W))
 
 
 VANISHED_SQL = BASE + f""", absent as (select clip_uid, frame, 0.5e0 as score from frame_list where frame % 3 = 0), bare as (select {PX} from i where body_id = 1 and clip_uid % 2 = 0),
