@@ -22,9 +22,10 @@ OTHER_SPACE = r"\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x
 UNEVEN = rf"[{OTHER_SPACE}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 LONG = 64  # characters of the longest chunk that is remembered
+GROUP = 4096  # chunks of one call of the library, whose result takes many times their size
 
 
-def slices(column: pa.Array, rows: int = 10_000, size: int = 8 << 20) -> Iterator[pa.Array]:
+def slices(column: pa.Array, rows: int = 10_000, size: int = 4 << 20) -> Iterator[pa.Array]:
     """Slices of a text column of at most ``rows`` rows and about ``size`` bytes, one text at least; nulls as empty texts."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
@@ -108,7 +109,7 @@ def library(path: str):
 class ChunkEncoder:
     """Ids of whole texts; ``memo_bytes`` bounds what is remembered and changes no result."""
 
-    def __init__(self, path: str, spaced: bool = True, memo_bytes: int = 48 << 20):
+    def __init__(self, path: str, spaced: bool = True, memo_bytes: int = 32 << 20):
         self.tokenizer, self.spaced, self.memo = library(path), spaced, Memo(memo_bytes)
         #: The library cuts a text at special tokens before anything else, so one of them between chunks parts them.
         specials = {i: t for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
@@ -135,17 +136,18 @@ class ChunkEncoder:
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """Chunks without added tokens go through the library as one text, parted by a special token; others alone."""
         out: list = [None] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if self.mark is not None and not any(t in c for t in self.added)]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join([chunks[i] for i in plain])], add_special_tokens=False)[0].ids, "<u4")
+        plain = [i for i, c in enumerate(chunks) if self.mark is not None and len(c) <= LONG and not any(t in c for t in self.added)]
+        for first in range(0, len(plain), GROUP):
+            group = plain[first : first + GROUP]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join([chunks[i] for i in group])], add_special_tokens=False)[0].ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
             raw, at = ids.tobytes(), 0
-            for i, end in zip(plain, ends):
+            for i, end in zip(group, ends):
                 out[i] = raw[4 * at : 4 * end]
                 at = end + 1
         rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, "<u4").tobytes()
+        for i in rest:
+            out[i] = np.array(self.tokenizer.encode_batch_fast([chunks[i]], add_special_tokens=False)[0].ids, "<u4").tobytes()
         return out
 
 

@@ -33,7 +33,7 @@ def byte_letters() -> dict[int, str]:
 class MergeCounter:
     """Counts the tokens of texts for a byte-level BPE file; ``memo_bytes`` bounds what is remembered and changes no result."""
 
-    def __init__(self, path: str, memo_bytes: int = 48 << 20):
+    def __init__(self, path: str, memo_bytes: int = 32 << 20):
         import regex
 
         with open(path, encoding="utf-8") as file:
