@@ -22,7 +22,9 @@ def pair_distances(traj: DataFrame, reach: Column, tolerance: float = 0.0) -> Da
 
 
 def contacts(traj: DataFrame, ground: float, tolerance: float = 0.02) -> DataFrame:
-    """Geometric contacts: overlapping spheres, and bodies whose lowest point is on the ground (body_b null)."""
+    """Geometric contacts: overlapping spheres, and bodies whose lowest point is on the ground (body_b null). A sphere's
+    radius is the body's times its mean scale."""
+    traj = traj.withColumn("radius", F.col("radius") * (F.col("sx") + F.col("sy") + F.col("sz")) / 3)
     bodies = pair_distances(traj, F.col("radius_a") + F.col("radius_b"), tolerance).select(*FRAME, "body_a", "body_b")
     floor = traj.where("present").where(F.col("pz") - F.col("radius") <= ground + tolerance).select(*FRAME, F.col("body_id").alias("body_a"), F.lit(None).cast("long").alias("body_b"))
     return bodies.unionByName(floor)
@@ -76,14 +78,14 @@ def hidden_by_box(eye: tuple[Column, ...], point: tuple[Column, ...], low: tuple
     return parallel & (enter <= leave) & (enter < 1.0)
 
 
-def unsupported(traj: DataFrame, top: float, fps: float) -> Column:
-    """Above the surface and not within a frame of a bounce: a reversal of the fall near the surface. The first frame
-    is no bounce."""
+def unsupported(top: Column | float, fps: float) -> Column:
+    """Above the surface and not within a frame of a bounce: a fall that turns into a rise where the body is within reach of
+    the surface at either of the two frames. The first frame is next to no bounce."""
     by = Window.partitionBy("clip_uid", "body_id").orderBy("frame")
-    before = F.lag("vz").over(by)
-    near = F.col("pz") - F.col("radius") - top <= F.greatest(F.lit(0.05), F.abs(before) / fps * 1.5)
-    bounce = F.coalesce((before < 0) & (F.col("vz") > 0) & near, F.lit(False))
-    return (F.col("pz") - F.col("radius") > top + 1e-3) & ~F.max(bounce).over(by.rowsBetween(-1, 1))
+    height, vz = F.col("pz") - F.col("radius") - top, F.col("vz")
+    reaches = height < F.greatest(F.lit(0.05), F.abs(vz) / fps * 1.5)
+    bounce = F.coalesce((F.lag(vz).over(by) < -1e-3) & (vz > 1e-3) & (reaches | F.lag(reaches).over(by)), F.lit(False))
+    return (height > 1e-3) & (~F.max(bounce).over(by.rowsBetween(-1, 1)) | (F.row_number().over(by) == 1))
 
 
 def uncaused(traj: DataFrame, touching: DataFrame, t0: Column, fps: float, gravity: float = 9.81, least: float = 0.15) -> DataFrame:
@@ -116,10 +118,12 @@ def first_contact(found: DataFrame, frames: DataFrame | None = None) -> DataFram
 
 
 def first_impact(found: DataFrame, traj: DataFrame, least_speed: float = 0.3, head_on: float = 0.3) -> DataFrame:
-    """Each body's earliest contact that it meets with speed, mostly along the normal, by its velocity a frame before."""
+    """Each body's earliest contact, 1 <= f < T - 2, that it meets with speed, mostly along the normal, by its velocity a
+    frame before."""
     ends = found.select("clip_uid", "frame", "seq", "nx", "ny", "nz", F.explode(F.array("body_a", "body_b")).alias("body_id")).where("frame >= 1")
-    before = traj.select("clip_uid", "body_id", (F.col("frame") + 1).alias("frame"), "vx", "vy", "vz")
-    t = ends.join(before, ["clip_uid", "body_id", "frame"])
+    last = F.max("frame").over(Window.partitionBy("clip_uid"))
+    before = traj.select("clip_uid", "body_id", (F.col("frame") + 1).alias("frame"), "vx", "vy", "vz", last.alias("last"))
+    t = ends.join(before, ["clip_uid", "body_id", "frame"]).where(F.col("frame") < F.col("last") - 1)
     speed, along = norm(vec("v")), F.abs(dot(vec("v"), vec("n"))) / F.greatest(norm(vec("n")), F.lit(1e-9))
     return t.where((speed >= least_speed) & (along >= head_on * speed)).groupBy("clip_uid", "body_id").agg(F.min("frame").alias("frame"))
 
@@ -188,6 +192,17 @@ def nearest_frame(rows: DataFrame, want: Column, ok: Column) -> DataFrame:
     return t.groupBy("clip_uid", "body_id").agg(F.min_by("frame", F.struct("off", "frame")).alias("frame"))
 
 
+def clear_frame(rows: DataFrame, want: Column, span: int, hidden: Column) -> DataFrame:
+    """Per (clip, body) the frame nearest to ``want``, the earlier of two, from which ``span`` frames are all in sight;
+    ``want`` itself where nothing is ever hidden or no frame will do. Null if it is not in 1 <= f < T - 1."""
+    of = Window.partitionBy("clip_uid", "body_id")
+    t = rows.withColumns({"want": want, "hidden": hidden, "frames": F.count("*").over(of)}).withColumn("shut", F.max("hidden").over(of.orderBy("frame").rowsBetween(0, span - 1)))
+    fits = (F.col("frame") >= 1) & (F.col("frame") < F.col("frames") - 1) & ~F.col("shut")
+    found = t.groupBy("clip_uid", "body_id").agg(F.min_by("frame", F.when(fits, F.struct(F.abs(F.col("frame") - F.col("want")), "frame"))).alias("found"), F.max("hidden").alias("ever"), F.max("frames").alias("frames"), F.max("want").alias("want"))
+    asked = F.when((F.col("want") >= 1) & (F.col("want") < F.col("frames") - 1), F.col("want"))
+    return found.select("clip_uid", "body_id", F.when(F.col("ever"), F.coalesce("found", asked)).otherwise(asked).cast("int").alias("frame"))
+
+
 def fast_frame(rows: DataFrame, want: Column, share: float = 0.6) -> DataFrame:
     """Nearest frame to ``want`` with at least ``share`` of the body's peak speed, 1 <= f < T - 1."""
     whole = Window.partitionBy("clip_uid", "body_id")

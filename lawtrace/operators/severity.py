@@ -27,7 +27,7 @@ def score_against_floor(value: Column, mu: Column, strong: Column) -> Column:
     return clip((value - mu) / at_least(strong - mu, 1e-9), 0, 1)
 
 
-def peak(rows: DataFrame, group: list[str], value: str = "r", frame: str = "frame", carry: tuple[str, ...] = ()) -> DataFrame:
-    """The row of the largest value of each group, the earliest on ties."""
+def peak(rows: DataFrame, group: list[str], value: str = "r", frame: str = "frame", carry: tuple[str, ...] = (), more: tuple[Column, ...] = ()) -> DataFrame:
+    """The row of the largest value of each group, the earliest on ties, with ``more`` aggregates of the group."""
     at = F.struct(F.col(value), -F.col(frame))
-    return rows.groupBy(*group).agg(F.max(value).alias("peak"), F.max_by(frame, at).alias("peak_frame"), *[F.max_by(c, at).alias(c) for c in carry])
+    return rows.groupBy(*group).agg(F.max(value).alias("peak"), F.max_by(frame, at).alias("peak_frame"), *[F.max_by(c, at).alias(c) for c in carry], *more)

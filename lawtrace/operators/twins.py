@@ -11,10 +11,11 @@ CHANNELS = {"position": ("px", "py", "pz"), "rotation": ("qw", "qx", "qy", "qz")
 COLUMNS = [c for group in CHANNELS.values() for c in group]
 
 
-def aligned(valid: DataFrame, invalid: DataFrame) -> DataFrame:
-    """Rows of both twins side by side, the invalid side's columns with a leading ``i_``: one co-located join."""
+def aligned(valid: DataFrame, invalid: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of both twins side by side, the invalid side's columns with a leading ``i_``: one co-located join. "full" keeps
+    rows that one side lacks, with nulls for its ``present`` and all else."""
     right = invalid.select(*KEY, *[F.col(c).alias(f"i_{c}") for c in (*COLUMNS, "present")])
-    return valid.join(right, KEY)
+    return valid.join(right, KEY, how)
 
 
 def _off(group: str):
@@ -23,12 +24,15 @@ def _off(group: str):
 
 def prefix_report(pairs: DataFrame, t_event: str = "t_event", tolerance: float = 0.0) -> DataFrame:
     """Per clip: whether all frames before the event agree, else the first channel that differs and the frame of its
-    largest difference, the earliest on ties. Clips without earlier frames agree."""
+    largest difference, the earliest on ties. Clips without earlier frames agree. Of pairs aligned in full, a clip whose sides
+    have different numbers of bodies differs in "bodies", without a frame."""
     diffs = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(n).alias("channel"), _off(n).alias("diff")) for i, n in enumerate(CHANNELS)])
     d = pairs.where(F.col("frame") < F.col(t_event)).select("clip_uid", "frame", F.explode(diffs).alias("d")).where(F.col("d.diff") > tolerance)
     worst = d.groupBy("clip_uid", "d.rank", "d.channel").agg(F.max_by("frame", F.struct(F.col("d.diff"), -F.col("frame"))).alias("frame"))
     first = worst.groupBy("clip_uid").agg(F.min_by("channel", "rank").alias("channel"), F.min_by("frame", "rank").alias("frame"))
-    return pairs.select("clip_uid").distinct().join(first, "clip_uid", "left").withColumn("identical", F.col("channel").isNull())
+    bodies = [F.count_distinct(F.when(F.col(c).isNotNull(), F.col("body_id"))) for c in ("present", "i_present")]
+    clips = pairs.groupBy("clip_uid").agg((bodies[0] != bodies[1]).alias("lost")).join(first, "clip_uid", "left")
+    return clips.select("clip_uid", (~F.col("lost") & F.col("channel").isNull()).alias("identical"), F.when(F.col("lost"), "bodies").otherwise(F.col("channel")).alias("channel"), F.when(~F.col("lost"), F.col("frame")).alias("frame"))
 
 
 def moved_bodies(pairs: DataFrame, least: float = 1e-3) -> DataFrame:

@@ -15,7 +15,10 @@ NEAR = f"""{TC}, near as (select a.clip_uid, a.frame, a.body_id as body_a, b.bod
     from traj a join traj b on a.clip_uid = b.clip_uid and a.frame = b.frame and a.body_id < b.body_id where a.present and b.present)"""
 
 
-@query(NEAR + " select clip_uid, frame, body_a, body_b from near where distance <= 1.02e0 union all select clip_uid, frame, body_id, null from traj where present and pz - radius <= 0.6e0 + 0.02e0")
+ROUND = f"{TC}, ball as (select *, radius * (sx + sy + sz) / 3 as r from traj where present)"
+
+
+@query(ROUND + " select a.clip_uid, a.frame, a.body_id as body_a, b.body_id as body_b from ball a join ball b on a.clip_uid = b.clip_uid and a.frame = b.frame and a.body_id < b.body_id where sqrt(power(a.px - b.px, 2) + power(a.py - b.py, 2) + power(a.pz - b.pz, 2)) <= a.r + b.r + 0.02e0 union all select clip_uid, frame, body_id, null from ball where pz - r <= 0.6e0 + 0.02e0")
 def contacts_geometric(spark, sf_dir):
     return geometry.contacts(views.traj(spark, sf_dir), 0.6, 0.02)
 
@@ -65,10 +68,15 @@ def camera_hidden(spark, sf_dir):
     return views.traj(spark, sf_dir).select("clip_uid", "body_id", "frame", geometry.hidden_by_box(lit(5, -20, 6), V.vec("p"), lit(4, 0, 1), lit(6.5, 1, 4)).alias("hidden"))
 
 
-@query(f"{TC}, b as (select *, lag(vz) over (partition by body_id order by frame) as before from traj), c as (select *, coalesce(before < 0 and vz > 0 and pz - radius - 1.5e0 <= greatest(0.05e0, abs(before) / 12e0 * 1.5e0), false) as bounce from b) select clip_uid, body_id, frame, pz - radius > 1.501e0 and max(bounce::int) over (partition by body_id order by frame rows between 1 preceding and 1 following) = 0 as free from c")
+FREE = f"""{TC}, b as (select *, pz - radius - 1.5e0 as height, lag(vz) over (partition by body_id order by frame) as before, lag(pz - radius - 1.5e0) over (partition by body_id order by frame) as above from traj),
+c as (select *, coalesce(before < -1e-3 and vz > 1e-3 and (height < greatest(0.05e0, abs(vz) / 12e0 * 1.5e0) or above < greatest(0.05e0, abs(before) / 12e0 * 1.5e0)), false) as bounce from b)
+select clip_uid, body_id, frame, height > 1e-3 and (frame = 0 or max(bounce::int) over (partition by body_id order by frame rows between 1 preceding and 1 following) = 0) as free from c"""
+
+
+@query(FREE)
 def unsupported_frames(spark, sf_dir):
     t = views.traj(spark, sf_dir)
-    return t.select("clip_uid", "body_id", "frame", geometry.unsupported(t, 1.5, views.FPS).alias("free"))
+    return t.select("clip_uid", "body_id", "frame", geometry.unsupported(1.5, views.FPS).alias("free"))
 
 
 ENDS = "ends as (select clip_uid, frame, seq, body_a as body_id, body_b as other, nx, ny, nz from contacts union all select clip_uid, frame, seq, body_b, body_a, nx, ny, nz from contacts)"
@@ -85,7 +93,7 @@ def contact_first(spark, sf_dir):
     return geometry.first_contact(views.contacts(spark, sf_dir))
 
 
-@query(f"{TC}, {ENDS} select e.clip_uid, e.body_id, min(e.frame) as frame from ends e join traj t on t.clip_uid = e.clip_uid and t.body_id = e.body_id and t.frame = e.frame - 1 where e.frame >= 1 and sqrt(vx * vx + vy * vy + vz * vz) >= 0.3 and abs(vx * nx + vy * ny + vz * nz) / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-9) >= 0.3e0 * sqrt(vx * vx + vy * vy + vz * vz) group by 1, 2")
+@query(f"{TC}, {ENDS} select e.clip_uid, e.body_id, min(e.frame) as frame from ends e join traj t on t.clip_uid = e.clip_uid and t.body_id = e.body_id and t.frame = e.frame - 1 join (select clip_uid, max(frame) as last from traj group by 1) z on z.clip_uid = e.clip_uid where e.frame >= 1 and e.frame < z.last - 1 and sqrt(vx * vx + vy * vy + vz * vz) >= 0.3 and abs(vx * nx + vy * ny + vz * nz) / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-9) >= 0.3e0 * sqrt(vx * vx + vy * vy + vz * vz) group by 1, 2")
 def contact_first_impact(spark, sf_dir):
     return geometry.first_impact(views.contacts(spark, sf_dir), views.traj(spark, sf_dir))
 
@@ -135,9 +143,12 @@ def frame_fast(spark, sf_dir):
     return geometry.fast_frame(views.traj(spark, sf_dir), F.lit(20))
 
 
-@query(f"{TC}, k as (select *, row_number() over (partition by clip_uid, body_id order by abs(frame - 20), frame) k from traj where present and pz > 3) select clip_uid, body_id, frame from k where k = 1")
+@query(f"""{TC}, h as (select *, not present or pz > 5 as hidden, count(*) over (partition by clip_uid, body_id) as frames from traj),
+o as (select *, max(hidden::int) over (partition by clip_uid, body_id order by frame rows between current row and 2 following) as shut from h),
+c as (select clip_uid, body_id, max(frames) as frames, max(hidden::int) as ever, arg_min(frame, abs(frame - 20) * 100000 + frame) filter (where shut = 0 and frame between 1 and frames - 2) as found from o group by 1, 2)
+select clip_uid, body_id, cast(case when ever = 1 and found is not null then found when 20 < frames - 1 then 20 end as int) as frame from c""")
 def frame_clear(spark, sf_dir):
-    return geometry.nearest_frame(views.traj(spark, sf_dir), F.lit(20), F.col("present") & (F.col("pz") > 3))
+    return geometry.clear_frame(views.traj(spark, sf_dir), F.lit(20), 3, ~F.col("present") | (F.col("pz") > 5))
 
 
 @query(f"{TC}, o as (select clip_uid, body_id, max(frame) + 1 as frames, min(frame) filter (where not present) as a, max(frame) filter (where not present) as b from traj group by 1, 2), c as (select *, cast(coalesce(case when body_id % 2 = 0 then floor((a + b) / 2e0) end, round_even((0.35e0 + 0.1e0 * (2 * (body_id % 7) / 7e0 - 1)) * frames, 0)) as int) as chosen from o) select clip_uid, body_id, case when chosen >= 1 and chosen <= frames - 2 then chosen end as frame from c")

@@ -10,7 +10,11 @@ from lawtrace.operators import edits, intervals, laws, severity, twins
 from lawtrace.plans import views
 from lawtrace.plans.catalog import query, r, tidy
 
-CTX = {"surface_top": 1.5, "cx": 5.0, "cy": 5.0, "hx": 3.0, "hy": 3.0, "lx": 0.3, "ly": 0.2, "lz": -1.0, "pivot_z": 8.0}
+_NEIGHBOUR, _BOTH = "body_id ^ 1L", "array(body_id, body_id ^ 1L)"
+#: One plan for all bodies; the partner of each is its neighbour.
+CTX = {"surface_top": 1.5, "cx": 5.0, "cy": 5.0, "hx": 3.0, "hy": 3.0, "lx": 0.3, "ly": 0.2, "lz": -1.0, "partner_id": _NEIGHBOUR, "caster_id": _NEIGHBOUR, "pair_ids": _BOTH, "sibling_ids": _BOTH}
+#: What laws read of the plans in ``views.PLANS`` that is no column there.
+PLANNED = {"pair_ids": "array_compact(array(body_id, pair_to))", "sibling_ids": "if(single, array(body_id), array(body_id, sibling))", "flight": "flight_from is null or frame between flight_from and flight_to", "contact_free": "(frame + body_id) % 4 <> 0"}
 G, DT = views.GRAVITY, 1.0 / views.FPS
 
 
@@ -54,14 +58,15 @@ w as (select *, {", ".join(f"case when lag(v{a}) {BODY} is null and lead(v{a}) {
 m as (select *, sqrt(dpx * dpx + dpy * dpy + dpz * dpz) as moved, sum((seconds - mt) * (seconds - mt)) {ALL} as tt, sum((seconds - mt) * (px - mfx)) {ALL} as tfx,
         sum((seconds - mt) * (py - mfy)) {ALL} as tfy, sum((seconds - mt) * (fitz - mfz)) {ALL} as tfz, {", ".join(_lab_sql)} from w),
 l1 as (select *, median(case when frame > 0 and moved > 1e-9 then moved end) {ALL} as typical, {", ".join(_xyz_sql)} from m),
-l2 as (select *, {", ".join(_f_sql)}, sum(case when frame > 0 and typical > 1e-9 then least(greatest(1 - moved / typical, 0), 1) else 0 end) over (partition by clip_uid, body_id order by frame rows unbounded preceding) as lost,
-        sqrt(ax * ax + ay * ay + (az + {G}) * (az + {G})) / {G} as free_error from l1)
+falls as (select *, pz - radius - 1.5e0 as height, lag(vz) {BODY} as vz_before, lag(pz - radius - 1.5e0) {BODY} as height_before from l1),
+bounces as (select *, coalesce(vz_before < -1e-3 and vz > 1e-3 and (height < greatest(0.05e0, abs(vz) / 8) or height_before < greatest(0.05e0, abs(vz_before) / 8)), false) as bounce from falls),
+l2 as (select *, {", ".join(_f_sql)}, height > 1e-3 and (frame = 0 or max(bounce::int) over (partition by clip_uid, body_id order by frame rows between 1 preceding and 1 following) = 0) as free, sum(case when frame > 0 and typical > 1e-9 then least(greatest(1 - moved / typical, 0), 1) else 0 end) over (partition by clip_uid, body_id order by frame rows unbounded preceding) as lost,
+        sqrt(ax * ax + ay * ay + (az + {G}) * (az + {G})) / {G} as free_error from bounces)
 """
 _T = "(oz - 1.5e0) / (1e0 / sqrt(1.13e0))"
 LAW_SQL = {
     "penetration": "case when abs(px - 5) <= 3 + radius and abs(py - 5) <= 3 + radius then greatest(1.5e0 - (pz - radius), 0) else 0 end / radius",
-    "pass_through": "coalesce(greatest(radius + oradius - abs(pz - oz), 0) / radius, 0)",
-    "free_fall": "case when touching then 0 else free_error end",
+    "free_fall": "case when free then free_error else 0 end",
     "mass_continuity": "1e0 - present::int",
     "position_continuity": f"case when frame = 0 then 0 else greatest(moved - greatest(speed_before, speed) * {DT} * 1.6e0, 0) / radius end",
     "linear_momentum": f"sqrt(power(mass * dvx - fx * {DT}, 2) + power(mass * dvy - fy * {DT}, 2) + power(mass * dvz - (fz - mass * {G}) * {DT}, 2)) / (mass * {G} * {DT})",
@@ -73,7 +78,6 @@ LAW_SQL = {
     "colour_continuity": _lab_distance,
     "shape_anisotropy": "abs(ratio / first_ratio - 1)",
     "angular_momentum": f"case when touching then 0 else sqrt(dwx * dwx + dwy * dwy + dwz * dwz) * radius / ({G} * {DT}) end",
-    "pivot_momentum": f"case when touching then 0 else sqrt(dtx * dtx + dty * dty + dtz * dtz) * mean_arm / ({G} * {DT}) end",
     "support": "case when free_error < 0.35 then 0 else greatest(pz - radius - 1.5e0, 0) / radius end",
     "friction": f"case when speed > 0.05 then abs(ax * vx + ay * vy + (az + {G}) * vz) / speed / {G} else 0 end",
     "phase_consistency": "lost",
@@ -81,15 +85,67 @@ LAW_SQL = {
 }
 
 
-def _register_law(name: str) -> None:
-    @query(f"{LAW_ROWS} select clip_uid, body_id, frame, {r(LAW_SQL[name], 'r')} from l2", name=f"law_{name}")
+OTHER_CTX = {"pass_through": ("penetration", {"pass_through": "true"}), "pivot_momentum": ("angular_momentum", {"pivot_x": 0.0, "pivot_y": 0.0, "pivot_z": 8.0})}
+OTHER_SQL = {
+    "pass_through": f"case when oradius is null then {LAW_SQL['penetration']} else greatest(radius + oradius - abs(pz - oz), 0) / radius end",
+    "pivot_momentum": f"case when touching then 0 else sqrt(dtx * dtx + dty * dty + dtz * dtz) * mean_arm / ({G} * {DT}) end",
+}
+
+
+def _register_law(name: str, law: str, ctx: dict, sql: str) -> None:
+    @query(f"{LAW_ROWS} select clip_uid, body_id, frame, {r(sql, 'r')} from l2", name=f"law_{name}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = laws.wide(views.traj(spark, sf_dir), views.contacts(spark, sf_dir), views.FPS, CTX, G, (name,))
-        return tidy(found.withColumnRenamed(name, "r"))
+        found = laws.wide(views.traj(spark, sf_dir), views.contacts(spark, sf_dir), views.FPS, ctx, G, (law,))
+        return tidy(found.withColumnRenamed(law, "r"))
+
+
+for _name, _sql in LAW_SQL.items():
+    _register_law(_name, _name, CTX, _sql)
+for _name, (_law, _more) in OTHER_CTX.items():
+    _register_law(_name, _law, {**CTX, **_more}, OTHER_SQL[_name])
+
+
+# ---- laws under the plan of each clip and body
+
+PLAN_ROWS = f"""{views.sql_with("traj", "contacts", "plans")},
+p0 as (select t.*, x.* exclude (clip_uid, body_id), frame * {DT} as s, sqrt(contact_nx * contact_nx + contact_ny * contact_ny + contact_nz * contact_nz) as nn, sqrt(lx * lx + ly * ly + lz * lz) as ll,
+    0.5e0 * mass * (vx * vx + vy * vy + vz * vz) + mass * {G} * (pz - surface_top) as own, pz - radius - surface_top as height from traj t join plans x on t.clip_uid = x.clip_uid and t.body_id = x.body_id)"""
+_ACC = ", ".join(f"case when lag(v{a}) {BODY} is null then (lead(v{a}) {BODY} - v{a}) / {DT} when lead(v{a}) {BODY} is null then (v{a} - lag(v{a}) {BODY}) / {DT} else (lead(v{a}) {BODY} - lag(v{a}) {BODY}) / (2 * {DT}) end as a{a}" for a in "xyz")
+_FREE_ERROR = f"sqrt(ax * ax + ay * ay + (az + {G}) * (az + {G})) / {G}"
+_OTHER = "p0 p left join traj o on o.clip_uid = p.clip_uid and o.frame = p.frame and o.body_id ="
+_IN = "flight_from is null or frame between flight_from and flight_to"
+_LIGHT = "(o.pz - surface_top) / (case when abs(lz / ll) > 1e-6 then -lz / ll else 1e-6 end)"
+PLAN_SQL = {
+    "penetration": f"""select p.clip_uid, p.body_id, p.frame, case when p.pass_through and o.radius is not null then greatest(0, p.radius + coalesce(partner_extent, o.radius)
+        - abs(case when nn > 1e-9 then ((p.px - o.px) * contact_nx + (p.py - o.py) * contact_ny + (p.pz - o.pz) * contact_nz) / nn else p.pz - o.pz end))
+        when cx is null or (abs(p.px - cx) <= hx + p.radius and abs(p.py - cy) <= hy + p.radius) then greatest(0, -height) else 0 end / p.radius as v from {_OTHER} partner_id""",
+    "free_fall": f"""select clip_uid, body_id, frame, case when height > 1e-3 and (frame = 0 or not near) then {_FREE_ERROR} else 0 end as v from (select *, coalesce(greatest(lag(bounce::int) {BODY}, bounce::int, lead(bounce::int) {BODY}), 0) = 1 as near
+        from (select *, {_ACC}, coalesce(lag(vz) {BODY} < -1e-3 and vz > 1e-3 and (height < greatest(0.05e0, abs(vz) / 8) or lag(height) {BODY} < greatest(0.05e0, abs(lag(vz) {BODY}) / 8)), false) as bounce from p0) as b) as n""",
+    "energy_at_contact": f"""select clip_uid, body_id, frame, coalesce(greatest(0, e - lag(e) {BODY}) / greatest(lag(e) {BODY}, mass * {G} * radius), 0) as v from (select p.*, own + coalesce(0.5e0 * o.mass * (o.vx * o.vx + o.vy * o.vy + o.vz * o.vz) + o.mass * {G} * (o.pz - surface_top), 0) as e from {_OTHER} pair_to) as x""",
+    "trajectory_shape": f"""select p.clip_uid, p.body_id, p.frame, case when ({_IN}) and n >= 3 then sqrt(power(px - bx - kx * s, 2) + power(py - by_ - ky * s, 2) + power(pz + {G / 2} * s * s - bz - kz * s, 2)) / radius else 0 end as v
+        from p0 p left join (select body_id, count(*) as n, {", ".join(f"regr_slope({q}, s) as k{a}, regr_intercept({q}, s) as {b}" for a, b, q in (("x", "bx", "px"), ("y", "by_", "py"), ("z", "bz", f"pz + {G / 2} * s * s")))} from p0 where {_IN} group by 1) as fit on fit.body_id = p.body_id""".replace("4.905", "4.905e0"),
+    "object_count": f"""select clip_uid, body_id, frame, abs(n / greatest(first_value(n) {BODY}, 1)::double - 1) as v from (select p.*, p.present::int + case when single then 0 else coalesce(o.present::int, 0) end as n from {_OTHER} sibling) as x""",
+    "angular_momentum": f"""select clip_uid, body_id, frame, case when (frame + body_id) % 4 = 0 or exists (select 1 from contacts c where c.clip_uid = x.clip_uid and x.body_id in (c.body_a, c.body_b) and abs(c.frame - x.frame) <= 1 and c.frame <= x.last)
+        then 0 when pivot_x is null then coalesce(sqrt(power(wx - lag(wx) {BODY}, 2) + power(wy - lag(wy) {BODY}, 2) + power(wz - lag(wz) {BODY}, 2)), 0) * radius / ({G} * {DT})
+        else coalesce(sqrt(power(tx - lag(tx) {BODY}, 2) + power(ty - lag(ty) {BODY}, 2) + power(tz - lag(tz) {BODY}, 2)), 0) * coalesce(arm, avg(sqrt(q)) {ALL}) / ({G} * {DT}) end as v
+        from (select *, (ry * vz - rz * vy) / q as tx, (rz * vx - rx * vz) / q as ty, (rx * vy - ry * vx) / q as tz from (select *, greatest(rx * rx + ry * ry + rz * rz, 1e-12) as q
+            from (select *, px - pivot_x as rx, py - pivot_y as ry, pz - pivot_z as rz, max(frame) {ALL} as last from p0) as a) as b) as x""",
+    "support": f"select clip_uid, body_id, frame, case when {_FREE_ERROR} < 0.35 then 0 else greatest(0, height) / radius end as v from (select *, {_ACC} from p0) as x",
+    "phase_consistency": f"""select clip_uid, body_id, frame, sum(case when frame > 0 and ref > 1e-9 then least(greatest(1 - moved / ref, 0), 1) else 0 end) over (partition by clip_uid, body_id order by frame rows unbounded preceding) as v
+        from (select *, case when v_ref > 1e-6 then v_ref * {DT} else median(case when moved > 1e-9 then moved end) {ALL} end as ref from (select *, coalesce(sqrt(power(px - lag(px) {BODY}, 2) + power(py - lag(py) {BODY}, 2) + power(pz - lag(pz) {BODY}, 2)), 0) as moved from p0) as m) as x""",
+    "shadow_consistency": f"select p.clip_uid, p.body_id, p.frame, coalesce(sqrt(power(p.px - (o.px + {_LIGHT} * lx / ll), 2) + power(p.py - (o.py + {_LIGHT} * ly / ll), 2)) / o.radius, 0) as v from {_OTHER} caster_id",
+}
+
 
+def _register_planned(name: str) -> None:
+    @query(f"{PLAN_ROWS} select clip_uid, body_id, frame, {r('v', 'r')} from ({PLAN_SQL[name]}) as found", name=f"planned_{name}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = laws.planned(views.traj(spark, sf_dir), views.plans(spark, sf_dir))
+        return tidy(laws.wide(t, views.contacts(spark, sf_dir), views.FPS, PLANNED, G, (name,)).withColumnRenamed(name, "r"))
 
-for _name in laws.LAWS:
-    _register_law(_name)
+
+for _name in PLAN_SQL:
+    _register_planned(_name)
 
 
 @query(LAW_ROWS + ", lawful as (" + " union all ".join(f"select clip_uid, body_id, '{n}' as law, frame, {e} as r from l2" for n, e in LAW_SQL.items()) + ") select clip_uid, law, " + r("max(r)", "most") + ", " + r("avg(r)", "mean") + ", count(*) as n from lawful group by 1, 2")
@@ -127,13 +183,16 @@ def twin_alignment(spark, sf_dir):
 
 @query(TWIN_SQL + """, late as (select *, case when body_id % 15 = 3 and frame >= t_event - 2 and frame >= 0 then opacity / 2 else opacity end as i_opacity from pairs),
 bad as (select clip_uid, frame, abs(opacity - i_opacity) as diff from late where frame < t_event and abs(opacity - i_opacity) > 0),
-worst as (select clip_uid, arg_max(frame, diff * 1000000 - frame / 1e9) as frame from bad group by 1)
-select c.clip_uid, w.clip_uid is null as identical, case when w.clip_uid is not null then 'opacity' end as channel, w.frame from (select distinct clip_uid from traj) c left join worst w on c.clip_uid = w.clip_uid""")
+worst as (select clip_uid, arg_max(frame, diff * 1000000 - frame / 1e9) as frame from bad group by 1),
+c as (select clip_uid, bool_or(clip_uid % 3 = 1 and body_id % 15 = 9) as lost from traj group by 1)
+select c.clip_uid, not lost and w.clip_uid is null as identical, case when lost then 'bodies' when w.clip_uid is not null then 'opacity' end as channel, case when not lost then w.frame end as frame from c left join worst w on c.clip_uid = w.clip_uid""")
 def twin_prefix(spark, sf_dir):
-    """A faulty edit that begins two frames before its event is reported with its channel and frame."""
+    """A faulty edit that begins two frames before its event is reported with its channel and frame, a body that one side
+    lacks before all else."""
     valid = sized(spark, sf_dir)
     early = culprit() & (F.col("frame") >= F.col("t_event") - 2)
-    return twins.prefix_report(twins.aligned(valid, edits.changed(valid, early, opacity=F.col("opacity") / 2))).select("clip_uid", "identical", "channel", "frame")
+    bad = edits.changed(valid, early, opacity=F.col("opacity") / 2).where("not (clip_uid % 3 = 1 and body_id % 15 = 9)")
+    return twins.prefix_report(twins.aligned(valid, bad, "full")).select("clip_uid", "identical", "channel", "frame")
 
 
 @query(TWIN_SQL + " select clip_uid, body_id, min(frame) as first_frame from pairs where abs(px - i_px) > 1e-3 group by 1, 2")
@@ -196,7 +255,7 @@ def law_contamination(spark, sf_dir):
     names = ("position_continuity", "mass_continuity", "shape_continuity", "colour_continuity")
 
     def measured(t):
-        return laws.wide(t, c, views.FPS, CTX, G, names).where(culprit()).unpivot(["clip_uid", "body_id", "frame"], list(names), "law", "r")
+        return laws.wide(t.where(culprit()), c, views.FPS, CTX, G, names).unpivot(["clip_uid", "body_id", "frame"], list(names), "law", "r")
 
     return tidy(twins.leaks(measured(valid), measured(edits.teleport(valid, culprit(), F.col("t_event"), 4.0)), "penetration", 0.01))
 
@@ -234,13 +293,12 @@ scored as (select clip_uid, body_id, frame, frames, t_event, r, twin, least(grea
 
 def scored_rows(spark, sf_dir):
     """Continuity residuals of the culprit against the lawful twin."""
-    valid = sized(spark, sf_dir)
+    valid = sized(spark, sf_dir).where(culprit())
     c = views.contacts(spark, sf_dir)
     bad = edits.teleport(valid, culprit(), F.col("t_event"), 4.0)
     a = laws.wide(valid, c, views.FPS, CTX, G, ("position_continuity",)).withColumnRenamed("position_continuity", "twin")
     b = laws.wide(bad, c, views.FPS, CTX, G, ("position_continuity",)).withColumnRenamed("position_continuity", "r")
-    joined = b.join(a, twins.KEY).where(culprit())
-    return joined.withColumn("score", severity.score_against_twin(F.col("r"), F.col("twin"), F.lit(9.0)))
+    return b.join(a, twins.KEY).withColumn("score", severity.score_against_twin(F.col("r"), F.col("twin"), F.lit(9.0)))
 
 
 FLAGSHIP_SQL = SCORED_SQL + f"""select clip_uid, body_id, {r('max(score)', 'peak')}, arg_max(frame, round(score, 9) * 1000000 - frame) as peak_frame, {r('arg_max(r, round(score, 9) * 1000000 - frame)', 'r')},
@@ -251,6 +309,6 @@ FLAGSHIP_SQL = SCORED_SQL + f"""select clip_uid, body_id, {r('max(score)', 'peak
 def teleport_severity(spark, sf_dir):
     """Is each culprit's motion consistent with its speed, how badly not and when, against its twin?"""
     rows = scored_rows(spark, sf_dir).withColumn("rank", F.round("score", 9))
-    top = severity.peak(rows, ["clip_uid", "body_id"], "rank", carry=("r",))
-    hot = rows.where("score > 0.05").groupBy("clip_uid", "body_id").agg(F.array_sort(F.collect_list("frame")).alias("hot"))
-    return tidy(top.join(hot, ["clip_uid", "body_id"], "left").select("clip_uid", "body_id", "peak", "peak_frame", "r", "hot"))
+    hot = F.array_sort(F.collect_list(F.when(F.col("score") > 0.05, F.col("frame"))))
+    top = severity.peak(rows, ["clip_uid", "body_id"], "rank", carry=("r",), more=(hot.alias("hot"),))
+    return tidy(top.select("clip_uid", "body_id", "peak", "peak_frame", "r", F.when(F.size("hot") > 0, F.col("hot")).alias("hot")))

@@ -33,6 +33,20 @@ select cast(floor(user_id / 15e0) as bigint) as clip_uid, cast(row_number() over
 from {events}
 """
 
+#: What the plan of each clip says of its bodies; bodies of a clip stand in a ring of fifteen.
+PLANS = """
+select distinct cast(floor(user_id / 15e0) as bigint) as clip_uid, user_id as body_id, 1e0 + cast(floor(user_id / 15e0) as bigint) % 4 / 2e0 as surface_top,
+    case when user_id % 5 <> 0 then 3e0 + user_id % 3 end as cx, 5e0 as cy, 2e0 as hx, 1e0 + user_id % 2 * 2e0 as hy,
+    case when user_id % 4 = 0 then null when user_id % 15 = 14 then user_id - 14 else user_id + 1 end as partner_id, user_id % 3 = 1 as pass_through,
+    (user_id % 2) * 1e0 as contact_nx, (user_id % 3) * 0.5e0 as contact_ny, (user_id % 5) * 1e0 as contact_nz, case when user_id % 7 = 0 then 1.25e0 end as partner_extent,
+    case when user_id % 3 <> 0 then user_id - user_id % 15 + (user_id % 15 + 4) % 15 end as pair_to, user_id - user_id % 15 + (user_id % 15 + 2) % 15 as sibling, user_id % 5 = 4 as single,
+    case when user_id % 2 = 0 then 3 + user_id % 5 end as flight_from, case when user_id % 11 = 0 then 4 + user_id % 5 else 18 + user_id % 9 end as flight_to,
+    case when user_id % 2 = 1 then 4e0 + user_id % 3 end as pivot_x, 5e0 as pivot_y, 8e0 as pivot_z, case when user_id % 6 = 1 then 1.5e0 end as arm,
+    case when user_id % 3 = 0 then 6e0 + user_id % 5 else 0e0 end as v_ref, case when user_id % 13 <> 0 then user_id - user_id % 15 + (user_id % 15 + 14) % 15 end as caster_id,
+    (user_id % 4) / 10e0 as lx, 0.2e0 as ly, case when user_id % 9 = 8 then 0e0 else -1e0 - user_id % 2 end as lz
+from {events}
+"""
+
 SEG = """
 select l_orderkey % 50 as clip_uid, l_linestatus as side, cast(l_partkey % 25 as int) as frame, cast(l_suppkey % 16 as int) as y, cast(floor(l_orderkey / 50e0) % 16 as int) as x,
     min(1 + l_linenumber % 3) as body_id, cast(max(l_partkey * 7 % 256) as int) as r, cast(max(l_suppkey * 5 % 256) as int) as g, cast(max(l_orderkey * 3 % 256) as int) as b
@@ -61,6 +75,10 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CONTACTS, events=table(spark, sf_dir, "events")).where("seq % 7 = 0")
 
 
+def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(PLANS, events=table(spark, sf_dir, "events"))
+
+
 def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SEG, lineitem=table(spark, sf_dir, "lineitem"))
 
@@ -71,5 +89,5 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_with(*names: str) -> str:
     """A WITH clause that defines the named views for DuckDB."""
-    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "seg": SEG.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
+    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "plans": PLANS.format(events="events"), "seg": SEG.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
     return "with " + ", ".join(f"{n} as ({texts[n]})" for n in names)
