@@ -34,6 +34,10 @@ STRENGTHS = {
 EDITS: dict[str, Callable[..., DataFrame]] = {}
 
 
+#: FIXED VALUE: the least share of its size that a body shrinks to.
+SHRINK_TO = 0.42
+
+
 def edit(f):
     EDITS[f.__name__] = f
     return f
@@ -100,11 +104,21 @@ def ramp(t0: Column, frames: Column) -> Column:
     return smoothstep((F.col("frame") - t0 + 1) / frames)
 
 
+def resize_factor(strength: float, grow: Column) -> Column:
+    """The size a body grows to, or shrinks to by as much, but to no less than ``SHRINK_TO`` of itself."""
+    return F.when(grow, float(strength)).otherwise(max(SHRINK_TO, 1.0 / strength))
+
+
+def reseated(half: Column, top: float) -> Column:
+    """The height at which a body of another half height keeps the clearance it had; one in the surface is put on it."""
+    return top + half + F.greatest(F.lit(0.0), F.col("pz") - F.col("radius") - top)
+
+
 @edit
-def resize(traj: DataFrame, who: Column, t0: Column, factor: float, frames: int = 6) -> DataFrame:
-    """All axes grow to ``factor`` along an eased ramp, and the body rises to keep its clearance."""
+def resize(traj: DataFrame, who: Column, t0: Column, factor: Column | float, frames: int = 6, top: float = 0.0) -> DataFrame:
+    """All axes go to ``factor`` along an eased ramp, and the body keeps its clearance."""
     k = 1 + (factor - 1) * ramp(t0, F.lit(frames))
-    return changed(traj, late(who, t0), pz=F.col("pz") + F.col("radius") * (k - 1), **{f"s{a}": F.col(f"s{a}") * k for a in XYZ})
+    return changed(traj, late(who, t0), pz=reseated(F.col("radius") * k, top), **{f"s{a}": F.col(f"s{a}") * k for a in XYZ})
 
 
 @edit
@@ -115,10 +129,12 @@ def fade(traj: DataFrame, who: Column, t0: Column, frames: Column) -> DataFrame:
 
 
 @edit
-def squash(traj: DataFrame, who: Column, t0: Column, factor: float, frames: int = 6) -> DataFrame:
-    """One axis grows and the others shrink so that the volume stays."""
+def squash(traj: DataFrame, who: Column, t0: Column, factor: float, frames: int = 6, axis: Column | None = None, top: float = 0.0) -> DataFrame:
+    """One axis ("x" if none is named) grows and the others shrink so that the volume stays, and the body keeps its clearance."""
     k = 1 + (factor - 1) * ramp(t0, F.lit(frames))
-    return changed(traj, late(who, t0), sx=F.col("sx") * k, sy=F.col("sy") / F.sqrt(k), sz=F.col("sz") / F.sqrt(k))
+    axis = F.lit("x") if axis is None else axis
+    by = {a: F.when(axis == a, k).otherwise(1 / F.sqrt(k)) for a in XYZ}
+    return changed(traj, late(who, t0), pz=reseated(F.col("radius") * by["z"], top), **{f"s{a}": F.col(f"s{a}") * by[a] for a in XYZ})
 
 
 @edit
@@ -137,11 +153,13 @@ def retime(traj: DataFrame, who: Column, t0: Column, rate: float, frames: int =
 
 
 @edit
-def hover(traj: DataFrame, who: Column, t0: Column, radii: float, top: float = 0.0, frames: int = 3) -> DataFrame:
-    """Lifted to a clearance over ``frames`` and kept there without spin."""
-    target = top + F.col("radius") * (1 + radii)
-    start = at_frame("pz", t0 - 1)
-    return changed(traj, late(who, t0), pz=start + (target - start) * ramp(t0, F.lit(frames)), **{f"w{a}": F.lit(0.0) for a in XYZ})
+def hover(traj: DataFrame, who: Column, t0: Column, radii: float, top: float = 0.0, frames: int = 3, still: Column | None = None) -> DataFrame:
+    """Held at the height of t0 - 1, raised over ``frames`` where its clearance is less than ``radii``, without spin. Where ``still``
+    holds it stays in its place, else it goes on sideways."""
+    start, radius = at_frame("pz", t0 - 1), F.col("radius")
+    lift = F.greatest(F.lit(0.0), radii * radius - F.greatest(F.lit(0.0), start - radius - top))
+    place = {} if still is None else {c: F.when(still, at_frame(c, t0 - 1)).otherwise(F.col(c)) for c in ("px", "py")}
+    return changed(traj, late(who, t0), pz=start + lift * ramp(t0, F.lit(frames)), **place, **{f"w{a}": F.lit(0.0) for a in XYZ})
 
 
 @edit

@@ -17,7 +17,8 @@ def record_rules() -> dict[str, Column]:
     c, v = F.col, "violation."
     windows = c(f"{v}violation_windows")
     ends, starts = F.transform(windows, lambda w: w["e"]), F.transform(windows, lambda w: w["s"])
-    inside = F.forall(c(f"{v}intervention_windows"), lambda i: F.exists(windows, lambda w: (i["s"] >= w["s"]) & (i["e"] <= w["e"])))
+    covered = lambda f: F.exists(windows, lambda w: (f >= w["s"]) & (f <= w["e"]))
+    inside = F.forall(c(f"{v}intervention_windows"), lambda i: F.forall(F.sequence(i["s"], F.greatest(i["s"], i["e"])), covered))
     invalid = c("label") == "invalid"
     return {
         "family unknown": c("known_domain").isNull(),

@@ -153,7 +153,8 @@ def drop_out(t):
 
 
 def resize(t):
-    return edits.resize(t, culprit(), t_event(), 2.3)
+    factor = edits.resize_factor(2.3, F.col("clip_uid") % 2 == 0)
+    return edits.resize(t, culprit(), t_event(), factor, top=1.5)
 
 
 def fade(t):
@@ -161,11 +162,11 @@ def fade(t):
 
 
 def squash(t):
-    return edits.squash(t, culprit(), t_event(), 2.8)
+    return edits.squash(t, culprit(), t_event(), 2.8, axis=F.element_at(F.array(*map(F.lit, "xyz")), (F.col("clip_uid") % 3 + 1).cast("int")), top=1.5)
 
 
 def hover(t):
-    return edits.hover(t, culprit(), t_event(), 3.6)
+    return edits.hover(t, culprit(), t_event(), 3.6, top=1.5, still=F.col("clip_uid") % 2 == 0)
 
 
 def recolour(t):
@@ -189,12 +190,15 @@ _edited({c: f"case when {LATE} then {_at(c, 't_event - 1')} else {c} end" for c
 _u = "((frame - t_event) / 12e0)"
 _edited({"py": f"case when {LATE} and frame <= t_event + 12 then py + sin(2 * pi() * 1.75e0 * {_u}) * power(sin(pi() * {_u}), 2) * 1.5e0 * radius else py end", "pz": f"case when {LATE} and frame <= t_event + 12 then greatest(pz, 1 + radius) else pz end"}, wiggle, ("py", "pz"))
 _edited({"present": f"case when {LATE} and frame <= t_event + 5 then false else present end", "px": f"case when {LATE} and frame <= t_event + 5 then {_at('px', 't_event')} else px end"}, drop_out, ("present", "px"))
-_k = f"(1 + 1.3e0 * {_ramp('6e0')})"
-_edited({"sx": f"case when {LATE} then sx * {_k} else sx end", "pz": f"case when {LATE} then pz + radius * ({_k} - 1) else pz end"}, resize, ("sx", "pz"))
+_k = f"(1 + (case when clip_uid % 2 = 0 then 1.3e0 else 1 / 2.3e0 - 1 end) * {_ramp('6e0')})"
+_seat = "1.5e0 + {} + greatest(0, pz - radius - 1.5e0)"
+_edited({"sx": f"case when {LATE} then sx * {_k} else sx end", "pz": f"case when {LATE} then {_seat.format(f'radius * {_k}')} else pz end"}, resize, ("sx", "pz"))
 _edited({"opacity": f"case when {LATE} then opacity * (1 - {_ramp('4e0')}) else opacity end", "present": f"case when {LATE} then present and frame < t_event + 4 else present end"}, fade, ("opacity", "present"))
 _k2 = f"(1 + 1.8e0 * {_ramp('6e0')})"
-_edited({"sx": f"case when {LATE} then sx * {_k2} else sx end", "sy": f"case when {LATE} then sy / sqrt({_k2}) else sy end"}, squash, ("sx", "sy"))
-_edited({"pz": f"case when {LATE} then {_at('pz', 't_event - 1')} + (radius * 4.6e0 - {_at('pz', 't_event - 1')}) * {_ramp('3e0')} else pz end", "wx": f"case when {LATE} then 0 else wx end"}, hover, ("pz", "wx"))
+_by = [f"(case when clip_uid % 3 = {i} then {_k2} else 1 / sqrt({_k2}) end)" for i in range(3)]
+_edited({f"s{a}": f"case when {LATE} then s{a} * {k} else s{a} end" for a, k in zip("xyz", _by)} | {"pz": f"case when {LATE} then {_seat.format(f'radius * {_by[2]}')} else pz end"}, squash, ("sx", "sy", "sz", "pz"))
+_z0 = _at("pz", "t_event - 1")
+_edited({"px": f"case when {LATE} and clip_uid % 2 = 0 then {_at('px', 't_event - 1')} else px end", "pz": f"case when {LATE} then {_z0} + greatest(0, 3.6e0 * radius - greatest(0, {_z0} - radius - 1.5e0)) * {_ramp('3e0')} else pz end", "wx": f"case when {LATE} then 0 else wx end"}, hover, ("px", "pz", "wx"))
 _edited({"cr": f"case when {LATE} then cr + (1 - cr) * {_ramp('3e0')} else cr end", "cb": f"case when {LATE} then cb + (0.5e0 - cb) * {_ramp('3e0')} else cb end"}, recolour, ("cr", "cb"))
 _edited({"px": f"case when {LATE} then px - 0.2e0 / sqrt(0.13e0) * 5.5e0 * radius * {_ramp('2e0')} else px end", "py": f"case when {LATE} then py + 0.3e0 / sqrt(0.13e0) * 5.5e0 * radius * {_ramp('2e0')} else py end"}, detach, ("px", "py"))
 _edited({"px": "case when body_id % 15 = 3 then 2 - 0.4e0 * (px - 2) else px end", "py": "case when body_id % 15 = 3 then 1 - 0.4e0 * (py - 1) else py end"}, invert, ("px", "py"))

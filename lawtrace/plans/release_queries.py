@@ -163,21 +163,44 @@ def index_rows(spark, sf_dir):
     return tidy(rows.select("clip_uid", "label", "scenario", "severity_bin", "peak_severity", "t_event_frame", "violation_windows", "tier", "camera_motion", "actor_shape", "split"))
 
 
+#: Clips by the remainder of their key: the fault that ``faulty`` puts into each.
+FAULTY = REC + """, faulty as (select *, o_orderkey % 29 as q, label = 'invalid' and o_orderkey % 29 <> 5 as violated, start + case when o_orderkey % 29 = 7 then 1 else 0 end as event, start + o_orderkey % 4 - 1 as seen from recs)"""
 RULES = {
     "domain differs": "domain <> known_domain",
-    "cell not in matrix": "not exists (select 1 from matrix m where m.family = r.family and m.scenario = r.scen)",
+    "scenario unknown": "q = 2",
+    "cell not in matrix": "q = 2 or not exists (select 1 from matrix m where m.family = r.family and m.scenario = r.scen)",
+    "medium": "q = 3 or (q = 2 and scen = 'pour')",
     "asset without licence": "o_orderkey % 11 = 0",
     "prefix differs": "o_orderkey % 13 = 0",
+    "energy not finite": "q = 4",
     "valid clip gains energy": "label = 'valid' and (o_orderkey % 100) / 5e3 > 0.01",
-    "frames out of order": "label = 'invalid' and o_orderkey % 4 = 0",
-    "windows bad": "label = 'invalid' and (o_orderkey % 3 = 0 or start + 8 >= 16)",
-    "culprit not declared": "label = 'invalid' and o_orderkey % 4 = 0",
+    "violation iff invalid": "label = 'invalid' and q = 5",
+    "intervention outside": "violated and o_orderkey % 17 = 0 and o_orderkey % 3 = 2",
+    "frames out of order": "violated and seen < event",
+    "windows bad": "violated and (o_orderkey % 3 = 0 or start + 8 >= 16)",
+    "extremes differ": "violated and event <> start",
+    "extent": "violated and q = 6",
+    "culprit not declared": "violated and o_orderkey % 4 = 0",
 }
 
 
-@query(REC + " " + " union all ".join(f"select clip_uid, '{n}' as rule from recs r where {c}" for n, c in RULES.items()))
+def faulty(spark, sf_dir):
+    """Records of which one in 29 each has an unknown family, an unknown scenario, another medium, no energy, no violation,
+    another extent or another first frame, and one in 17 an intervention across both windows of its violation."""
+    q, v = F.col("o_orderkey") % 29, F.col("violation")
+    both = F.array(F.struct((v["t_event_frame"] + 1).alias("s"), (v["t_event_frame"] + 6).alias("e")))
+    changed = v.withField("intervention_windows", F.when(F.col("o_orderkey") % 17 == 0, both).otherwise(v["intervention_windows"]))
+    changed = changed.withField("spatial_extent", F.when(q == 6, F.when(v["spatial_extent"] == "global", "local").otherwise("global")).otherwise(v["spatial_extent"]))
+    changed = changed.withField("t_event_frame", v["t_event_frame"] + F.when(q == 7, 1).otherwise(0))
+    return records(spark, sf_dir).withColumns({
+        "violation": F.when(q != 5, changed), "family": F.when(q == 1, "unheard_of").otherwise(F.col("family")), "scenario": F.when(q == 2, "nowhere").otherwise(F.col("scenario")),
+        "physics_medium": F.when(q == 3, "fluid").otherwise(F.col("physics_medium")), "energy_total": F.when(q == 4, float("nan")).otherwise(F.col("energy_total")),
+    })
+
+
+@query(FAULTY + " select clip_uid, 'family unknown' as rule from faulty where q = 1 union all " + " union all ".join(f"select clip_uid, '{n}' as rule from faulty r where q <> 1 and ({c})" for n, c in RULES.items()))
 def validation_rules(spark, sf_dir):
-    return validation.violations(records(spark, sf_dir))
+    return validation.violations(faulty(spark, sf_dir))
 
 
 @query(REC + " select clip_uid, start + 3 + (o_orderkey % 3)::int as s, start + 8 as e from recs where label = 'invalid' and o_orderkey % 3 = 0")
