@@ -8,7 +8,8 @@ its pieces go to; the pieces themselves are ranked and placed where they lie.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -52,41 +53,75 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, sp
     return rows.mapInArrow(cut, PIECES)
 
 
+def beside(counts: dict[int, int], lengths: list[int], a: int, room: int) -> list[int] | None:
+    """The pieces that go with one of length ``a`` into a bin that dominates every other bin holding it; None if no rule tells.
+
+    Nothing fits: a alone. A piece of length ``room`` is at least any set that fits. If only one more piece fits, the
+    largest fitting one is at least any other. If two but no three fit, let p >= q be the pair of largest sum and ``top`` the
+    largest fitting piece: top alone is at least any pair if top >= p + q; and p with q is at least any other set if p is
+    as large as top and no two pieces strictly between q and p fit together.
+    """
+
+    def free(x: int) -> int:
+        return counts.get(x, 0) - (x == a)
+
+    def smallest(of: list[int], many: int) -> list[int]:
+        out: list[int] = []
+        for x in of:
+            if len(out) == many:
+                break
+            out += [x] * min(free(x), many - len(out))
+        return out
+
+    low = smallest(lengths, 3)
+    if not low or low[0] > room:
+        return []
+    if free(room) > 0:
+        return [room]
+    fitting = [x for x in lengths[: bisect_right(lengths, room)] if free(x) > 0]
+    top = fitting[-1]
+    if len(low) < 2 or low[0] + low[1] > room:
+        return [top]
+    if len(low) == 3 and sum(low) <= room:
+        return None
+    p = q = 0
+    at, end = 0, len(fitting) - 1
+    while at < end:
+        x, y = fitting[at], fitting[end]
+        if x + y > room:
+            end -= 1
+        else:
+            p, q = max((p + q, p, q), (x + y, y, x))[1:]
+            at += 1
+    twice = max((x for x in fitting if 2 * x <= room and free(x) > 1), default=0)
+    if 2 * twice > p + q:
+        p = q = twice
+    if top >= p + q:
+        return [top]
+    inner = smallest(fitting[bisect_right(fitting, q) : bisect_left(fitting, p)], 2)
+    return [p, q] if top == p and (len(inner) < 2 or sum(inner) > room) else None
+
+
 def reduced(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Bins that dominate every other bin holding their largest piece; takes their pieces out of ``counts``.
 
-    For a piece of length a and room r = capacity - a: nothing fits (a alone); a piece of length r exists (it is at
-    least any set that fits beside a); or at most one more piece fits, and the largest fitting one is at least any
-    other. Each rule fixes as many equal bins at once as the counts allow, and the pass is repeated until none applies.
+    A rule of ``beside`` that holds for one piece holds for the next equal one as long as the same pieces are left, so each
+    fixes as many equal bins at once as the counts allow; passes are repeated until none applies.
     Returns ``(bins, [(length, copies), ...])``.
     """
     fixed: list[tuple[int, list[tuple[int, int]]]] = []
-    changed = True
+    lengths, changed = sorted(counts), True
     while changed:
         changed = False
         for a in sorted(counts, reverse=True):
-            while n := counts.get(a, 0):
-                rest = dict(counts)
-                rest[a] -= 1
-                lengths = sorted(x for x, c in rest.items() if c)
-                room = capacity - a
-                if not lengths or lengths[0] > room:
-                    many, partner = n, None
-                elif rest.get(room):
-                    many, partner = (n // 2 if room == a else min(n, rest[room])), room
-                else:
-                    second = lengths[0] if rest[lengths[0]] > 1 else (lengths[1] if len(lengths) > 1 else capacity)
-                    if lengths[0] + second <= room:
-                        break
-                    partner = lengths[bisect_left(lengths, room + 1) - 1]
-                    many = n // 2 if partner == a else min(n, rest[partner])
-                many = max(many, 1)
-                for x, k in ((a, many), *([(partner, many)] if partner else [])):
-                    counts[x] -= k
+            while counts.get(a, 0) and (others := beside(counts, lengths, a, capacity - a)) is not None:
+                pattern = Counter([a, *others])
+                many = min(counts[x] // k for x, k in pattern.items())
+                for x, k in pattern.items():
+                    counts[x] -= many * k
                     if not counts[x]:
-                        del counts[x]
-                same = [(a, 2)] if partner == a else [(a, 1), *([(partner, 1)] if partner else [])]
-                fixed.append((many, same))
+                        del counts[x], lengths[bisect_left(lengths, x)]
+                fixed.append((many, sorted(pattern.items(), reverse=True)))
                 changed = True
     return fixed
 

@@ -152,6 +152,45 @@ def test_plan_is_a_packing_no_worse_than_plain_best_fit(lengths):
     assert len(bins) >= -(-sum(lengths) // capacity)
 
 
+def fewest(pieces, capacity):
+    """Bins of an optimal packing, by trying every place of each piece."""
+    best = len(pieces)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(pieces):
+            best = len(rooms)
+            return
+        for j, room in enumerate(rooms):
+            if room >= pieces[i] and room not in rooms[:j]:
+                place(i + 1, [*rooms[:j], room - pieces[i], *rooms[j + 1 :]])
+        place(i + 1, [*rooms, capacity - pieces[i]])
+
+    pieces = sorted(pieces, reverse=True)
+    place(0, [])
+    return best
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(3, 20), min_size=1, max_size=9))
+def test_reduction_leaves_an_optimal_packing(lengths):
+    left = Counter(lengths)
+    fixed = packing.reduced(left, 20)
+    used = Counter()
+    for many, pattern in fixed:
+        assert sum(x * k for x, k in pattern) <= 20
+        used.update({x: many * k for x, k in pattern})
+    assert used + left == Counter(lengths)
+    assert sum(many for many, _ in fixed) + fewest(list(left.elements()), 20) == fewest(lengths, 20)
+
+
+def test_reduction_fixes_sets_of_three():
+    assert packing.beside(Counter([10, 6, 4, 4]), [4, 6, 10], 10, 10) == [6, 4]
+    assert packing.beside(Counter([10, 7, 5, 5, 4]), [4, 5, 7, 10], 10, 10) is None
+
+
 def test_packing_pieces(spark):
     lib = library(WORDS)
     texts = [*ODD, *["word " * n for n in range(1, 120)]]
