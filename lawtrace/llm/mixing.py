@@ -91,6 +91,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0,
     return uses.selectExpr("doc_id", "size", "source", "source_size", "target", "coalesce(aggregate(uses, 0L, (a, u) -> a + u.words), 0L) as taken", "uses", "text_key")
 
 
+def in_training_order(mixed: DataFrame) -> DataFrame:
+    """Rows of ``mix`` with ``first_position``, that of the document's first use, range-sorted by it. Documents never used have
+    none and come last, by id, so that no task holds all of them."""
+    placed = mixed.withColumn("first_position", F.get("uses", F.lit(0))["position"])
+    return placed.orderBy(F.col("first_position").asc_nulls_last(), "doc_id", "text_key")
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as the mix takes them, range-sorted by training position: a row for each use, its text cut to the words
     used. Documents the mix never takes go. Rows equal in id and text share their uses and the columns of one of them.

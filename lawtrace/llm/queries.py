@@ -14,11 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each row is one streamed message of its conversation, logged in the order of turns."""
+    """Each row is one message of its conversation, logged in the order of turns as two streamed deltas. Those of assistants
+    are drafts first: an edit replaces every second of them, a regeneration the others with what followed them."""
     rows = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as long) as conv_id", "cast(turn as long) as turn", "role", "text")
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
-    logged = rows.unionByName(own).selectExpr("conv_id", "row_number() over (partition by conv_id order by turn, role, text) as seq", "'delta' as kind", "role", "text").withColumn("message", F.col("seq"))
-    back = chat.read_back(chat.formatted(chat.messages(logged)))
+    numbered = rows.unionByName(own).selectExpr("conv_id", "row_number() over (partition by conv_id order by turn, role, text) as message", "role", "text", "cast(char_length(text) / 2 as int) as half")
+    event = "struct({} as kind, {} as message, {} as role, {} as text)".format
+    head, tail, draft = "substring(text, 1, half)", event("'delta'", "message", "role", "substring(text, half + 1)"), event("'delta'", "message", "role", "'a draft'")
+    regenerated = f"array({draft}, {event(repr('delta'), 'message + 1', repr('user'), repr('on the draft'))}, {event(repr('regenerate'), 'message', 'role', head)}, {tail})"
+    edited = f"array({draft}, {event(repr('edit'), 'message', 'role', head)}, {tail})"
+    streamed = f"array({event(repr('delta'), 'message', 'role', head)}, {tail})"
+    events = numbered.selectExpr("conv_id", "message as place", f"posexplode(case when role = 'assistant' and message % 4 = 0 then {regenerated} when role = 'assistant' then {edited} else {streamed} end) as (nth, event)")
+    back = chat.read_back(chat.formatted(chat.messages(events.selectExpr("conv_id", "4 * place + nth as seq", "event.*"))))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
@@ -47,8 +54,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("uses", F.lit(0))["position"], 6).alias("first_position"))
+    mixed = mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("first_position", 6).alias("first_position"))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
