@@ -60,7 +60,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))  # a row without an id has no remainder
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
     found = quality_classifier.score(docs, model, threshold=0.3)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
