@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawtrace.llm import chat, line_dedup, minhash, mixing, neighbours, packing, quality_classifier, quality_rules, storage, token_counts, token_files
+from lawtrace.llm import chat, line_dedup, minhash, mixing, neighbours, packing, prefix_trie, quality_classifier, quality_rules, storage, token_counts, token_files, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def rebuilt(strings: DataFrame) -> DataFrame:
+    """Conversations of ``prefix_trie.turn_strings`` that begin with the first turns of the first of their five: up to eight of them."""
+    heads = strings.selectExpr("conv_id as base", "slice(turns, 1, 8) as head")
+    own = strings.selectExpr("conv_id", "turns", "conv_id - conv_id % 5 as base", "cast(crc32(cast(conv_id as string)) % 9 as int) as h")
+    return own.join(heads, "base", "left").selectExpr("conv_id", "concat(slice(coalesce(head, filter(turns, t -> false)), 1, h), slice(turns, h + 1, size(turns))) as turns")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(rebuilt(prefix_trie.turn_strings(table(spark, sf_dir, "conversations"))))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, model = whitening.whiten(table(spark, sf_dir, "embeddings"), k=16)
+    n, error = (model.n, model.error) if model else (0, 0.0)
+    shares = [float(v / model.trace) for v in model.values] if model else []
+    explained = F.array(*[F.lit(s) for s in shares]).cast("array<double>")
+    rows = found.select("vec_id", "deviation", F.posexplode("whitened").alias("nth", "whitened"))
+    return rows.select("vec_id", (F.col("nth") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened", F.get(explained, F.col("nth")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 OP1_SQL = r"""
 with c as (select conv_id, turn, role, text from conversations
     union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -114,6 +134,23 @@ select doc_id, size, source_size, target, (u0 + u1 + u2)::bigint as taken,
 from solved
 """
 
+OP11_SQL = r"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as n from conversations where conv_id is not null),
+own as (select conv_id, list(md5(strlen(role)::varchar || ':' || role || text) order by n) as digests, list(strlen(text) order by n) as sizes from t group by 1),
+keyed as (select *, (xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)), 4294967295::bigint) % 9)::int as h from own),
+rebuilt as (select k.conv_id, list_concat(list_slice(coalesce(b.digests, []), 1, k.h), list_slice(k.digests, k.h + 1, len(k.digests))) as digests, list_concat(list_slice(coalesce(b.sizes, []), 1, k.h), list_slice(k.sizes, k.h + 1, len(k.sizes))) as sizes
+    from keyed k left join own b on b.conv_id = k.conv_id - k.conv_id % 5),
+depths as (select conv_id, digests, sizes, unnest(range(len(digests) + 1)) as d from rebuilt),
+prefixes as (select conv_id, d, d = len(digests) as last, md5(d::varchar || array_to_string(list_slice(digests, 1, d), ',')) as key, case when d > 0 then md5((d - 1)::varchar || array_to_string(list_slice(digests, 1, d - 1), ',')) end as above,
+        case when d > 0 then sizes[d] else 0 end as b from depths),
+nodes as (select key, any_value(above) as above, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n, any_value(b) as b, coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '') as ends from prefixes group by key),
+kids as (select above, count(*) as n_children from nodes where above is not null group by 1),
+full_nodes as (select n.*, p.conv_id as parent_conv_id, coalesce(k.n_children, 0) as n_children from nodes n left join nodes p on p.key = n.above left join kids k on k.above = n.key),
+sums as (select p.key, sum((u.n - 1) * u.b)::bigint as saved_tokens, count(*) filter (where u.n_children = 0) as n_leaves from full_nodes u join prefixes p on p.conv_id = u.conv_id and p.d <= u.depth group by 1)
+select conv_id, depth, parent_conv_id, n as n_convs, n_children, n_leaves, saved_tokens, sha256(ends) as ends_sha256 from full_nodes join sums using (key)
+"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_token_files": op2_token_files,
@@ -125,5 +162,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whitening": op12_whitening,
 }
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op8_mixing": OP8_SQL}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op8_mixing": OP8_SQL, "op11_prefix_trie": OP11_SQL}
