@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawtrace.llm import chat, line_dedup, minhash, mixing, neighbours, packing, prefix_trie, quality_classifier, quality_rules, storage, token_counts, token_files, whitening
+from lawtrace.llm import chat, line_dedup, minhash, mixing, neighbours, packing, prefix_trie, quality_classifier, quality_rules, storage, suffix_arrays, token_counts, token_files, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +94,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", (F.col("nth") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened", F.get(explained, F.col("nth")).alias("explained"), F.lit(error).alias("identity_error"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_arrays.repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.expr("aggregate(spans, 0L, (t, s) -> t + s.end - s.start)")
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 OP1_SQL = r"""
 with c as (select conv_id, turn, role, text from conversations
     union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -164,5 +170,6 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_whitening": op12_whitening,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op8_mixing": OP8_SQL, "op11_prefix_trie": OP11_SQL}
