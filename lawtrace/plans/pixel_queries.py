@@ -4,51 +4,113 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lawtrace.operators import pixels, validation
+from lawtrace.operators import annotate, pixels, taxonomy, validation
+from lawtrace.operators.severity import score_against_twin
 from lawtrace.plans import views
 from lawtrace.plans.catalog import query, r, tidy
 
 T, H, W = 25, 16, 16
+RESIDUAL = "((clip_uid * 3 + frame * 5) % 11) / 10e0"
+LEFT, ABSENT = "frame >= 5 + clip_uid % 7 and clip_uid % 2 = 0 and frame % 2 = 0", "frame % 5 = 1 and clip_uid % 3 = 0"
 SCORE = "((clip_uid * 3 + frame * 5 + body_id * 7) % 11) / 10e0"
 PX = "clip_uid, frame, y, x"
-BASE = f"""{views.sql_with("seg")}, v as (select * from seg where side = 'F'), i as (select * from seg where side = 'O'),
-clip_list as (select distinct clip_uid from seg), frame_list as (select clip_uid, cast(f as int) as frame from clip_list, range({T}) as t(f)),
-both_sides as (select coalesce(v.clip_uid, i.clip_uid) as clip_uid, coalesce(v.frame, i.frame) as frame, coalesce(v.y, i.y) as y, coalesce(v.x, i.x) as x, coalesce(v.body_id = 1, false) as in_v, coalesce(i.body_id = 1, false) as in_i,
-    v.body_id as body_v, i.body_id as body_i, greatest(abs(coalesce(v.r, 0) - coalesce(i.r, 0)), abs(coalesce(v.g, 0) - coalesce(i.g, 0)), abs(coalesce(v.b, 0) - coalesce(i.b, 0))) as diff,
-    (coalesce(v.r, 0) <> coalesce(i.r, 0))::int + (coalesce(v.g, 0) <> coalesce(i.g, 0))::int + (coalesce(v.b, 0) <> coalesce(i.b, 0))::int as channels
-    from v full join i on v.clip_uid = i.clip_uid and v.frame = i.frame and v.y = i.y and v.x = i.x),
+
+
+def attributed_sql(name: str, source: str, active: str, observable: str) -> str:
+    """CTEs that place the scores of ``source`` (clip_uid, frame, score) by joins: ``name`` (clip_uid, frame, placed) of the gated frames."""
+    n = name
+    return f"""{n}_runs as (select clip_uid, min(frame) as s, max(frame) as e from (select *, frame - row_number() over (partition by clip_uid order by frame) as g from {source} where {active}) group by clip_uid, g),
+{n}_next as (select *, lead(s) over (partition by clip_uid order by s) as nxt from {n}_runs),
+{n}_inside as (select x.clip_uid, x.frame, max(y.score) as placed from {source} x join {n}_runs w on x.clip_uid = w.clip_uid and x.frame between w.s and w.e join {source} y on y.clip_uid = x.clip_uid and y.frame between w.s and x.frame
+    and y.frame > coalesce((select max(z.frame) from {source} z where z.clip_uid = x.clip_uid and z.{observable} and z.frame between w.s and x.frame - 1), -1) where x.{observable} group by 1, 2),
+{n}_spilled as (select w.clip_uid, min(x.frame) as frame, (select max(y.score) from {source} y where y.clip_uid = w.clip_uid and y.frame between w.s and w.e) as placed
+    from {n}_next w join {source} x on x.clip_uid = w.clip_uid and x.{observable} and x.frame > w.e and x.frame < coalesce(w.nxt, 1000000000)
+    where not exists (select 1 from {source} q where q.clip_uid = w.clip_uid and q.{observable} and q.frame between w.s and w.e) group by w.clip_uid, w.s, w.e),
+{n} as (select * from {n}_inside union all select * from {n}_spilled)"""
+
+
+#: Plans of the clips in ``clip_list`` and their frames.
+PLANS_SQL = f"""fams(family_no, family, detectable, strong) as (values {", ".join(f"({i}, '{f[0]}', '{f[4]}', {f[6]!r}::double)" for i, f in enumerate(taxonomy.FAMILIES))}),
+pair_plans as (select p.*, f.family, f.detectable, coalesce(nullif(p.r_strong, 0), f.strong) as reference from ({views.PAIR_PLANS.format(clips="clip_list")}) p join fams f on p.family_no = f.family_no),
+frame_list as (select clip_uid, cast(f as int) as frame from clip_list, range({T}) as t(f))"""
+#: What their cells show: flags, gates and pixels, for motion in ``moved_rows`` (clip_uid, frame, score, diverged, absent).
+GATES_SQL = f"""both_sides as (select *, coalesce(body_v = 1, false) as in_v, coalesce(body_i = 1, false) as in_i, greatest(abs(coalesce(r_v, 0) - coalesce(r_i, 0)), abs(coalesce(g_v, 0) - coalesce(g_i, 0)), abs(coalesce(b_v, 0) - coalesce(b_i, 0))) as diff,
+    (coalesce(r_v, 0) <> coalesce(r_i, 0))::int + (coalesce(g_v, 0) <> coalesce(g_i, 0))::int + (coalesce(b_v, 0) <> coalesce(b_i, 0))::int as channels from cells),
 obs as (select clip_uid, frame from both_sides where in_v or in_i group by 1, 2 having bool_or(in_v <> in_i) or count(*) filter (where body_v is not null and body_i is not null and diff >= 8) >= 4),
-gate as (select clip_uid, frame from obs where frame between 5 and 15),
-mask as (select distinct {PX} from (select {PX} from v where body_id = 1 union all select {PX} from i where body_id = 1) join gate using (clip_uid, frame)),
-field as (select {PX}, {SCORE} as score from i join gate using (clip_uid, frame) where {SCORE} <> 0),
+line as (select f.clip_uid, f.frame, coalesce(f.frame between v1 and v2 or f.frame between v3 and v4, false) as active, coalesce(case when i1 is null then f.frame between v1 and v2 or f.frame between v3 and v4 else f.frame between i1 and i2 end, false) as intervening,
+    coalesce(case when c1 is null then f.frame between v1 and v2 or f.frame between v3 and v4 else f.frame between c1 and c2 end, false) as consequence, detectable, coalesce(m.score, 0) as score, coalesce(m.diverged, false) as diverged, coalesce(m.absent, false) as absent,
+    exists (select 1 from obs o where o.clip_uid = f.clip_uid and o.frame = f.frame) as observable, exists (select 1 from both_sides b where b.clip_uid = f.clip_uid and b.frame = f.frame and in_i) as seen_invalid,
+    not exists (select 1 from both_sides b where b.clip_uid = f.clip_uid and b.frame = f.frame and body_v = 1) as occluded_v, not exists (select 1 from both_sides b where b.clip_uid = f.clip_uid and b.frame = f.frame and body_i = 1) as occluded_i
+    from frame_list f join pair_plans p on p.clip_uid = f.clip_uid left join moved_rows m on m.clip_uid = f.clip_uid and m.frame = f.frame),
+scored_line as (select *, case when detectable = 'event' then intervening else consequence end as scored, observable and seen_invalid as both_seen from line),
+{attributed_sql("twins_show", "scored_line", "scored", "observable")},
+{attributed_sql("invalid_shows", "scored_line", "scored", "both_seen")},
+gates as (select l.*, a.placed is not null as visible, coalesce(a.placed, 0) as s_visible, b.placed is not null as visible_inv, coalesce(b.placed, 0) as s_inv, a.placed is not null or b.placed is not null as seen, (consequence or diverged) and observable as causal,
+    a.placed is not null and absent and not (b.placed is not null and seen_invalid) as gone
+    from scored_line l left join twins_show a on a.clip_uid = l.clip_uid and a.frame = l.frame left join invalid_shows b on b.clip_uid = l.clip_uid and b.frame = l.frame),
+painted as (select b.clip_uid, b.frame, b.y, b.x, body_v, body_i, in_v, in_i, seen and (in_v or in_i) as violation, visible_inv and in_i as invalid, case when in_i and visible_inv then s_inv when in_v and gone then s_visible else 0 end as severity, diff / 255e0 as divergence, causal
+    from both_sides b join gates g on g.clip_uid = b.clip_uid and g.frame = b.frame),
+near as (select distinct clip_uid, frame, (y + dy + {H}) % {H} as y, (x + dx + {W}) % {W} as x from painted, (select unnest(range(-3, 4)) as dy) a, (select unnest(range(-3, 4)) as dx) b where causal and in_i),
+levels as (select clip_uid, frame, y, x, case when in_i then 1 else 2 end as level from painted p where causal and (in_i or (body_i = 2 and clip_uid % 2 = 0) or (body_i = 3 and exists (select 1 from near n where n.clip_uid = p.clip_uid and n.frame = p.frame and n.y = p.y and n.x = p.x))))"""
+
+BASE = f"""{views.sql_with("cells")}, v as (select {PX}, body_v as body_id, r_v as r, g_v as g, b_v as b from cells where body_v is not null), i as (select {PX}, body_i as body_id, r_i as r, g_i as g, b_i as b from cells where body_i is not null),
+seg as (select *, 'F' as side from v union all select *, 'O' as side from i), clip_list as (select distinct clip_uid from cells),
+{PLANS_SQL},
+moved_rows as (select clip_uid, frame, least(greatest(({RESIDUAL}) / greatest(reference, 1e-9), 0), 1) as score, {LEFT} as diverged, {ABSENT} as absent from (select clip_uid, cast(f as int) as frame, reference from pair_plans, range({T}) as t(f))),
+{GATES_SQL},
+mask as (select {PX} from painted where violation),
+field as (select {PX}, severity as score from painted where severity <> 0 and in_i and invalid),
 diverged as (select {PX}, diff / 255e0 as divergence from both_sides where diff > 0)
 """
 
 
 class Scene:
-    """The derived tables of one run."""
+    """The derived tables of one run, all dealt by clip as the cells are."""
 
     def __init__(self, spark, sf_dir):
-        self.seg = views.seg(spark, sf_dir)
-        self.v, self.i = self.seg.where("side = 'F'"), self.seg.where("side = 'O'")
-        self.clips = self.seg.select("clip_uid").distinct()
-        self.culprits = self.clips.withColumn("body_id", F.lit(1))
+        self.cells = views.cells(spark, sf_dir)
+        self.clips = self.cells.select("clip_uid").distinct()
+        self.plans = views.pair_plans(self.clips)
         self.frames = self.clips.withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(T - 1))))
 
+    def side(self, s):
+        return self.cells.where(f"body_{s} is not null").select(*pixels.PIXEL, F.col(f"body_{s}").alias("body_id"), *[F.col(f"{c}_{s}").alias(c) for c in "rgb"])
+
+    @property
+    def v(self):
+        return self.side("v")
+
+    @property
+    def i(self):
+        return self.side("i")
+
+    @property
+    def seg(self):
+        return self.v.unionByName(self.i)
+
+    @property
+    def culprits(self):
+        return self.clips.withColumn("body_id", F.lit(1))
+
     def both(self):
-        return pixels.sides(self.v, self.i, self.culprits)
+        return annotate.compared(self.cells, self.plans)
 
-    def gate(self):
-        return pixels.observable_frames(self.both()).where("frame between 5 and 15")
+    def motion(self):
+        frames = self.plans.select("clip_uid", annotate.strong_residual().alias("reference"), F.explode(F.sequence(F.lit(0), F.col("frames") - 1)).alias("frame"))
+        score = score_against_twin(F.expr(RESIDUAL), F.lit(0.0), F.col("reference"))
+        return frames.select("clip_uid", "frame", score.alias("score"), F.expr(LEFT).alias("diverged"), F.expr(ABSENT).alias("absent"))
 
-    def scores(self):
-        return self.seg.select("clip_uid", "frame", "body_id").distinct().withColumn("score", F.expr(SCORE))
+    def times(self):
+        return annotate.timeline(self.both(), self.plans, self.motion())
+
+    def painted(self):
+        return annotate.painted(self.both(), self.times())
 
     def mask(self):
-        return pixels.violation_mask(pixels.footprint(self.v, self.culprits), pixels.footprint(self.i, self.culprits), self.gate())
+        return self.painted().where("violation").select(*pixels.PIXEL)
 
     def field(self):
-        return pixels.painted(self.i, self.scores(), gate=self.gate())
+        return self.painted().where("invalid and severity <> 0").select(*pixels.PIXEL, F.col("severity").alias("score"))
 
 
 @query(BASE + f"select {PX} from v where body_id = 1")
@@ -84,10 +146,21 @@ def violation_mask(spark, sf_dir):
     return Scene(spark, sf_dir).mask()
 
 
-@query(BASE + f"select {PX} from i join gate using (clip_uid, frame) where body_id = 1")
+@query(BASE + "select clip_uid, frame, active, intervening, consequence, scored, observable, seen_invalid, occluded_i, visible, " + r("s_visible", "s_visible") + ", visible_inv, " + r("s_inv", "s_inv") + ", seen, causal, gone from gates")
+def gate_timeline(spark, sf_dir):
+    """Every named gate of every frame, from plans dispatched by family, what the cells show and the motion."""
+    return tidy(Scene(spark, sf_dir).times().drop("diverged", "absent", "occluded_v", "score"))
+
+
+@query(BASE + f"select {PX} from painted where invalid")
 def invalid_mask(spark, sf_dir):
-    s = Scene(spark, sf_dir)
-    return pixels.footprint(s.i, s.culprits).join(s.gate(), pixels.FRAME, "left_semi").select(*pixels.PIXEL)
+    return Scene(spark, sf_dir).painted().where("invalid").select(*pixels.PIXEL)
+
+
+@query(BASE + f"select {PX} from painted where in_v")
+def reference_mask(spark, sf_dir):
+    """Where culprits should be: their lawful footprint, on all frames."""
+    return Scene(spark, sf_dir).painted().where("reference").select(*pixels.PIXEL)
 
 
 @query(BASE + f"select clip_uid, count(*) as outside from (select {PX} from i where body_id in (1, 2) except select {PX} from mask) group by 1")
@@ -107,11 +180,10 @@ def mask_dilated(spark, sf_dir):
     return d.groupBy("clip_uid", "frame").agg(F.count("*").alias("n"), F.sum(F.col("y") * W + F.col("x")).cast("long").alias("s"))
 
 
-@query(f"{BASE}, {DILATED}, levels as (select {PX}, 1 as level from i where body_id = 1 union all select {PX}, 2 from i where body_id = 2 union all select {PX}, 2 from i join dil using (clip_uid, frame, y, x) where body_id = 3) select {PX}, min(level) as level from levels group by all")
+@query(BASE + "select * from levels")
 def causal_mask(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    roles = s.clips.withColumn("e", F.explode(F.array(*[F.struct(F.lit(b).alias("body_id"), F.lit(x).alias("role")) for b, x in ((1, "culprit"), (2, "moving"), (3, "static"))]))).select("clip_uid", "e.*")
-    return pixels.causal_levels(s.i, roles, H, W)
+    return annotate.causal_levels(s.painted(), s.plans, H, W)
 
 
 @query(BASE + f"select {PX}, {r('score', 'score')} from field")
@@ -125,18 +197,10 @@ def severity_everywhere(spark, sf_dir):
     return tidy(pixels.painted_everywhere(s.frames.withColumn("score", (F.col("clip_uid") + F.col("frame")) % 7 / 6.0), H, W))
 
 
-VANISHED_SQL = BASE + f""", absent as (select clip_uid, frame, 0.5e0 as score from frame_list where frame % 3 = 0), bare as (select {PX} from i where body_id = 1 and clip_uid % 2 = 0),
-blind as (select * from absent a where not exists (select 1 from bare b where b.clip_uid = a.clip_uid and b.frame = a.frame)),
-extra as (select v.clip_uid, v.frame, v.y, v.x, b.score from v join blind b on v.clip_uid = b.clip_uid and v.frame = b.frame where v.body_id = 1 and not exists (select 1 from field f where f.clip_uid = v.clip_uid and f.frame = v.frame and f.y = v.y and f.x = v.x))
-select {PX}, {r('score', 'score')} from (select * from field union all select * from extra)"""
-
-
-@query(VANISHED_SQL)
+@query(BASE + f"select {PX}, {r('severity', 'score')} from painted where severity <> 0")
 def severity_vanished(spark, sf_dir):
-    s = Scene(spark, sf_dir)
-    absent = s.frames.where("frame % 3 = 0").withColumn("score", F.lit(0.5))
-    bare = pixels.footprint(s.i, s.culprits).where("clip_uid % 2 = 0")
-    return tidy(pixels.with_vanished(s.field(), pixels.footprint(s.v, s.culprits), bare, absent))
+    """The severity map with the lawful footprint of culprits that are gone and leave no pixel."""
+    return tidy(Scene(spark, sf_dir).painted().where("severity <> 0").select(*pixels.PIXEL, F.col("severity").alias("score")))
 
 
 @query(BASE + "select c.clip_uid, b.body_id, min(frame) as first_frame, max(frame) as last_frame, count(frame) as frames_visible, coalesce(max(n), 0) as peak_pixels from clip_list c cross join (select unnest(range(1, 6)) as body_id) b left join (select clip_uid, body_id, frame, count(*) n from i group by 1, 2, 3) p on p.clip_uid = c.clip_uid and p.body_id = b.body_id group by 1, 2")
@@ -175,35 +239,28 @@ def audit_weakest(spark, sf_dir):
     return audit_measure(spark, sf_dir).where("not invisible").orderBy("peak_severity", "clip_uid").limit(10).select("clip_uid", "peak_severity")
 
 
-GRID = f""", cells as (select clip_uid, cast(ceil(frame / 4e0) as int) f_lat, cast(floor(y / 2e0) as int) h_lat, cast(floor(x / 2e0) as int) w_lat, true as hit, null as s from mask union all select clip_uid, cast(ceil(frame / 4e0) as int), cast(floor(y / 2e0) as int), cast(floor(x / 2e0) as int), false, score from field),
-grid as (select clip_uid, f_lat, h_lat, w_lat, bool_or(hit) as hit, coalesce(max(s), 0) as peak, coalesce(sum(s), 0) / (case when f_lat = 0 then 4e0 else 16e0 end) as mean from cells group by 1, 2, 3, 4)"""
+GRID = f""", grid as (select clip_uid, cast(ceil(frame / 4e0) as int) f_lat, cast(floor(y / 2e0) as int) h_lat, cast(floor(x / 2e0) as int) w_lat, bool_or(violation) as hit, max(severity) as peak, sum(severity) / (case when ceil(frame / 4e0) = 0 then 4e0 else 16e0 end) as mean from painted where violation or severity <> 0 group by 1, 2, 3, 4, ceil(frame / 4e0))"""
 
 
 @query(BASE + GRID + f" select clip_uid, f_lat, h_lat, w_lat, hit, {r('peak', 'peak')}, {r('mean', 'mean')} from grid")
 def token_grid(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    return tidy(pixels.token_grid(s.mask(), s.field(), T, H, W, 8))
+    return tidy(annotate.token_grid(s.painted(), T, H, W, 8))
 
 
 @query(BASE + GRID + f" select c.clip_uid, f.f::int as f_lat, h.h::int as h_lat, w.w::int as w_lat, coalesce(hit, false) as hit, {r('coalesce(peak, 0)', 'peak')}, {r('coalesce(mean, 0)', 'mean')} from clip_list c cross join range(7) f(f) cross join range(8) h(h) cross join range(8) w(w) left join grid g on g.clip_uid = c.clip_uid and g.f_lat = f.f and g.h_lat = h.h and g.w_lat = w.w")
 def token_grid_dense(spark, sf_dir):
     s = Scene(spark, sf_dir)
-    return tidy(pixels.dense_grid(s.clips, pixels.token_grid(s.mask(), s.field(), T, H, W, 8), T, 8))
-
-
-TIMELINE = BASE + """, ev as (select clip_uid, cast(5 + clip_uid % 7 as int) as t_event, cast(12 + clip_uid % 9 as int) as t_end from clip_list),
-hidden as (select * from frame_list f where not exists (select 1 from i where i.clip_uid = f.clip_uid and i.frame = f.frame and i.body_id = 1))"""
+    return tidy(pixels.dense_grid(s.clips, annotate.token_grid(s.painted(), T, H, W, 8), T, 8))
 
 
-@query(TIMELINE + " select e.clip_uid, t_event, t_end, coalesce(min(o.frame), t_event) as t_obs, coalesce(min(o.frame), t_event) - t_event as lag, exists (select 1 from hidden h where h.clip_uid = e.clip_uid and h.frame = t_event) as occluded_at_event from ev e left join obs o on o.clip_uid = e.clip_uid group by 1, 2, 3")
+@query(BASE + """, first_seen as (select clip_uid, min(frame) as first from obs group by 1)
+select p.clip_uid, v1 as t_event, coalesce(v4, v2) as t_end, coalesce(first, v1) as t_obs, coalesce(first, v1) - v1 as lag, g.occluded_i as occluded_at_event, coalesce(i2, v4, v2) as t_intervention_end, coalesce(c2, v4, v2) as t_consequence_end
+from pair_plans p left join first_seen o on o.clip_uid = p.clip_uid join gates g on g.clip_uid = p.clip_uid and g.frame = v1""")
 def temporal_block(spark, sf_dir):
     """Event, end, first observable frame, lag, and whether the culprit is hidden at the event."""
     s = Scene(spark, sf_dir)
-    ev = s.clips.select("clip_uid", (5 + F.col("clip_uid") % 7).cast("int").alias("t_event"), (12 + F.col("clip_uid") % 9).cast("int").alias("t_end"))
-    first = pixels.observable_frames(s.both()).groupBy("clip_uid").agg(F.min("frame").alias("first"))
-    hidden = pixels.occluded_frames(s.frames, s.i, F.lit(1)).select("clip_uid", F.col("frame").alias("t_event"), F.lit(True).alias("h"))
-    t = ev.join(first, "clip_uid", "left").join(hidden, ["clip_uid", "t_event"], "left").withColumn("t_obs", F.coalesce("first", "t_event"))
-    return t.select("clip_uid", "t_event", "t_end", "t_obs", (F.col("t_obs") - F.col("t_event")).alias("lag"), F.coalesce("h", F.lit(False)).alias("occluded_at_event"))
+    return annotate.temporal_block(s.times(), s.plans)
 
 
 @query(BASE + f", e as (select clip_uid, frame, body_id, ((frame + body_id * 3 + clip_uid) % 13 - 4) * 1e0 as energy from (select distinct clip_uid, frame, body_id from seg)), z as (select clip_uid, greatest(abs(sum(energy)), 1e-9) as e0 from e where frame = 0 group by 1) select i.clip_uid, i.frame, i.y, i.x, {r('energy / e0', 'share')} from i join e on i.clip_uid = e.clip_uid and i.frame = e.frame and i.body_id = e.body_id join z on z.clip_uid = i.clip_uid where energy <> 0")

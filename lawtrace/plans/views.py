@@ -7,6 +7,7 @@ fifteen users, a body is a user, and a frame is the place of an event among its
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FPS = 12
 GRAVITY = 9.81
@@ -47,10 +48,24 @@ select distinct cast(floor(user_id / 15e0) as bigint) as clip_uid, user_id as bo
 from {events}
 """
 
-SEG = """
-select l_orderkey % 50 as clip_uid, l_linestatus as side, cast(l_partkey % 25 as int) as frame, cast(l_suppkey % 16 as int) as y, cast(floor(l_orderkey / 50e0) % 16 as int) as x,
-    min(1 + l_linenumber % 3) as body_id, cast(max(l_partkey * 7 % 256) as int) as r, cast(max(l_suppkey * 5 % 256) as int) as g, cast(max(l_orderkey * 3 % 256) as int) as b
-from {lineitem} group by 1, 2, 3, 4, 5
+#: A clip is a thousand orders, so clips grow with the table. The culprit, body 1, is hidden on the invalid side in every fifth frame, and
+#: both sides agree in every third; where two rows meet in a pixel, the least body and the largest channels stay.
+CELLS = """
+select clip_uid, frame, y, x, min(body_id) filter (where on_v) as body_v, max(r) filter (where on_v) as r_v, max(g) filter (where on_v) as g_v, max(b) filter (where on_v) as b_v,
+    min(body_id) filter (where on_i) as body_i, max(r) filter (where on_i) as r_i, max(g) filter (where on_i) as g_i, max(b) filter (where on_i) as b_i
+from (select *, case when frame % 3 = 0 then on_v else not on_v and not (body_id = 1 and frame % 5 = 1) end as on_i
+    from (select cast(floor(l_orderkey / 1000e0) as bigint) as clip_uid, cast(l_partkey % 25 as int) as frame, cast(l_suppkey % 16 as int) as y, cast(l_orderkey % 16 as int) as x, cast(1 + l_linenumber % 3 as bigint) as body_id,
+        cast(l_partkey * 7 % 256 as int) as r, cast(l_suppkey * 5 % 256 as int) as g, cast(l_orderkey * 3 % 256 as int) as b, l_linestatus = 'F' as on_v from {lineitem}) as placed) as shown
+where on_v or on_i group by clip_uid, frame, y, x
+"""
+
+#: What the plan of each pair of clips says, over ``{clips}`` (clip_uid): windows, culprits and static bodies as pixels show them.
+PAIR_PLANS = """
+select clip_uid, 25 as frames, clip_uid % 23 as family_no, cast(5 + clip_uid % 7 as int) as t_event, case when clip_uid % 3 = 0 then 0.8e0 when clip_uid % 3 = 1 then 0e0 end as r_strong,
+    cast(5 + clip_uid % 7 as int) as v1, cast(case when clip_uid % 4 = 0 then 8 + clip_uid % 7 else 20 end as int) as v2, cast(case when clip_uid % 4 = 0 then 13 + clip_uid % 7 end as int) as v3, cast(case when clip_uid % 4 = 0 then 15 + clip_uid % 7 end as int) as v4,
+    cast(case when clip_uid % 5 <> 0 then 5 + clip_uid % 7 end as int) as i1, cast(case when clip_uid % 5 <> 0 then 7 + clip_uid % 7 end as int) as i2,
+    cast(case when clip_uid % 6 <> 0 then 6 + clip_uid % 7 end as int) as c1, cast(case when clip_uid % 6 <> 0 then 16 + clip_uid % 9 end as int) as c2
+from {clips}
 """
 
 CLIPS = """
@@ -79,8 +94,25 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PLANS, events=table(spark, sf_dir, "events"))
 
 
-def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(SEG, lineitem=table(spark, sf_dir, "lineitem"))
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of every pixel place, dealt by clip: what is grouped or joined by clip and frame afterwards stays where it is."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("deal", F.floor(F.col("l_orderkey") / 1000.0).cast("long")).repartition("deal")
+    return spark.sql(CELLS.replace("cast(floor(l_orderkey / 1000e0) as bigint) as clip_uid", "deal as clip_uid"), lineitem=rows)
+
+
+def pair_plans(clips: DataFrame) -> DataFrame:
+    """``PAIR_PLANS`` of the clips with the kind and reference of their family, as plans of ``operators.annotate``."""
+    from lawtrace.operators import taxonomy
+
+    spark = clips.sparkSession
+    window = lambda *ends: F.array_compact(F.array(*[F.when(F.col(s).isNotNull(), F.struct(F.col(s).alias("s"), F.col(e).alias("e"))) for s, e in ends]))
+    families = taxonomy.families(spark).select(F.col("family_no").cast("long").alias("family_no"), "family", "detectable", "strong")
+    p = spark.sql(PAIR_PLANS, clips=clips).join(F.broadcast(families), "family_no")  # 23 rows
+    ids = lambda *x: F.array(*[F.lit(i).cast("long") for i in x]).cast("array<long>")
+    return p.select(
+        "clip_uid", "frames", "family", "detectable", "strong", "r_strong", "t_event", window(("v1", "v2"), ("v3", "v4")).alias("violation_windows"), F.when(F.col("i1").isNotNull(), window(("i1", "i2"))).alias("intervention_windows"),
+        F.when(F.col("c1").isNotNull(), window(("c1", "c2"))).alias("consequence_windows"), ids(1).alias("culprits"), F.lit(1).cast("long").alias("primary"), ids(3).alias("static_ids"), F.when(F.col("clip_uid") % 2 == 0, ids(2)).otherwise(ids()).alias("moved"),
+    )
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +121,5 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_with(*names: str) -> str:
     """A WITH clause that defines the named views for DuckDB."""
-    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "plans": PLANS.format(events="events"), "seg": SEG.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
+    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "plans": PLANS.format(events="events"), "cells": CELLS.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
     return "with " + ", ".join(f"{n} as ({texts[n]})" for n in names)
