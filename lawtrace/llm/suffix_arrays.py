@@ -28,7 +28,7 @@ from lawtrace.llm.storage import Scratch, dropped, new_path
 GRAM = 16  # bytes whose hash places an anchor
 SHARD = 1 << 19  # bytes of segments in a shard, about
 INDEX = 21  # bits of a place in a shard and of a rank: three of them, 63, are one sort key
-BUFFER = 1 << 23  # bytes scanned for anchors at once
+BUFFER = 1 << 19  # bytes scanned for anchors at once
 _TABLE = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64, False) | np.uint64(1)
 _MIX, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << 24) - 1)
 
@@ -244,7 +244,7 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     def found(batches):
         for batch in batches:
             at = 0
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), size=BUFFER):
                 if isinstance(part, pa.ChunkedArray):
                     part = part.combine_chunks()
                 keys = batch.column(0).slice(at, len(part))
