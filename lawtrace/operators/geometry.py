@@ -108,24 +108,30 @@ def off_screen_frames(traj: DataFrame, seen: Column, t0: Column, share: float =
     return per.groupBy("clip_uid").agg(F.count_if(F.col("seen") < share * F.col("here")).alias("frames"))
 
 
-def first_contact(found: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+def _ends(found: DataFrame, *more: str) -> DataFrame:
+    """Two rows for each contact, one for each end: body_id and other."""
+    ends = F.array(*[F.struct(F.col(x).alias("body_id"), F.col(y).alias("other")) for x, y in (("body_a", "body_b"), ("body_b", "body_a"))])
+    return found.select("clip_uid", "frame", "seq", *more, F.explode(ends).alias("e")).select("clip_uid", "frame", "seq", *more, "e.*")
+
+
+def first_contact(found: DataFrame) -> DataFrame:
     """``(clip_uid, body_id, frame, other)`` of each body's earliest contact, the first recorded on ties.
 
     found: (clip_uid, frame, seq, body_a, body_b)."""
-    ends = found.select("clip_uid", "frame", "seq", F.explode(F.array(F.struct(F.col("body_a").alias("body_id"), F.col("body_b").alias("other")), F.struct(F.col("body_b").alias("body_id"), F.col("body_a").alias("other")))).alias("e"))
-    at = F.struct("frame", "seq")
-    return ends.groupBy("clip_uid", F.col("e.body_id").alias("body_id")).agg(F.min("frame").alias("frame"), F.min_by("e.other", at).alias("other"))
+    return _ends(found).groupBy("clip_uid", "body_id").agg(F.min("frame").alias("frame"), F.min_by("other", F.struct("frame", "seq")).alias("other"))
 
 
 def first_impact(found: DataFrame, traj: DataFrame, least_speed: float = 0.3, head_on: float = 0.3) -> DataFrame:
-    """Each body's earliest contact, 1 <= f < T - 2, that it meets with speed, mostly along the normal, by its velocity a
-    frame before."""
-    ends = found.select("clip_uid", "frame", "seq", "nx", "ny", "nz", F.explode(F.array("body_a", "body_b")).alias("body_id")).where("frame >= 1")
+    """``(clip_uid, body_id, frame, other, nx, ny, nz)``: each body's earliest contact, 1 <= f < T, that it meets with speed, mostly along the normal, by
+    its velocity a frame before; the unit normal with it. Contacts without a normal do not count."""
     last = F.max("frame").over(Window.partitionBy("clip_uid"))
     before = traj.select("clip_uid", "body_id", (F.col("frame") + 1).alias("frame"), "vx", "vy", "vz", last.alias("last"))
-    t = ends.join(before, ["clip_uid", "body_id", "frame"]).where(F.col("frame") < F.col("last") - 1)
-    speed, along = norm(vec("v")), F.abs(dot(vec("v"), vec("n"))) / F.greatest(norm(vec("n")), F.lit(1e-9))
-    return t.where((speed >= least_speed) & (along >= head_on * speed)).groupBy("clip_uid", "body_id").agg(F.min("frame").alias("frame"))
+    size = norm(vec("n"))
+    t = _ends(found, "nx", "ny", "nz").where("frame >= 1").join(before, ["clip_uid", "body_id", "frame"]).where((F.col("frame") <= F.col("last")) & (size >= 1e-6))
+    speed, along = norm(vec("v")), F.abs(dot(vec("v"), vec("n"))) / size
+    unit = [(F.col(f"n{x}") / size).alias(f"n{x}") for x in "xyz"]
+    best = t.where((speed >= least_speed) & (along >= head_on * speed)).groupBy("clip_uid", "body_id").agg(F.min_by(F.struct("frame", "other", *unit), F.struct("frame", "seq")).alias("e"))
+    return best.select("clip_uid", "body_id", "e.*")
 
 
 def head_on_contact(found: DataFrame, traj: DataFrame) -> DataFrame:
@@ -144,9 +150,14 @@ def approach_speed(found: DataFrame, traj: DataFrame) -> DataFrame:
     return t.select("clip_uid", "frame", "seq", norm(tuple(F.col(f"a{x}") - F.coalesce(f"b{x}", F.lit(0.0)) for x in "xyz")).alias("speed"))
 
 
-def first_outside_contact(found: DataFrame, group: Column) -> DataFrame:
-    """Per clip the first frame at which one end of a contact is in the group and the other is not (1 <= f)."""
-    return found.where(F.col("frame") >= 1).withColumns({"in_a": group(F.col("body_a")), "in_b": group(F.col("body_b"))}).where("in_a <> in_b").groupBy("clip_uid").agg(F.min("frame").alias("frame"))
+def first_outside_contact(found: DataFrame, bodies: DataFrame, frames: DataFrame) -> DataFrame:
+    """Per clip the first frame, 1 <= f < T - 2, at which a body of the group touches one outside it that is neither static nor dormant.
+
+    bodies: (clip_uid, body_id, inside, outside); frames: (clip_uid, frames)."""
+    side = lambda s: bodies.select("clip_uid", F.col("body_id").alias(f"body_{s}"), F.col("inside").alias(f"in_{s}"), F.col("outside").alias(f"out_{s}"))
+    t = found.join(side("a"), ["clip_uid", "body_a"]).join(side("b"), ["clip_uid", "body_b"]).join(frames, "clip_uid")
+    hit = (F.col("in_a") & F.col("out_b")) | (F.col("in_b") & F.col("out_a"))
+    return t.where(hit & (F.col("frame") >= 1) & (F.col("frame") < F.col("frames") - 2)).groupBy("clip_uid").agg(F.min("frame").alias("frame"))
 
 
 def first_landing(traj: DataFrame, top: float, margin: int = 1) -> DataFrame:
@@ -155,12 +166,6 @@ def first_landing(traj: DataFrame, top: float, margin: int = 1) -> DataFrame:
     return found.withColumn("frame", F.when(F.col("frame") >= 1, F.col("frame")))
 
 
-def overlap_end(pairs: DataFrame, frames: DataFrame, tail: int = 2) -> DataFrame:
-    """Per clip the last frame of any overlap plus a tail, within the clip. frames: (clip_uid, frames)."""
-    last = pairs.groupBy("clip_uid").agg(F.max("frame").alias("last"))
-    return last.join(frames, "clip_uid").select("clip_uid", F.least(F.col("last") + tail, F.col("frames") - 1).alias("frame"))
-
-
 def merge_candidates(traj: DataFrame, reach: float, frames: Column) -> DataFrame:
     """Pairs of bodies that ever come within ``reach`` radii, 1 <= f < T - 2: first such frame and its gap."""
     near = pair_distances(traj, (F.col("radius_a") + F.col("radius_b")) * reach).join(traj.select("clip_uid", frames.alias("frames")).distinct(), "clip_uid")

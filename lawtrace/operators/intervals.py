@@ -77,17 +77,19 @@ def attributed(rows: DataFrame, key: list[str], score: str = "score", active: st
     return t.select(*rows.columns, "gate", "placed")
 
 
-def gain_windows(rows: DataFrame, key: list[str], flag: str, last: Column) -> DataFrame:
-    """Two-frame windows taken greedily over the flagged frames of each key and joined where they touch.
+def gain_windows(rows: DataFrame, key: list[str], flag: str, t0: str = "t0") -> DataFrame:
+    """Two-frame windows taken greedily over the flagged frames of each key from t0 on, with one forced at t0, joined where they touch.
 
-    A run of L flagged frames from s is covered by ceil(L / 2) windows, up to s + 2 ceil(L / 2) - 1; covers that touch
-    or overlap join.
+    rows: key, frame, flag and t0, one row for each frame; of several targets the flag is whether any gains. A run of L flagged frames from
+    s is covered by ceil(L / 2) windows, up to s + 2 ceil(L / 2) - 1; covers that touch or overlap join. No window passes the last frame.
     """
-    cover = islands(rows, key, flag).join(rows.groupBy(*key).agg(F.max("frame").alias("last")), key)
-    cover = cover.withColumn("e", F.least(F.col("s") + 2 * F.ceil((F.col("e") - F.col("s") + 1) / 2) - 1, "last"))
-    by = Window.partitionBy(*key).orderBy("s")
+    ends = rows.groupBy(*key).agg(F.max("frame").alias("last"), F.max(t0).alias("start"))
+    runs = islands(rows.withColumn("late", F.col(flag) & (F.col("frame") >= F.col(t0))), key, "late").join(ends, key)
+    cover = runs.select(*key, "s", F.least(F.col("s") + 2 * F.ceil((F.col("e") - F.col("s") + 1) / 2) - 1, "last").alias("e"))
+    forced = ends.select(*key, F.col("start").alias("s"), F.least(F.col("start") + 1, F.col("last")).cast("long").alias("e"))
+    by = Window.partitionBy(*key).orderBy("s", "e")
     before = F.max("e").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    t = cover.withColumn("fresh", (before.isNull() | (F.col("s") > before + 1)).cast("int")).withColumn("g", F.sum("fresh").over(by))
+    t = cover.unionByName(forced).withColumn("fresh", (before.isNull() | (F.col("s") > before + 1)).cast("int")).withColumn("g", F.sum("fresh").over(by))
     return t.groupBy(*key, "g").agg(F.min("s").alias("s"), F.max("e").cast("int").alias("e")).drop("g")
 
 

@@ -77,20 +77,24 @@ def severity_to_evidence(spark, sf_dir):
     return tidy(intervals.attributed(rows, KEY).select(*KEY, "frame", "gate", "placed"))
 
 
-GAIN_SQL = f"""{views.sql_with("traj")}, s as (select *, sqrt(vx * vx + vy * vy + vz * vz) as speed from traj), f as (select *, max(frame) over (partition by clip_uid, body_id) as last, frame > 0 and speed > 1.05e0 * lag(speed) {BODY} + 1e-3 as gain from s),
-i as (select clip_uid, body_id, last, min(frame) s, max(frame) e from (select *, frame - row_number() over (partition by clip_uid, body_id order by frame) g from f where gain) group by clip_uid, body_id, last, g),
-c as (select clip_uid, body_id, s, least(last, s + 2 * cast(ceil((e - s + 1) / 2e0) as int) - 1) as e from i),
-m as (select *, max(e) over (partition by clip_uid, body_id order by s rows between unbounded preceding and 1 preceding) as before from c),
-g as (select *, sum(case when before is null or s > before + 1 then 1 else 0 end) over (partition by clip_uid, body_id order by s) as g from m)
-select clip_uid, body_id, min(s) as s, cast(max(e) as int) as e from g group by clip_uid, body_id, g"""
+GAIN_SQL = f"""{views.sql_with("traj")}, s as (select *, sqrt(vx * vx + vy * vy + vz * vz) as speed from traj where body_id % 15 in (3, 4)), one as (select clip_uid, frame, frame > 0 and speed > 1.05e0 * lag(speed) {BODY} + 1e-3 as gain from s),
+f as (select clip_uid, frame, bool_or(coalesce(gain, false)) as gain, cast(floor(0.35e0 * (max(frame) over (partition by clip_uid) + 1)) as int) as t0, max(frame) over (partition by clip_uid) as last from one group by clip_uid, frame),
+i as (select clip_uid, last, min(frame) s, max(frame) e from (select *, frame - row_number() over (partition by clip_uid order by frame) g from f where gain and frame >= t0) group by clip_uid, last, g),
+c as (select clip_uid, s, least(last, s + 2 * cast(ceil((e - s + 1) / 2e0) as int) - 1) as e from i union all select distinct clip_uid, t0, least(t0 + 1, last) from f),
+m as (select *, max(e) over (partition by clip_uid order by s, e rows between unbounded preceding and 1 preceding) as before from c),
+g as (select *, sum(case when before is null or s > before + 1 then 1 else 0 end) over (partition by clip_uid order by s, e) as g from m)
+select clip_uid, min(s) as s, cast(max(e) as int) as e from g group by clip_uid, g"""
 
 
 @query(GAIN_SQL)
 def interval_gain_windows(spark, sf_dir):
+    """Frames from the event on in which either of two targets gains speed."""
     by = motion.laws.by_frame()
-    t = views.traj(spark, sf_dir).withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy") + F.col("vz") * F.col("vz")))
+    t = views.traj(spark, sf_dir).where("body_id % 15 in (3, 4)").withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy") + F.col("vz") * F.col("vz")))
     t = t.withColumn("gain", F.coalesce(F.col("speed") > 1.05 * F.lag("speed").over(by) + 1e-3, F.lit(False)))
-    return intervals.gain_windows(t, KEY, "gain", F.col("last"))
+    frames = t.groupBy("clip_uid", "frame").agg(F.max("gain").alias("gain"))
+    frames = frames.withColumn("t0", F.floor(0.35 * (F.max("frame").over(motion.by_clip()) + 1)).cast("int"))
+    return intervals.gain_windows(frames, ["clip_uid"], "gain")
 
 
 @query(TWIN_SQL + """ select distinct clip_uid, t_event as start, least(frames - 1, t_event + greatest(1, cast(round_even(0.5e0 * 12, 0) as int)) - 1) as intervention_end, frames - 1 as last from pairs""")

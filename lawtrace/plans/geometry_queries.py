@@ -93,9 +93,14 @@ def contact_first(spark, sf_dir):
     return geometry.first_contact(views.contacts(spark, sf_dir))
 
 
-@query(f"{TC}, {ENDS} select e.clip_uid, e.body_id, min(e.frame) as frame from ends e join traj t on t.clip_uid = e.clip_uid and t.body_id = e.body_id and t.frame = e.frame - 1 join (select clip_uid, max(frame) as last from traj group by 1) z on z.clip_uid = e.clip_uid where e.frame >= 1 and e.frame < z.last - 1 and sqrt(vx * vx + vy * vy + vz * vz) >= 0.3 and abs(vx * nx + vy * ny + vz * nz) / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-9) >= 0.3e0 * sqrt(vx * vx + vy * vy + vz * vz) group by 1, 2")
+IMPACTS = f"""{ENDS}, impacts as (select e.clip_uid, e.body_id, min(e.frame) as frame, arg_min(other, e.frame * 10000000000 + seq) as other, arg_min(nx / sqrt(nx * nx + ny * ny + nz * nz), e.frame * 10000000000 + seq) as nx, arg_min(ny / sqrt(nx * nx + ny * ny + nz * nz), e.frame * 10000000000 + seq) as ny, arg_min(nz / sqrt(nx * nx + ny * ny + nz * nz), e.frame * 10000000000 + seq) as nz
+    from ends e join traj t on t.clip_uid = e.clip_uid and t.body_id = e.body_id and t.frame = e.frame - 1 join (select clip_uid, max(frame) as last from traj group by 1) z on z.clip_uid = e.clip_uid
+    where e.frame >= 1 and e.frame <= z.last and sqrt(vx * vx + vy * vy + vz * vz) >= 0.3 and abs(vx * nx + vy * ny + vz * nz) / sqrt(nx * nx + ny * ny + nz * nz) >= 0.3e0 * sqrt(vx * vx + vy * vy + vz * vz) group by 1, 2)"""
+
+
+@query(f"{TC}, {IMPACTS} select clip_uid, body_id, frame, other, {r('nz', 'nz')} from impacts")
 def contact_first_impact(spark, sf_dir):
-    return geometry.first_impact(views.contacts(spark, sf_dir), views.traj(spark, sf_dir))
+    return tidy(geometry.first_impact(views.contacts(spark, sf_dir), views.traj(spark, sf_dir)).drop("nx", "ny"))
 
 
 @query(f"{TC}, a as (select c.clip_uid, c.frame, c.seq, abs(vx * nx + vy * ny + vz * nz) as along from contacts c join traj t on t.clip_uid = c.clip_uid and t.frame = c.frame and t.body_id = c.body_a), k as (select *, row_number() over (partition by clip_uid, frame order by along desc, seq) as k from a) select clip_uid, frame, seq, {r('along', 'along')} from k where k = 1")
@@ -108,9 +113,11 @@ def contact_approach(spark, sf_dir):
     return tidy(geometry.approach_speed(views.contacts(spark, sf_dir), views.traj(spark, sf_dir)))
 
 
-@query(f"{TC} select clip_uid, min(frame) as frame from contacts where frame >= 1 and (body_a % 15 < 5) <> (body_b % 15 < 5) group by 1")
+@query(f"{views.sql_with('traj', 'contacts', 'bodies')}, z as (select clip_uid, max(frame) + 1 as frames from traj group by 1) select c.clip_uid, min(c.frame) as frame from contacts c join bodies a on a.clip_uid = c.clip_uid and a.body_id = c.body_a join bodies b on b.clip_uid = c.clip_uid and b.body_id = c.body_b join z on z.clip_uid = c.clip_uid where c.frame >= 1 and c.frame < frames - 2 and ((a.ord < 5 and b.ord >= 5 and not b.static and not b.dormant) or (b.ord < 5 and a.ord >= 5 and not a.static and not a.dormant)) group by 1")
 def contact_outside_group(spark, sf_dir):
-    return geometry.first_outside_contact(views.contacts(spark, sf_dir), lambda b: b % 15 < 5)
+    b = views.bodies(spark, sf_dir).select("clip_uid", "body_id", (F.col("ord") < 5).alias("inside"), ((F.col("ord") >= 5) & ~F.col("static") & ~F.col("dormant")).alias("outside"))
+    frames = views.traj(spark, sf_dir).groupBy("clip_uid").agg((F.max("frame") + 1).alias("frames"))
+    return geometry.first_outside_contact(views.contacts(spark, sf_dir), b, frames)
 
 
 @query(f"{TC} select clip_uid, case when min(frame) - 1 >= 1 then min(frame) - 1 end as frame from traj where pz - radius <= 0.51e0 group by 1")
@@ -118,12 +125,6 @@ def landing_first(spark, sf_dir):
     return geometry.first_landing(views.traj(spark, sf_dir), 0.5)
 
 
-@query(NEAR + ", t as (select clip_uid, max(frame) + 1 as frames from traj group by 1) select n.clip_uid, least(max(n.frame) + 2, max(frames) - 1) as frame from near n join t on t.clip_uid = n.clip_uid where distance <= 1e0 group by 1")
-def overlap_end(spark, sf_dir):
-    t = views.traj(spark, sf_dir)
-    return geometry.overlap_end(geometry.pair_distances(t, F.col("radius_a") + F.col("radius_b")), t.groupBy("clip_uid").agg((F.max("frame") + 1).alias("frames")))
-
-
 MERGE = NEAR + ", t as (select clip_uid, max(frame) + 1 as frames from traj group by 1), cand as (select n.clip_uid, body_a, body_b, min(n.frame) as frame, arg_min(distance, n.frame) as gap from near n join t on t.clip_uid = n.clip_uid where distance <= 3.6e0 and n.frame >= 1 and n.frame < frames - 2 group by 1, 2, 3)"
 
 

@@ -48,6 +48,14 @@ select distinct cast(floor(user_id / 15e0) as bigint) as clip_uid, user_id as bo
 from {events}
 """
 
+#: How bodies are declared: body 0 of a clip is its floor, 9 and 10 are static boxes, one of them turned in odd clips, 12 sleeps.
+BODIES = """
+select clip_uid, body_id, body_id % 15 as ord, body_id % 15 in (0, 9, 10) as static, body_id % 15 = 0 as floor, body_id % 15 = 12 as dormant, body_id % 15 in (0, 4, 9, 10) as box,
+    px as x0, py as y0, pz as z0, case when body_id % 15 = 0 then 20e0 else 1.5e0 end as hx, case when body_id % 15 = 0 then 20e0 when body_id % 15 = 9 then 0.4e0 else 1e0 end as hy,
+    case when body_id % 15 = 0 then 0.1e0 when body_id % 15 in (9, 10) then 2e0 else 0.5e0 end as hz, case when body_id % 15 = 10 and clip_uid % 2 = 1 then 0.9e0 else 1e0 end as q0, radius
+from {traj} as placed where frame = 0
+"""
+
 #: A clip is a thousand orders, so clips grow with the table. The culprit, body 1, is hidden on the invalid side in every fifth frame, and
 #: both sides agree in every third; where two rows meet in a pixel, the least body and the largest channels stay.
 CELLS = """
@@ -94,6 +102,10 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PLANS, events=table(spark, sf_dir, "events"))
 
 
+def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BODIES, traj=traj(spark, sf_dir))
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides of every pixel place, dealt by clip: what is grouped or joined by clip and frame afterwards stays where it is."""
     rows = table(spark, sf_dir, "lineitem").withColumn("deal", F.floor(F.col("l_orderkey") / 1000.0).cast("long")).repartition("deal")
@@ -121,5 +133,5 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_with(*names: str) -> str:
     """A WITH clause that defines the named views for DuckDB."""
-    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "plans": PLANS.format(events="events"), "cells": CELLS.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
+    texts = {"traj": TRAJ.format(events="events"), "contacts": f"select * from ({CONTACTS.format(events='events')}) as c where seq % 7 = 0", "plans": PLANS.format(events="events"), "bodies": BODIES.format(traj="traj"), "cells": CELLS.format(lineitem="lineitem"), "clips": CLIPS.format(orders="orders")}
     return "with " + ", ".join(f"{n} as ({texts[n]})" for n in names)
