@@ -24,7 +24,7 @@ def whole():
     return Window.partitionBy(*KEY)
 
 XYZ = "xyz"
-#: Strengths of every edit at its three severities.
+#: FIXED VALUES: strengths of every edit at its three severities.
 STRENGTHS = {
     "teleport": {"weak": 1.5, "medium": 4.0, "strong": 9.0}, "halt": {"weak": 0.55, "medium": 0.85, "strong": 1.0}, "wiggle": {"weak": 0.5, "medium": 0.9, "strong": 1.5},
     "drop_out": {"weak": 0.25, "medium": 0.55, "strong": 1.0}, "time_slip": {"weak": 0.13, "medium": 0.22, "strong": 0.32}, "resize": {"weak": 1.30, "medium": 1.75, "strong": 2.30},
@@ -34,6 +34,11 @@ STRENGTHS = {
 EDITS: dict[str, Callable[..., DataFrame]] = {}
 
 
+#: The family that each edit stages.
+FAMILY = {
+    "teleport": "continuity", "halt": "newton1_inertia", "wiggle": "non_parabolic", "drop_out": "permanence", "resize": "immutability", "fade": "dissolve", "squash": "deformation", "hover": "support",
+    "recolour": "colour_shift", "detach": "shadow", "invert": "shadow_inverted", "time_slip": "time_slip", "retime": "friction", "dip": "solidity", "merge": "fusion",
+}
 #: FIXED VALUE: the least share of its size that a body shrinks to.
 SHRINK_TO = 0.42
 

@@ -62,6 +62,12 @@ EXCEPTIONS = (
     ("fission", "ramp_slide", "the halves have no level support"),
 )
 UNBUILT = ("clutter_toss", "tumble")
+#: FIXED VALUES: laws that only their owners may move, and the rise from which a move counts: of another family, and of an owner.
+EXCLUSIVE = {
+    "penetration": ("solidity",), "position_continuity": ("continuity",), "mass_continuity": ("permanence",), "object_count": ("fission", "fusion", "permanence", "dissolve"),
+    "shape_continuity": ("immutability", "fusion"), "shape_anisotropy": ("deformation", "shadow_shape"), "colour_continuity": ("colour_shift",), "mass_dissolution": ("dissolve",),
+}
+LEAK, MOVES = 1.0, 0.1
 CAPABILITIES = ("actor", "flight", "contact", "impact", "identical_pair", "multi_body", "converging", "resting", "sliding", "spin", "understudy", "cast_shadow")
 DOMAINS = ("identity", "kinematics", "contact", "dynamics", "equilibrium", "optical", "appearance", "global")
 
@@ -96,7 +102,7 @@ def jobs(cells: DataFrame, variants: int, base_seed: int) -> DataFrame:
     return grouped.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(variants - 1)))).withColumn("seed", base_seed + F.col("variant"))
 
 
-#: Seconds a clip at each tier, and the speed-up of worker counts; others take the defaults.
+#: FIXED VALUES: seconds a clip at each tier, and the speed-up of worker counts; others take the defaults.
 RATES = {"debug-solid": 8.0, "debug-hdri": 44.0, "release-solid": 637.0, "release-hdri": 2930.0}
 SPEEDUP = {1: 1.0, 2: 1.6, 4: 2.50, 8: 2.67}
 

@@ -63,13 +63,23 @@ def undeclared(pairs: DataFrame, culprits: DataFrame, least: float = 1e-6) -> Da
     return pairs.groupBy("clip_uid", "body_id").agg(F.max(off).alias("changed")).where("changed").drop("changed").join(culprits, ["clip_uid", "body_id"], "left_anti")
 
 
-def leaks(valid: DataFrame, invalid: DataFrame, owner_law: str, threshold: float = 1.0) -> DataFrame:
-    """Laws other than the owner whose largest residual rises over the twin's by more than ``threshold``.
-
-    Inputs are long residual tables (clip_uid, law, r)."""
-    top = lambda t, n: t.groupBy("clip_uid", "law").agg(F.max("r").alias(n))
-    both = top(invalid, "most").join(top(valid, "twin"), ["clip_uid", "law"])
-    return both.where((F.col("most") - F.col("twin") > threshold) & (F.col("law") != owner_law))
+def contamination(valid: DataFrame, invalid: DataFrame, families: DataFrame, owners: DataFrame, leak: float = 1.0, moves: float = 0.1) -> DataFrame:
+    """Every law against every family: which families move a law that is not theirs, and which owners do not move theirs.
+
+    valid: (clip_uid, law, r); invalid: (family, clip_uid, law, r), each clip's twin for each family; families: (family); owners: (law, family), the
+    exclusive laws. The rise of a law in a clip is its largest residual on the invalid side less that on the valid side. Of each (family, law): the largest
+    rise of any clip, the clips whose rise is above ``leak``, and the verdict: "leak", if the law is exclusive, another family's, and some clip leaks;
+    "silent", if the family owns the law and no clip rises above ``moves``; else "kept" for exclusive laws and "free" for others.
+    """
+    top = lambda t, n, *by: t.groupBy(*by, "clip_uid", "law").agg(F.max("r").alias(n))
+    both = top(invalid, "most", "family").join(top(valid, "twin"), ["clip_uid", "law"]).withColumn("rise", F.col("most") - F.col("twin"))
+    risen = both.groupBy("family", "law").agg(F.max("rise").alias("rise"), F.count_if(F.col("rise") > leak).alias("clips_over"))
+    exclusive = owners.select("law").distinct().withColumn("exclusive", F.lit(True))
+    own = owners.withColumn("owner", F.lit(True))
+    t = families.join(risen, "family").join(F.broadcast(exclusive), "law", "left").join(F.broadcast(own), ["law", "family"], "left")  # a few fixed rows
+    t = t.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("exclusive", "owner")})
+    verdict = F.when(F.col("exclusive") & ~F.col("owner") & (F.col("clips_over") > 0), "leak").when(F.col("owner") & (F.col("rise") <= moves), "silent").when(F.col("exclusive"), "kept").otherwise("free")
+    return t.select("family", "law", "rise", "clips_over", "exclusive", "owner", verdict.alias("verdict"))
 
 
 def spliced(valid: DataFrame, tail: DataFrame, t0: str = "t0", columns: tuple[str, ...] = ("px", "py", "pz", "qw", "qx", "qy", "qz")) -> DataFrame:

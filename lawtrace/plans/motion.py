@@ -241,25 +241,6 @@ def twin_splice(spark, sf_dir):
     return tidy(twins.spliced(valid, tail, "t_event").select("clip_uid", "body_id", "frame", "px", "pz"))
 
 
-CONTAMINATION_SQL = f"""{LAW_ROWS}, timed as (select clip_uid, cast(floor(0.35e0 * (max(frame) + 1)) as int) as t_event from traj group by 1),
-both_sides as (select l.clip_uid, l.body_id, l.frame, {LAW_SQL['position_continuity']} as position_continuity, case when l.frame = 0 then 0 else greatest(sqrt(power(dpx + case when l.body_id % 15 = 3 and l.frame = t_event then 2e0 else 0 end, 2) + dpy * dpy + dpz * dpz) - greatest(speed_before, speed) * {DT} * 1.6e0, 0) / radius end as moved_continuity
-    from l2 l join timed t on l.clip_uid = t.clip_uid)
-select clip_uid, 'position_continuity' as law, {r("max(moved_continuity)", "most")}, {r("max(position_continuity)", "twin")} from both_sides where body_id % 15 = 3 group by 1 having max(moved_continuity) - max(position_continuity) > 0.01"""
-
-
-@query(CONTAMINATION_SQL)
-def law_contamination(spark, sf_dir):
-    """Laws that a teleport moves though a family of another law made it."""
-    valid = sized(spark, sf_dir)
-    c = views.contacts(spark, sf_dir)
-    names = ("position_continuity", "mass_continuity", "shape_continuity", "colour_continuity")
-
-    def measured(t):
-        return laws.wide(t.where(culprit()), c, views.FPS, CTX, G, names).unpivot(["clip_uid", "body_id", "frame"], list(names), "law", "r")
-
-    return tidy(twins.leaks(measured(valid), measured(edits.teleport(valid, culprit(), F.col("t_event"), 4.0)), "penetration", 0.01))
-
-
 # ---- severity
 
 RESID_SQL = "select l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_extendedprice / 1000e0 as r from lineitem"
