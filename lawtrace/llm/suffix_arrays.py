@@ -258,7 +258,8 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
                     yield pa.RecordBatch.from_arrays([pa.array(hashes), keys.take(pa.array(own_text)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "text_key", "start", "n"])
 
     places = own.written(texts.select("text_key", "text").mapInArrow(found, "key long, text_key binary, start int, n int"), "places")
-    twice = places.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    # stored, so that both sides of the join are plain and adaptive execution can split a hot key
+    twice = own.written(places.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "twice")
     wanted = places.join(twice.hint("merge"), "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "start", "n")).alias("places"))
 
     def cut(batches):
