@@ -46,7 +46,7 @@ def split_sizes(counts: DataFrame) -> DataFrame:
     return t.select("stratum", "n", *[F.when(few, F.when(F.lit(i == len(names) - 1), F.col("n")).otherwise(0)).otherwise(F.col(x)).alias(x) for i, x in enumerate(names)])
 
 
-def splits(pairs: DataFrame, uid: str = "pair_uid", buckets: int = 64) -> DataFrame:
+def splits(pairs: DataFrame, uid: str = "pair_uid") -> DataFrame:
     """``(pair_uid, stratum, split)`` of distinct pairs, in exact shares of each stratum, in hash order.
 
     A pair's rank is the pairs in earlier hash buckets, from one count for each bucket, plus its rank inside its own, so
@@ -71,6 +71,18 @@ def name_of(column: Column) -> Column:
     return F.coalesce(F.get_json_object(column, "$.name"), column)
 
 
+def label_table(groups: DataFrame, key: str) -> DataFrame:
+    """Per key the names of its segmentation ids and the licences of its assets.
+
+    groups: (key, body_id, name, license). ``names`` maps ids to names in id order, 0 being the background; ``licences`` maps each licence to its number of
+    bodies; ``bodies`` counts them without the background."""
+    t = groups.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("body_id", "name"))).alias("held"), F.count("*").alias("bodies"), F.collect_list(F.coalesce("license", F.lit(""))).alias("all_licences"))
+    names = F.map_from_entries(F.concat(F.array(F.struct(F.lit(0).cast("long").alias("body_id"), F.lit("background").alias("name"))), "held"))
+    kinds = F.array_sort(F.array_distinct("all_licences"))
+    licences = F.map_from_entries(F.transform(kinds, lambda k: F.struct(k, F.size(F.filter("all_licences", lambda x: x == k)))))
+    return t.select(key, names.alias("names"), licences.alias("licences"), "bodies")
+
+
 def first_actor(instances: Column) -> Column:
     """The first instance with the role of an actor that is not dormant."""
     return F.get(F.filter(instances, lambda b: (b["role"] == "actor") & ~F.coalesce(b["dormant"], F.lit(False))), F.lit(0))
@@ -112,10 +124,15 @@ def diversity(rows: DataFrame, group: str, axes: dict[str, int | None]) -> DataF
     return rows.groupBy(group).agg(*[F.countDistinct(F.col(c) if d is None else F.round(c, d)).alias(c) for c, d in axes.items()])
 
 
-def coverage(cells: DataFrame, rows: str, columns: str, value: str, order: str, names: list[str]) -> DataFrame:
-    """A row for each ``rows`` and a column for each name: the latest clip's value, null where missing, and how many exist."""
-    wide = cells.groupBy(rows).pivot(columns, names).agg(F.max_by(value, order))
-    return wide.withColumn("built", sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0)))
+def coverage(cells: DataFrame, rows: str, columns: str, value: str, order: str, names: list[str], planned: DataFrame | None = None) -> DataFrame:
+    """A row for each ``rows`` and a column for each name: the latest clip's value, null where missing, and how many are ``built``.
+
+    With ``planned``, distinct (rows, columns), every planned row is there, with the ``total`` of its planned cells, and only planned cells count."""
+    if planned is not None:
+        cells = planned.join(cells, [rows, columns], "left")
+    wide = cells.groupBy(rows).pivot(columns, names).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))))
+    wide = wide.withColumn("built", sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0)))
+    return wide if planned is None else wide.join(planned.groupBy(rows).agg(F.count("*").alias("total")), rows)
 
 
 def breakdown(rows: DataFrame, *by: str) -> DataFrame:

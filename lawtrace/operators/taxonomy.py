@@ -84,6 +84,11 @@ def exceptions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(EXCEPTIONS), "family string, scenario string, reason string")
 
 
+def cells() -> list[tuple[str, str]]:
+    """(family, scenario) of every cell whose requirements the scenario meets."""
+    return [(f[0], s[0]) for f in FAMILIES for s in SCENARIOS if set(f[5]) <= set(s[3])]
+
+
 def matrix(spark: SparkSession) -> DataFrame:
     """``(family, scenario, cell, reason)`` of every cell whose requirements the scenario meets: relational division.
 
@@ -96,10 +101,13 @@ def matrix(spark: SparkSession) -> DataFrame:
     return cells.select("family", "scenario", "domain", "medium", F.when(reason.isNull(), "build").otherwise("defer").alias("cell"), reason.alias("reason"))
 
 
-def jobs(cells: DataFrame, variants: int, base_seed: int) -> DataFrame:
-    """One job for each (variant, scenario) with its families; the seed is the base plus the variant."""
-    grouped = cells.where("cell = 'build'").groupBy("scenario").agg(F.array_sort(F.collect_list("family")).alias("families"))
-    return grouped.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(variants - 1)))).withColumn("seed", base_seed + F.col("variant"))
+def jobs(cells: DataFrame, made: DataFrame, variants: int, base_seed: int) -> DataFrame:
+    """One job for each (variant, scenario) with its families, and those of them that no clip of ``made`` (scenario, family, variant, clips) shows yet; the
+    seed is the base plus the variant."""
+    wanted = cells.where("cell = 'build'").select("scenario", "family").withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))))
+    t = wanted.join(made, ["scenario", "family", "variant"], "left").groupBy("scenario", "variant")
+    lists = F.array_sort(F.collect_list("family")).alias("families"), F.array_sort(F.collect_list(F.when(F.col("clips").isNull(), F.col("family")))).alias("open")
+    return t.agg(*lists, F.coalesce(F.sum("clips"), F.lit(0)).alias("clips")).withColumn("seed", base_seed + F.col("variant"))
 
 
 #: FIXED VALUES: seconds a clip at each tier, and the speed-up of worker counts; others take the defaults.
@@ -107,12 +115,11 @@ RATES = {"debug-solid": 8.0, "debug-hdri": 44.0, "release-solid": 637.0, "releas
 SPEEDUP = {1: 1.0, 2: 1.6, 4: 2.50, 8: 2.67}
 
 
-def priced(cells: DataFrame, bins: int, variants: int, tier: str, workers: int) -> DataFrame:
-    """Invalid and valid renders and the hours they take."""
+def priced(clips: DataFrame, by: str, tier: str, workers: int) -> DataFrame:
+    """Renders of a corpus (label and the column ``by``) and the hours they take: one for each invalid clip, and one for each lawful one."""
     rate, speed = RATES.get(tier, 60.0), SPEEDUP.get(workers, max(SPEEDUP.values()))
-    built = cells.where("cell = 'build'").agg(F.count("*").alias("cells"), F.countDistinct("scenario").alias("scenarios"))
-    renders = built.select((F.col("cells") * bins * variants).alias("invalid"), (F.col("scenarios") * variants).alias("valid"))
-    return renders.withColumn("hours", (F.col("invalid") + F.col("valid")) * rate / 3600.0 / speed)
+    n = clips.groupBy(by).agg(F.count_if(F.col("label") == "invalid").alias("invalid"), F.count_if(F.col("label") == "valid").alias("valid"))
+    return n.withColumn("hours", (F.col("invalid") + F.col("valid")) * rate / 3600.0 / speed)
 
 
 def unknown_scenarios(clips: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lawtrace.operators import annotate, pixels, taxonomy, validation
+from lawtrace.operators import annotate, intervals, pixels, taxonomy, validation
 from lawtrace.operators.severity import score_against_twin
 from lawtrace.plans import views
 from lawtrace.plans.catalog import query, r, tidy
@@ -307,3 +307,34 @@ def validation_profiles(spark, sf_dir):
     profile = pixels.profile(s.frames, s.field())
     recorded = profile.withColumn("severity", F.when(F.col("frame") % 5 == 0, F.col("score")).otherwise(0.5)).drop("score")
     return validation.profile_violations(profile, recorded)
+
+
+@query(BASE + f", shifted as (select {PX} from i join gates g using (clip_uid, frame) where body_id = 1 and (visible_inv or frame % 7 = 2)), out as (select distinct clip_uid from (select * from shifted except select * from mask)) select clip_uid, case when clip_uid % 4 = 1 then 'masks differ in size' else 'mask outside the union' end as rule from (select clip_uid from out union select clip_uid from clip_list where clip_uid % 4 = 1)")
+def validation_parts(spark, sf_dir):
+    """Invalid-side masks with pixels of frames that nothing gates, and clips whose masks differ in size."""
+    s = Scene(spark, sf_dir)
+    part = s.painted().join(s.times().select("clip_uid", "frame", F.col("visible_inv").alias("own")), pixels.FRAME).where("in_i and (own or frame % 7 = 2)").select(*pixels.PIXEL)
+    shape = lambda h: F.struct(F.lit(T).alias("frames"), h.alias("height"), F.lit(W).alias("width"))
+    sizes = s.clips.select("clip_uid", shape(F.lit(H)).alias("mask_size"), shape(F.when(F.col("clip_uid") % 4 == 1, H // 2).otherwise(H)).alias("part_size"))
+    return validation.part_violations(part, s.mask(), sizes)
+
+
+@query(BASE + """, lines as (select g.clip_uid, g.frame, g.active <> (g.frame = 9 and g.clip_uid % 3 = 1) as active, g.observable <> (g.frame = 11 and g.clip_uid % 2 = 0) as observable, g.active as right_active, g.observable as right_observable,
+    coalesce((select max(severity) from painted p where p.clip_uid = g.clip_uid and p.frame = g.frame), 0) as largest, g.frame % 10 = 3 as wrong from gates g where g.clip_uid % 5 <> 4),
+n as (select clip_uid, frame, count(*) as n from mask group by 1, 2)
+select clip_uid, null::int as frame, 'annotation missing' as rule from clip_list where clip_uid % 5 = 4 union all select clip_uid, frame, 'active differs' from lines where active <> right_active union all select clip_uid, frame, 'observable differs' from lines where observable <> right_observable
+union all select l.clip_uid, l.frame, case when l.observable then 'mask empty' else 'mask where nothing shows' end from lines l left join n on n.clip_uid = l.clip_uid and n.frame = l.frame where l.active and l.observable <> (coalesce(n, 0) > 0)
+union all select clip_uid, frame, 'severity differs' from lines where wrong""")
+def validation_annotations(spark, sf_dir):
+    """Annotations with planted faults: a table missing in every fifth clip, flags off in some frames, a severity off in every tenth."""
+    s = Scene(spark, sf_dir)
+    times, painted = s.times(), s.painted()
+    severities = pixels.profile(s.frames, painted.select("clip_uid", "frame", F.col("severity").alias("score")))
+    lines = times.select("clip_uid", "frame", (F.col("active") != ((F.col("frame") == 9) & (F.col("clip_uid") % 3 == 1))).alias("active"), (F.col("observable") != ((F.col("frame") == 11) & (F.col("clip_uid") % 2 == 0))).alias("observable"))
+    lines = lines.join(severities, pixels.FRAME).withColumn("severity", F.col("score") + F.when(F.col("frame") % 10 == 3, 0.5).otherwise(0.0)).drop("score")
+    spans = lambda flag, name: intervals.as_windows(times, ["clip_uid"], flag).withColumnRenamed("windows", name)
+    empty = F.array().cast("array<struct<s:int,e:int>>")
+    records = s.clips.join(spans("active", "violation_windows"), "clip_uid", "left").join(spans("observable", "observable_windows"), "clip_uid", "left")
+    records = records.withColumns({c: F.coalesce(c, empty) for c in ("violation_windows", "observable_windows")})
+    held = s.clips.select("clip_uid", F.explode(F.array_compact(F.array(F.lit("timelines"), F.lit("violation_mask"), F.when(F.col("clip_uid") % 5 != 4, "severity_map")))).alias("name"))
+    return validation.annotation_violations(records, lines, s.mask(), severities, held)

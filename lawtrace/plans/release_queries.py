@@ -80,10 +80,32 @@ def diversity_axes(spark, sf_dir):
     return release.diversity(views.table(spark, sf_dir, "part"), "p_brand", {"p_type": None, "p_size": None, "p_retailprice": 1})
 
 
-@query(CLIPS + " select concat(scenario, '/', family_no) as cell, " + ", ".join(f"arg_max(clip_uid, o_orderkey) filter (where severity_bin = '{b}') as {b}" for b in ("weak", "medium", "strong")) + ", count(distinct severity_bin) as built from clips where label = 'invalid' group by 1")
+SCEN_LIST = "[" + ", ".join(f"'{s[0]}'" for s in taxonomy.SCENARIOS) + "]"
+NAMES = [f[0] for f in taxonomy.FAMILIES]
+
+
+def staged(spark, sf_dir):
+    """Clips with the scenario and family of the taxonomy that their keys name."""
+    scen = F.element_at(F.array(*[F.lit(s[0]) for s in taxonomy.SCENARIOS]), (F.col("o_orderkey") % 15 + 1).cast("int"))
+    fam = taxonomy.families(spark).select(F.col("family_no").cast("long").alias("family_no"), "family", "domain")
+    return views.clips(spark, sf_dir).withColumn("scenario", scen).join(F.broadcast(fam), "family_no")
+
+
+STAGED = f"{CLIPS}, {MATRIX}, staged as (select c.* replace ({SCEN_LIST}[(o_orderkey % 15 + 1)::int] as scenario), f.family, f.domain from clips c join families f on f.family_no = c.family_no)"
+
+
+@query(f"{STAGED}, s as (select * from staged where label = 'invalid' and severity_bin = 'strong' and magnitude > 100000) select m.scenario, " + ", ".join(f"arg_max(s.clip_uid, o_orderkey) filter (where m.family = '{f}') as {f}" for f in NAMES) + ", count(distinct s.family) as built, count(distinct m.family) as total from matrix m left join s on s.scenario = m.scenario and s.family = m.family where m.reason is null group by 1")
 def coverage_lattice(spark, sf_dir):
-    c = views.clips(spark, sf_dir).where("label = 'invalid'").withColumn("cell", F.concat_ws("/", "scenario", "family_no"))
-    return release.coverage(c, "cell", "severity_bin", "clip_uid", "o_orderkey", ["weak", "medium", "strong"])
+    """The latest strong clip of every cell: scenarios by families, and how many of the planned ones are there."""
+    c = staged(spark, sf_dir).where("label = 'invalid' and severity_bin = 'strong' and magnitude > 100000").select("scenario", "family", "clip_uid", "o_orderkey")
+    planned = taxonomy.matrix(spark).where("cell = 'build'").select("scenario", "family")
+    return release.coverage(c, "scenario", "family", "clip_uid", "o_orderkey", NAMES, planned)
+
+
+@query(STAGED + f" select domain, family, severity_bin, moving, count(*) as clips, {r('avg(magnitude)', 'mean_magnitude', 4)} from staged where label = 'invalid' group by rollup (domain, family, severity_bin, moving)")
+def evaluation_by_family(spark, sf_dir):
+    """Invalid clips by domain, family, severity and whether the camera moves; families are pooled in their domain's own row only."""
+    return tidy(release.breakdown(staged(spark, sf_dir), "domain", "family", "severity_bin", "moving"), 4)
 
 
 @query(f"{CLIPS}, {DIMS} select s.scenario, f.family from (select distinct scenario from clips) s cross join families f where not exists (select 1 from clips c where c.scenario = s.scenario and c.family_no = f.family_no and c.severity_bin = 'strong' and c.label = 'invalid')")
@@ -101,24 +123,27 @@ def release_taxonomy(spark, sf_dir):
     return c.groupBy("scenario").agg(F.count("*").alias("clips_in_release"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.countDistinct("domain").alias("domains"))
 
 
-@query(f"{CLIPS}, {MATRIX} select m.family, m.scenario, m.domain, m.medium, case when reason is null then 'build' else 'defer' end as cell, reason, (select count(*) from clips) as corpus from matrix m")
+@query(STAGED + " select m.family, m.scenario, m.domain, m.medium, case when reason is null then 'build' else 'defer' end as cell, reason, count(s.clip_uid) as clips from matrix m left join staged s on s.family = m.family and s.scenario = m.scenario and s.label = 'invalid' group by all")
 def taxonomy_matrix(spark, sf_dir):
-    """The compatible cells, beside the size of the corpus they describe."""
-    n = views.clips(spark, sf_dir).agg(F.count("*").alias("corpus"))
-    return taxonomy.matrix(spark).join(F.broadcast(n))
+    """The compatible cells and the invalid clips that each of them has."""
+    n = staged(spark, sf_dir).where("label = 'invalid'").groupBy("family", "scenario").agg(F.count("*").alias("clips"))
+    return taxonomy.matrix(spark).join(n, ["family", "scenario"], "left").na.fill(0, ["clips"])
 
 
-@query(f"{CLIPS}, {MATRIX}, j as (select scenario, array_to_string(list_sort(list(family)), ',') as families from matrix where reason is null group by 1) select scenario, families, v::int as variant, 4242 + v::int as seed, (select count(*) from clips where o_orderkey % 4 = v) as clips from j cross join range(4) t(v)")
+@query(STAGED + """, made as (select scenario, family, (o_orderkey % 4)::int as variant, count(*) as clips from staged where label = 'invalid' and magnitude > 200000 group by 1, 2, 3), wanted as (select scenario, family, v::int as variant from matrix, range(4) t(v) where reason is null)
+select w.scenario, w.variant, array_to_string(list_sort(list(w.family)), ',') as families, coalesce(array_to_string(list_sort(list(w.family) filter (where m.clips is null)), ','), '') as open, coalesce(sum(m.clips), 0)::bigint as clips, 4242 + w.variant as seed
+from wanted w left join made m on m.scenario = w.scenario and m.family = w.family and m.variant = w.variant group by 1, 2""")
 def taxonomy_jobs(spark, sf_dir):
-    made = views.clips(spark, sf_dir).groupBy((F.col("o_orderkey") % 4).cast("int").alias("variant")).agg(F.count("*").alias("clips"))
-    j = taxonomy.jobs(taxonomy.matrix(spark), 4, 4242).withColumn("families", F.array_join("families", ","))
-    return j.join(made, "variant", "left").na.fill(0, ["clips"]).select("scenario", "families", "variant", "seed", "clips")
+    """One job for each scenario and variant, and the families that it still lacks a large clip of."""
+    made = staged(spark, sf_dir).where("label = 'invalid' and magnitude > 200000").groupBy("scenario", "family", (F.col("o_orderkey") % 4).cast("int").alias("variant")).agg(F.count("*").alias("clips"))
+    j = taxonomy.jobs(taxonomy.matrix(spark), made, 4, 4242)
+    return j.withColumns({c: F.array_join(c, ",") for c in ("families", "open")})
 
 
-@query(f"{CLIPS}, {MATRIX}, b as (select count(*) as cells, count(distinct scenario) as scenarios from matrix where reason is null) select cells * 9 as invalid, scenarios * 3 as valid, {r('(cells * 9 + scenarios * 3) * 637e0 / 3600e0 / 2.5e0', 'hours')}, (select count(*) from clips) as made from b")
+@query(STAGED + f", n as (select scenario, count(*) filter (where label = 'invalid') as invalid, count(*) filter (where label = 'valid') as valid from staged group by 1) select scenario, invalid, valid, {r('(invalid + valid) * 637e0 / 3600e0 / 2.5e0', 'hours')} from n")
 def release_pricing(spark, sf_dir):
-    n = views.clips(spark, sf_dir).agg(F.count("*").alias("made"))
-    return tidy(taxonomy.priced(taxonomy.matrix(spark), 3, 3, "release-solid", 4).join(F.broadcast(n)))
+    """Renders and hours of the corpus, by scenario."""
+    return tidy(taxonomy.priced(staged(spark, sf_dir), "scenario", "release-solid", 4))
 
 
 @query(f"{CLIPS}, {DIMS} select c.clip_uid, f.family, f.law, f.detectable, case when f.detectable = 'event' then 2 else 7 end as detect_start, {r('f.strong', 'strong')} from clips c join families f on c.family_no = f.family_no")
@@ -144,23 +169,30 @@ def records(spark, sf_dir):
     )
     body = lambda n, role, dormant: F.struct(F.lit(n).alias("body_id"), F.lit(role).alias("role"), F.lit("sphere" if n != 2 else "cube").alias("category"), F.lit("wood").alias("material"), (F.col("magnitude") / 100).alias("mass_kg"), dormant.alias("dormant"))
     return c.select(
-        "clip_uid", "pair_uid", F.concat("pair_uid", F.lit("/valid")).alias("twin_uid"), "label", scen.alias("scenario"), "family", F.when(F.col("o_orderkey") % 50 == 0, "identity").otherwise(F.col("domain")).alias("domain"), F.when(scen == "pour", "granular").when(scen == "shadow_track", "optical").otherwise("rigid").alias("physics_medium"),
+        "clip_uid", "pair_uid", F.concat("pair_uid", F.lit("/"), (F.col("o_orderkey") - F.col("o_orderkey") % 2).cast("string")).alias("twin_uid"), "label", scen.alias("scenario"), "family", F.when(F.col("o_orderkey") % 50 == 0, "identity").otherwise(F.col("domain")).alias("domain"), F.when(scen == "pour", "granular").when(scen == "shadow_track", "optical").otherwise("rigid").alias("physics_medium"),
         (F.col("o_orderkey") % 4).cast("int").alias("seed"), F.when(F.col("o_orderkey") % 2 == 0, "v0").otherwise('{"name": "v1", "fps": 24}').alias("tier"), F.lit("L2").alias("complexity"), F.lit(16).alias("num_frames"), F.lit(12).alias("fps"), F.struct(F.when(F.col("moving"), "orbit").otherwise("static").alias("motion")).alias("camera"),
         F.array(body(1, "actor", F.col("o_orderkey") % 2 == 0), body(2, "actor", F.lit(False)), body(3, "floor", F.lit(None).cast("boolean"))).alias("instances"), F.array(F.struct(F.when(F.col("o_orderkey") % 11 != 0, "CC0").alias("license"))).alias("assets"), (F.col("o_orderkey") % 13 != 0).alias("prefix_identical"),
         (F.col("magnitude") / 10).alias("energy_total"), ((F.col("o_orderkey") % 100) / 5e3).alias("energy_anomaly"), F.when(F.col("label") == "invalid", violation).alias("violation"), F.lit("a clip").alias("prompt"), "o_orderkey",
     )
 
 
-SCEN_LIST = "[" + ", ".join(f"'{s[0]}'" for s in taxonomy.SCENARIOS) + "]"
 REC = f"""{CLIPS}, {MATRIX}, recs as (select c.*, f.family, f.domain as known_domain, {SCEN_LIST}[(o_orderkey % 15 + 1)::int] as scen, case when o_orderkey % 50 = 0 then 'identity' else f.domain end as domain, (o_orderkey % 9)::int as start from clips c join families f on c.family_no = f.family_no)"""
 
 
-@query(REC + f", {strata('clips')} select r.clip_uid, r.label, scen as scenario, case when label = 'invalid' then severity_bin end as severity_bin, {r('case when label = $$invalid$$ then magnitude / 1e6 end', 'peak_severity')}, case when label = 'invalid' then start end as t_event_frame, case when label = 'invalid' then concat('[{{\"s\":', start, ',\"e\":', start + 3, '}},{{\"s\":', start + 3 + o_orderkey % 3, ',\"e\":', start + 8, '}}]') else '[]' end as violation_windows, case when o_orderkey % 2 = 0 then 'v0' else 'v1' end as tier, case when moving then 'orbit' else 'static' end as camera_motion, case when o_orderkey % 2 = 0 then 'cube' else 'sphere' end as actor_shape, s.split from recs r join splits s on s.pair_uid = r.pair_uid".replace("{{", "{").replace("}}", "}"))
+_inv = lambda e: f"case when label = 'invalid' then {e} end"
+INDEX_SQL = REC + f""", {strata('clips')} select r.clip_uid, r.pair_uid, concat(r.pair_uid, '/', (o_orderkey - o_orderkey % 2)::varchar) as twin_uid, r.label, scen as scenario, r.family, r.domain, case when scen = 'pour' then 'granular' when scen = 'shadow_track' then 'optical' else 'rigid' end as medium,
+{_inv('severity_bin')} as severity_bin, {r(_inv('magnitude'), 'magnitude')}, {r(_inv('magnitude / 1e6'), 'peak_severity')}, {_inv('start')} as t_event_frame, case when label = 'invalid' then concat('[{{"s":', start, ',"e":', start + 3, '}},{{"s":', start + 3 + o_orderkey % 3, ',"e":', start + 8, '}}]') else '[]' end as violation_windows,
+{_inv('(o_orderkey % 4 - 1)::int')} as observability_lag, (o_orderkey % 4)::int as seed, case when o_orderkey % 2 = 0 then 'v0' else 'v1' end as tier, 'L2' as complexity, 16 as num_frames, 12 as fps, case when moving then 'orbit' else 'static' end as camera_motion, case when o_orderkey % 2 = 0 then 'cube' else 'sphere' end as actor_shape, 'wood' as actor_material,
+{r('magnitude / 100', 'actor_mass')}, 'a clip' as prompt, s.split from recs r join splits s on s.pair_uid = r.pair_uid"""
+
+
+@query(INDEX_SQL)
 def index_rows(spark, sf_dir):
-    """Nested clip records flattened to the index."""
+    """Nested clip records flattened to the 25 columns of the index."""
     rec = records(spark, sf_dir)
-    rows = release.index_rows(rec, release.splits(rec))
-    return tidy(rows.select("clip_uid", "label", "scenario", "severity_bin", "peak_severity", "t_event_frame", "violation_windows", "tier", "camera_motion", "actor_shape", "split"))
+    # the pairs are read once, and distinct before anything else: records are wide
+    pairs = views.clips(spark, sf_dir).select("pair_uid").distinct()
+    return tidy(release.index_rows(rec, release.splits(pairs)))
 
 
 #: Clips by the remainder of their key: the fault that ``faulty`` puts into each.
@@ -203,15 +235,36 @@ def validation_rules(spark, sf_dir):
     return validation.violations(faulty(spark, sf_dir))
 
 
+@query(REC + " select clip_uid, 'asset without licence' as rule, 0 as asset from recs where o_orderkey % 11 = 0")
+def validation_assets(spark, sf_dir):
+    return validation.unlicensed(records(spark, sf_dir))
+
+
+ENERGY_TRACE = "select l_orderkey as clip_uid, cast(l_quantity % 7 as int) as frame, l_linenumber as body_id, l_extendedprice as energy from {lineitem}"
+TRACE = "select clip_uid, frame, sum(energy) * (case when clip_uid % 13 = 0 and frame > 2 then 1.01e0 else 1e0 end) as total, max(energy) / 5e6 as contact_anomaly, min(energy) / 4e6 as free_anomaly, (clip_uid % 50) * frame / 2e4 as excess_loss from {each} group by clip_uid, frame"
+
+
+@query(f"""with each_body as ({ENERGY_TRACE.format(lineitem="lineitem")}), trace as ({TRACE.format(each="each_body")}), s as (select clip_uid, frame, sum(energy) as s from each_body group by 1, 2),
+g as (select t.clip_uid, max(abs(s.s - case when t.clip_uid % 17 = 0 then 'nan'::double else total end)) as drift, arg_min(abs(total), t.frame) as e0, max(contact_anomaly) as contact_anomaly, max(free_anomaly) as free_anomaly, max(excess_loss) as excess_loss from trace t join s on s.clip_uid = t.clip_uid and s.frame = t.frame group by 1)
+select clip_uid, 'energy not finite' as rule from g where clip_uid % 17 = 0 union all select clip_uid, 'energy by body differs' from g where clip_uid % 17 <> 0 and drift > 1e-3 * greatest(e0, 1e-9)
+""" + " ".join(f"union all select clip_uid, 'valid clip: {c}' from g where clip_uid % 2 = 0 and {c} > 0.01" for c in validation.CHANNELS))
+def validation_energy(spark, sf_dir):
+    """Energies of order lines as bodies, with totals off in every thirteenth clip and not finite in every seventeenth."""
+    each = spark.sql(ENERGY_TRACE, lineitem=views.table(spark, sf_dir, "lineitem"))
+    trace = spark.sql(TRACE, each=each).withColumn("total", F.when(F.col("clip_uid") % 17 == 0, float("nan")).otherwise(F.col("total")))
+    labels = each.select("clip_uid").distinct().withColumn("label", F.when(F.col("clip_uid") % 2 == 0, "valid").otherwise("invalid"))
+    return validation.energy_violations(labels, trace, each)
+
+
 @query(REC + " select clip_uid, start + 3 + (o_orderkey % 3)::int as s, start + 8 as e from recs where label = 'invalid' and o_orderkey % 3 = 0")
 def validation_window_order(spark, sf_dir):
     w = records(spark, sf_dir).where("label = 'invalid'").select("clip_uid", F.explode("violation.violation_windows").alias("w")).select("clip_uid", "w.s", "w.e")
     return validation.disordered_windows(w)
 
 
-@query(REC + " select clip_uid, concat(pair_uid, '/valid') as twin_uid from recs")
+@query(REC + " select r.clip_uid, concat(pair_uid, '/', (o_orderkey - o_orderkey % 2)::varchar) as twin_uid from recs r where not exists (select 1 from recs k where k.clip_uid = concat(r.pair_uid, '/', (r.o_orderkey - r.o_orderkey % 2)::varchar))")
 def validation_twins(spark, sf_dir):
-    """No clip of this corpus is named like a twin, so every reference dangles."""
+    """A twin is the even neighbour of the same customer: even clips name themselves, and of odd ones few have such a neighbour."""
     return validation.dangling_twins(records(spark, sf_dir))
 
 
@@ -245,12 +298,13 @@ def plan_records(spark, sf_dir):
     return w.select("l_orderkey", F.array_min(F.transform("w", lambda x: x["s"])).alias("t_event"), F.array_max(F.transform("w", lambda x: x["e"])).alias("t_end"), F.size("w").cast("long").alias("windows"))
 
 
-@query("select o_custkey, count(*)::bigint as n, json_object_agg from (select o_custkey, string_agg(concat(o_orderkey, '=', o_orderpriority), ';' order by o_orderkey) as json_object_agg from orders group by 1) join (select o_custkey as k, count(*) from orders group by 1) on k = o_custkey group by all".replace("count(*)::bigint as n, json_object_agg", "count(*)::bigint as groups, json_object_agg as labels"))
+@query("""with o as (select o_custkey, o_orderkey, o_orderpriority, case when o_orderkey % 11 <> 0 then o_orderstatus else '' end as license from orders), l as (select o_custkey, license, count(*) as n from o group by 1, 2)
+select o.o_custkey, count(*) as bodies, '0=background;' || string_agg(concat(o_orderkey + 1, '=', o_orderpriority), ';' order by o_orderkey) as labels, any_value(t.licences) as licences from o join (select o_custkey, string_agg(license || '=' || n, ';' order by license) as licences from l group by 1) t on t.o_custkey = o.o_custkey group by 1""")
 def label_tables(spark, sf_dir):
-    """Id-to-name tables of each group, in id order."""
-    o = views.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority")))).alias("m"))
-    text = F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"])), ";")
-    return o.select("o_custkey", F.lit(1).cast("long").alias("groups"), text.alias("labels"))
+    """Names of the ids of each group, background first, and its licences."""
+    o = views.table(spark, sf_dir, "orders").select("o_custkey", (F.col("o_orderkey") + 1).cast("long").alias("body_id"), F.col("o_orderpriority").alias("name"), F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderstatus")).alias("license"))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string"))), ";")
+    return release.label_table(o, "o_custkey").select("o_custkey", "bodies", text("names").alias("labels"), text("licences").alias("licences"))
 
 
 # ---- colours of vectors
