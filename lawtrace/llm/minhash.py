@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lawtrace.llm.encoding import sliced
 from lawtrace.llm.linking import linked
-from lawtrace.llm.storage import Scratch
+from lawtrace.llm.storage import Scratch, row_of, with_row
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 BINS = 512  # of the sketch that candidate pairs are held to
@@ -225,6 +225,6 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col
     """
     classed = _classed(docs, similarity, words, 36, 7, id_col, text_col)
     keep = Scratch(docs.sparkSession).written(classed.where("doc_id <=> class_id and text_key = class_key").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct(), "kept")
-    keyed = docs.withColumn("kept_own", F.xxhash64(F.col(text_col)))
-    left = keyed.join(keep.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")) & (F.col("kept_own") == F.col("kept_key")), "left_semi")
-    return left.dropDuplicates([id_col, "kept_own"]).drop("kept_own")
+    keyed = with_row(docs, F.col(id_col).alias("own_id"), F.xxhash64(F.col(text_col)).alias("own_key"))
+    left = keyed.join(keep.hint("merge"), F.col("own_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("own_key") == F.col("kept_key")), "left_semi")
+    return left.dropDuplicates(["own_id", "own_key"]).select(*row_of(docs))

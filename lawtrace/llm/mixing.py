@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawtrace.llm.storage import written
+from lawtrace.llm.storage import row_of, with_row, written
 
 #: Weight knots (time, weight) given to sources in turn: early-heavy, level, late-heavy.
 SHAPES = (((0.0, 3.0), (0.5, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.25), (0.75, 1.0), (1.0, 4.0)))
@@ -105,8 +105,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     uses = mix(docs, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias("use_id"), F.col("text_key").alias("use_key"), "size", F.explode("uses").alias("use"))
     grouped = uses.groupBy("use_id", "use_key").agg(F.first("size").alias("size"), F.collect_list("use").alias("uses"))
     grouped, _ = written(grouped.withColumn("use_id", F.coalesce("use_id", F.lit(-(1 << 63)))), "uses")
-    keyed = docs.withColumn("use_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("use_key", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    keyed = with_row(docs, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("use_id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("use_key"), F.col(text_col).alias("whole"))
     joined = keyed.dropDuplicates(["use_id", "use_key"]).join(grouped.hint("merge"), ["use_id", "use_key"]).withColumn("use", F.explode("uses"))
-    cut = F.when(F.col("use.words") >= F.col("size"), F.col(text_col)).otherwise(F.array_join(F.slice(F.split(text_col, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("use.words").cast("int")), ""))
+    cut = F.when(F.col("use.words") >= F.col("size"), F.col("whole")).otherwise(F.array_join(F.slice(F.split("whole", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("use.words").cast("int")), ""))
     ordered = joined.withColumn("cut_text", cut).repartitionByRange("use.position", "use_id").sortWithinPartitions("use.position", "use_id", "use.pass")
-    return ordered.select(*[F.col("cut_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return ordered.select(*row_of(docs, **{text_col: F.col("cut_text")}))

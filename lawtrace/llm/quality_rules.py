@@ -105,7 +105,9 @@ def references(docs: DataFrame, words: int = 60, longest: int = 6, least_words:
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
     summed = rows.mapInArrow(partial, "lang string, word binary, class int, n long").groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
-    top = summed.selectExpr("*", "row_number() over (partition by lang, word is null order by n desc, word) as place").where(f"word is null or place <= {words}")
+    # words have a branch of their own: a plain limit on their place lets each task keep its ``words`` best before the shuffle
+    ranked = summed.where("word is not null").selectExpr("*", "row_number() over (partition by lang order by n desc, word) as place").where(f"place <= {words}")
+    top = ranked.unionByName(summed.where("word is null").selectExpr("*", "0 as place"))
     found: dict[str, tuple] = {}
     for r in top.orderBy("lang", "place").collect():  # words + 8 rows for each language
         classes, total, names, shares = found.setdefault(r["lang"], (np.zeros(7), [0], [], []))
@@ -127,7 +129,7 @@ def judged(docs: DataFrame, char_bound: tuple[float, float] = (0.15, 0.82), word
     """Columns ``keep`` of every row with ``VERDICT``; if ``passing``, only kept rows and only those columns.
 
     A bound (a, b) is ``a + b / sqrt(n_words)``. Two maps over the rows and one small aggregation between them. Null
-    and empty texts have no words and fail the base rules; a null language is a language of its own; a language with no
+    and empty texts have no words and fail the base rules; a null language counts as the empty one; a language with no
     document of ``least_words`` words has no reference, and its documents are held to the base rules alone. Rows are
     judged each by itself, so repeated rows get equal verdicts.
     """

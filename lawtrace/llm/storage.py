@@ -10,7 +10,18 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def with_row(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` beside all of ``docs`` as one struct ``row``, so that no name of a caller's column can meet one of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
+def row_of(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row`` again, with those in ``changed`` replaced."""
+    return [changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in docs.columns]
 
 
 def shared_dir(spark: SparkSession) -> str:
