@@ -80,12 +80,18 @@ def halt(traj: DataFrame, who: Column, t0: Column) -> DataFrame:
 
 
 @edit
-def wiggle(traj: DataFrame, who: Column, t0: Column, t1: Column, radii: float, cycles: float = 1.75, top: float = 0.0) -> DataFrame:
-    """A sideways sine under a squared-sine envelope over [t0, t1], kept above the surface."""
+def wiggle(traj: DataFrame, who: Column, t0: Column, t1: Column, radii: float, cycles: float = 1.75, top: float = 0.0, fps: float | None = None) -> DataFrame:
+    """A sideways sine under a squared-sine envelope over [t0, t1], kept above the surface. With ``fps`` the velocities of the edited bodies are
+    differenced anew from their positions, all clip long."""
     u = (F.col("frame") - t0) / F.greatest(t1 - t0, F.lit(1))
     wave = F.sin(2 * F.pi() * cycles * u) * F.pow(F.sin(F.pi() * u), F.lit(2.0)) * radii * F.col("radius")
     inside = late(who, t0) & (F.col("frame") <= t1)
-    return changed(traj, inside, py=F.col("py") + wave, pz=F.greatest(F.col("pz"), top + F.col("radius")))
+    out = changed(traj, inside, py=F.col("py") + wave, pz=F.greatest(F.col("pz"), top + F.col("radius")))
+    if fps is None:
+        return out
+    own = [f"v{a}" for a in XYZ]
+    again = resynced(out.withColumns({f"_{c}": F.col(c) for c in own}), fps)
+    return again.withColumns({c: F.when(who, F.col(c)).otherwise(F.col(f"_{c}")) for c in own}).select(*out.columns)
 
 
 @edit
@@ -185,6 +191,14 @@ def dip(traj: DataFrame, who: Column, t0: Column, t1: Column, depth: float, top:
     return changed(traj, inside, px=at_frame("px", t0 - 1) + at_frame("vx", t0 - 1) * seconds, py=at_frame("py", t0 - 1) + at_frame("vy", t0 - 1) * seconds, pz=z0 + (low - z0) * smoothstep(u)).where(~(who & (F.col("frame") > t1)))
 
 
+def without_pair(contacts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``contacts`` less those of a suppressed pair (clip_uid, one, other, s, e) inside its window, whichever body is named first."""
+    both = pairs.select("clip_uid", F.explode(F.array(F.struct(F.col("one").alias("body_a"), F.col("other").alias("body_b")), F.struct(F.col("other").alias("body_a"), F.col("one").alias("body_b")))).alias("p"), "s", "e").select("clip_uid", "p.*", "s", "e")
+    c, p = contacts.alias("c"), both.alias("p")
+    same = (F.col("c.clip_uid") == F.col("p.clip_uid")) & (F.col("c.body_a") == F.col("p.body_a")) & (F.col("c.body_b") == F.col("p.body_b"))
+    return c.join(p, same & (F.col("c.frame") >= F.col("p.s")) & (F.col("c.frame") <= F.col("p.e")), "left_anti")
+
+
 @edit
 def merge(traj: DataFrame, t0: Column, frames: Column, absorbed: Column, keeper_of: Column) -> DataFrame:
     """Absorbed bodies ease onto their keeper over ``frames`` and are then absent; keepers swell to twice the volume."""

@@ -87,3 +87,10 @@ def spliced(valid: DataFrame, tail: DataFrame, t0: str = "t0", columns: tuple[st
     new = tail.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in columns])
     late = F.col("frame") >= F.col(t0)
     return valid.join(new, KEY, "left").withColumns({c: F.when(late & F.col(f"n_{c}").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(c)) for c in columns}).drop(*[f"n_{c}" for c in columns])
+
+
+def spliced_contacts(valid: DataFrame, tail: DataFrame, events: DataFrame, t0: str = "t0") -> DataFrame:
+    """The lawful contacts before each clip's t0 and the replacement's from it on. events: (clip_uid, t0); a clip without one keeps its lawful contacts."""
+    early = valid.join(events, "clip_uid", "left").where(F.col(t0).isNull() | (F.col("frame") < F.col(t0))).select(*valid.columns)
+    late = tail.join(events, "clip_uid").where(F.col("frame") >= F.col(t0)).select(*valid.columns)
+    return early.unionByName(late)

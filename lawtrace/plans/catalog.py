@@ -31,3 +31,9 @@ def tidy(df, digits: int = 6):
 def r(expression: str, alias: str, digits: int = 6) -> str:
     """The same in SQL text."""
     return f"round({expression}, {digits}) + 0e0 as {alias}"
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, in DuckDB's SQL."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split({text}, ''), lambda ch: ascii(ch)::bigint)), lambda c, b: {step}), 4294967295::bigint)"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lawtrace.functions import vectors as V
 from lawtrace.operators import edits, geometry
 from lawtrace.plans import views
-from lawtrace.plans.catalog import query, r, tidy
+from lawtrace.plans.catalog import crc32_sql, query, r, tidy
 from lawtrace.plans.motion import sized
 
 TC = views.sql_with("traj", "contacts")
@@ -186,9 +186,9 @@ def pulse_shape(spark, sf_dir):
     return tidy(t.select("clip_uid", "body_id", "frame", geometry.pulse(F.col("n"), F.col("frame"), 2.5, 1.0, 0.5).alias("v")))
 
 
-@query()
+@query(f"{TC}, b as (select distinct clip_uid, body_id from traj) select clip_uid, body_id, {r(crc32_sql("clip_uid::varchar || '|' || body_id::varchar || '|teleport|weak'") + ' / 4294967296e0', 'u')} from b")
 def keyed_draws(spark, sf_dir):
-    """Draws by key alone: rows-only, since DuckDB has no CRC-32; tested to be the same at any partitioning."""
+    """Draws by key alone: the same at any partitioning."""
     t = views.traj(spark, sf_dir).select("clip_uid", "body_id").distinct()
     return tidy(t.withColumn("u", edits.draw(F.col("clip_uid"), F.col("body_id"), salt="teleport|weak")))
 
