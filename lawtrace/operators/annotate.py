@@ -43,6 +43,12 @@ def compared(cells: DataFrame, plans: DataFrame) -> DataFrame:
     return cells.join(plans.select("clip_uid", "culprits", "primary"), "clip_uid").withColumns({"in_v": own("v"), "in_i": own("i"), "off": off})
 
 
+def _by_frame(rows: DataFrame, name: str) -> DataFrame:
+    """Rows (clip_uid, frame, ..) as one map for each clip, from frame to the rest: what joins by clip alone needs no other exchange than by clip."""
+    rest = [c for c in rows.columns if c not in FRAME]
+    return rows.groupBy("clip_uid").agg(F.map_from_entries(F.collect_list(F.struct("frame", F.struct(*rest)))).alias(name))
+
+
 def timeline(pairs: DataFrame, plans: DataFrame, motion: DataFrame) -> DataFrame:
     """Every frame of every plan with its named gates; pairs are those of ``compared``.
 
@@ -57,8 +63,10 @@ def timeline(pairs: DataFrame, plans: DataFrame, motion: DataFrame) -> DataFrame
     changed = (F.col("body_v").isNotNull() & F.col("body_i").isNotNull() & (F.col("in_v") | F.col("in_i")) & (F.col("off") >= LEVEL)).cast("int")
     shows = lambda s: F.max(F.coalesce(F.col(f"body_{s}") == F.col("primary"), F.lit(False)))
     found = pairs.groupBy(*FRAME).agg((F.max(F.col("in_v") != F.col("in_i")) | (F.sum(changed) >= LEAST)).alias("observable"), F.max("in_i").alias("seen_invalid"), shows("v").alias("shown_v"), shows("i").alias("shown_i"))
-    frames = plans.select("clip_uid", "violation_windows", interventions().alias("iw"), consequences().alias("cw"), scored_windows().alias("sw"), F.explode(F.sequence(F.lit(0), F.col("frames") - 1)).alias("frame"))
-    t = frames.join(found, FRAME, "left").join(motion, FRAME, "left")
+    frames = plans.select("clip_uid", "frames", "violation_windows", interventions().alias("iw"), consequences().alias("cw"), scored_windows().alias("sw"))
+    t = frames.join(_by_frame(found, "f"), "clip_uid", "left").join(_by_frame(motion, "m"), "clip_uid", "left").withColumn("frame", F.explode(F.sequence(F.lit(0), F.col("frames") - 1)))
+    t = t.withColumns({"f": F.try_element_at("f", F.col("frame")), "m": F.try_element_at("m", F.col("frame"))})
+    t = t.select(*FRAME, "violation_windows", "iw", "cw", "sw", *[F.col(f"f.{c}") for c in found.columns[2:]], *[F.col(f"m.{c}") for c in ("score", "diverged", "absent")])
     flag = lambda c: F.coalesce(c, F.lit(False))
     t = t.select(
         *FRAME, *[within(F.col(w), F.col("frame")).alias(n) for n, w in (("active", "violation_windows"), ("intervening", "iw"), ("consequence", "cw"), ("scored", "sw"))],
@@ -85,9 +93,10 @@ def temporal_block(times: DataFrame, plans: DataFrame) -> DataFrame:
 def painted(pairs: DataFrame, times: DataFrame) -> DataFrame:
     """Cells with ``violation``, ``invalid`` and ``reference`` (masks), ``severity`` and ``divergence`` (zero: nothing), and the gates of
     their frame. Severity lies on the invalid side's culprits; only where they are gone and leave no pixel, on the lawful footprint."""
-    gates = times.select(*FRAME, "seen", "visible_inv", "gone", "causal", "s_visible", "s_inv")
+    names = ("seen", "visible_inv", "gone", "causal", "s_visible", "s_inv")
+    gates = times.groupBy("clip_uid").agg(F.array_sort(F.collect_list(F.struct("frame", *names))).alias("gates"))  # one for each frame, from 0
     severity = F.when(F.col("in_i") & F.col("visible_inv"), F.col("s_inv")).when(F.col("in_v") & F.col("gone"), F.col("s_visible")).otherwise(0.0)
-    out = pairs.join(gates, FRAME)
+    out = pairs.join(gates, "clip_uid").withColumn("gate", F.get("gates", F.col("frame"))).where("gate is not null").drop("gates").withColumns({n: F.col(f"gate.{n}") for n in names}).drop("gate")
     return out.withColumns({"violation": F.col("seen") & (F.col("in_v") | F.col("in_i")), "invalid": F.col("visible_inv") & F.col("in_i"), "reference": F.col("in_v"), "severity": severity, "divergence": F.col("off") / 255.0})
 
 
