@@ -80,6 +80,8 @@ def segments(raw: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``data`` (bytes, fewer than 2 ** 21) in order; the end of the data is below every byte."""
     n, bits = len(data), np.uint64(INDEX)
+    if n >> INDEX:
+        raise ValueError(f"{n} bytes do not fit the sort key of a suffix array")
     digits = np.zeros(n + 5, np.uint64)
     digits[:n] = data.astype(np.uint64) + np.uint64(1)
     head = digits[:n]
@@ -204,17 +206,32 @@ class Shard:
 HITS = "key long, h1 long, h2 long, at array<int>, n array<int>"
 
 
+def _by_key(key: np.ndarray, sizes: np.ndarray, most: int) -> list[np.ndarray]:
+    """Rows in groups of whole keys of at most ``most`` bytes, one key at least: equal strings have one key, so groups share none."""
+    order = np.argsort(key, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
+    out, held = [[]], 0
+    for rows in np.split(order, begins[1:]):
+        need = int(sizes[rows].sum())
+        if held and held + need > most:
+            out.append([])
+            held = 0
+        out[-1].append(rows)
+        held += need
+    return [np.concatenate(rows) for rows in out]
+
+
 def _shard_hits(table: pa.Table, length: int) -> pa.Table:
     """Repeated strings of one shard, or those that the two shards of a pair share."""
     key, h1, h2, weight, side = (table.column(c).to_numpy() for c in ("key", "h1", "h2", "weight", "side"))
     texts = table.column("seg").to_pylist()
     of = [np.flatnonzero(side == s) for s in (0, 1)]
-    shards = [Shard([texts[i] for i in w], weight[w], length) for w in of if len(w)]
-    if len(shards) == 2:
+    if len(of[1]):
+        shards = [Shard([texts[i] for i in w], weight[w], length) for w in of]
         found = [list(s.repeated(also)) for s, also in zip(shards, shards[0].shared(shards[1]))]
     else:
-        found = [list(shards[0].repeated())]
-        of = [w for w in of if len(w)]
+        of = _by_key(key, np.array([len(t) for t in texts]), 1 << (INDEX - 1))
+        found = [list(Shard([texts[i] for i in w], weight[w], length).repeated()) for w in of]
     rows = [(int(key[w[s]]), int(h1[w[s]]), int(h2[w[s]]), at, n) for w, part in zip(of, found) for s, at, n in part]
     types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)], [c.split(" ")[0] for c in HITS.split(", ")])
@@ -232,7 +249,7 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     ``shard`` bytes share a task; those of one key that need more are dealt over several shards, which meet in pairs.
     """
     spark = docs.sparkSession
-    own, lasting = Scratch(spark), Scratch(spark)
+    early, middle, own, lasting = (Scratch(spark) for _ in range(4))  # what is dropped first, next, last and never
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("text_key"), text.alias("text"))
     path, name = new_path(spark, "texts"), f"lawtrace_{uuid.uuid4().hex}"
@@ -257,9 +274,9 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
                     start = first - (bounds[own_text] - bounds[0])
                     yield pa.RecordBatch.from_arrays([pa.array(hashes), keys.take(pa.array(own_text)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "text_key", "start", "n"])
 
-    places = own.written(texts.select("text_key", "text").mapInArrow(found, "key long, text_key binary, start int, n int"), "places")
+    places = early.written(texts.select("text_key", "text").mapInArrow(found, "key long, text_key binary, start int, n int"), "places")
     # stored, so that both sides of the join are plain and adaptive execution can split a hot key
-    twice = own.written(places.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "twice")
+    twice = early.written(places.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "twice")
     wanted = places.join(twice.hint("merge"), "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "start", "n")).alias("places"))
 
     def cut(batches):
@@ -282,7 +299,8 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
 
     near = texts.select("text_key", "text", "copies").join(wanted.hint("merge"), "text_key").select("text_key", "text", "copies", "places")
     members = own.written(near.mapInArrow(cut, "key long, h1 long, h2 long, text_key binary, start int, weight int, seg binary"), "members")
-    one = own.written(members.groupBy("key", "h1", "h2").agg(F.first("seg", ignorenulls=True).alias("seg"), F.sum("weight").alias("weight")), "segments")
+    early.drop()
+    one = middle.written(members.groupBy("key", "h1", "h2").agg(F.first("seg", ignorenulls=True).alias("seg"), F.sum("weight").alias("weight")), "segments")
     total = one.agg(F.coalesce(F.sum(F.length("seg")), F.lit(0)).alias("n")).first()["n"]
     large = one.groupBy("key").agg(F.sum(F.length("seg")).alias("bytes")).where(f"bytes > {shard}").selectExpr("key", f"cast(ceil(bytes / {shard}D) as int) as parts")
     placed = one.join(large, "key", "left").selectExpr("*", "coalesce(pmod(h1, parts), 0L) as own")
@@ -291,6 +309,7 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     group = ["shard", "low", "high"]
     dealt = shards.selectExpr("key", "h1", "h2", "seg", "weight", f"if(parts is null, pmod(xxhash64(key), {-(-total // shard) or 1}L), key) as shard", "if(parts is null, -1L, least(own, other)) as low", "greatest(own, other) as high", "cast(own > other as int) as side")
     hits = own.written(dealt.groupBy(*group).applyInArrow(lambda t: _shard_hits(t, length), HITS), "hits")
+    middle.drop()
     spans = members.select("key", "h1", "h2", "text_key", "start").join(hits.hint("merge"), ["key", "h1", "h2"]).groupBy("text_key").agg(F.collect_list(F.struct("start", "at", "n")).alias("runs"))
 
     def judged(batches):

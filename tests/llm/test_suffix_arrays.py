@@ -82,6 +82,15 @@ def test_pairs_of_shards_agree_with_one():
         assert got == whole
 
 
+def test_shards_are_cut_between_keys_and_bounded():
+    key, sizes = np.array([5, 3, 5, 9, 3, 7]), np.array([40, 30, 40, 10, 30, 200])
+    groups = suffix_arrays._by_key(key, sizes, 100)
+    assert sorted(i for g in groups for i in g) == list(range(6))
+    assert [sorted(set(key[g].tolist())) for g in groups] == [[3], [5], [7], [9]] and len(suffix_arrays._by_key(key, sizes, 140)) == 3
+    with pytest.raises(ValueError):
+        suffix_arrays.suffix_array(np.zeros(1 << suffix_arrays.INDEX, np.uint8))
+
+
 def test_whole_table(spark, small):
     rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     got = sorted((tuple(r) for r in queries.op13_suffix_array_dedup(spark, small).collect()), key=str)
