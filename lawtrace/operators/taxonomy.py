@@ -115,11 +115,20 @@ RATES = {"debug-solid": 8.0, "debug-hdri": 44.0, "release-solid": 637.0, "releas
 SPEEDUP = {1: 1.0, 2: 1.6, 4: 2.50, 8: 2.67}
 
 
-def priced(clips: DataFrame, by: str, tier: str, workers: int) -> DataFrame:
-    """Renders of a corpus (label and the column ``by``) and the hours they take: one for each invalid clip, and one for each lawful one."""
+def _hours(renders: DataFrame, tier: str, workers: int) -> DataFrame:
     rate, speed = RATES.get(tier, 60.0), SPEEDUP.get(workers, max(SPEEDUP.values()))
-    n = clips.groupBy(by).agg(F.count_if(F.col("label") == "invalid").alias("invalid"), F.count_if(F.col("label") == "valid").alias("valid"))
-    return n.withColumn("hours", (F.col("invalid") + F.col("valid")) * rate / 3600.0 / speed)
+    return renders.withColumn("hours", (F.col("invalid") + F.col("valid")) * rate / 3600.0 / speed)
+
+
+def priced(cells: DataFrame, bins: int, variants: int, tier: str, workers: int) -> DataFrame:
+    """Invalid and valid renders of a plan and the hours they take."""
+    built = cells.where("cell = 'build'").agg(F.count("*").alias("cells"), F.countDistinct("scenario").alias("scenarios"))
+    return _hours(built.select((F.col("cells") * bins * variants).alias("invalid"), (F.col("scenarios") * variants).alias("valid")), tier, workers)
+
+
+def spent(clips: DataFrame, by: str, tier: str, workers: int) -> DataFrame:
+    """The same of a corpus (label and the column ``by``), from the clips that it has."""
+    return _hours(clips.groupBy(by).agg(F.count_if(F.col("label") == "invalid").alias("invalid"), F.count_if(F.col("label") == "valid").alias("valid")), tier, workers)
 
 
 def unknown_scenarios(clips: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def taxonomy_jobs(spark, sf_dir):
 @query(STAGED + f", n as (select scenario, count(*) filter (where label = 'invalid') as invalid, count(*) filter (where label = 'valid') as valid from staged group by 1) select scenario, invalid, valid, {r('(invalid + valid) * 637e0 / 3600e0 / 2.5e0', 'hours')} from n")
 def release_pricing(spark, sf_dir):
     """Renders and hours of the corpus, by scenario."""
-    return tidy(taxonomy.priced(staged(spark, sf_dir), "scenario", "release-solid", 4))
+    return tidy(taxonomy.spent(staged(spark, sf_dir), "scenario", "release-solid", 4))
 
 
 @query(f"{CLIPS}, {DIMS} select c.clip_uid, f.family, f.law, f.detectable, case when f.detectable = 'event' then 2 else 7 end as detect_start, {r('f.strong', 'strong')} from clips c join families f on c.family_no = f.family_no")

@@ -95,8 +95,14 @@ def shards(records: DataFrame, splits: DataFrame, root: str, members: tuple[str,
 
 
 def write_taxonomy(index: DataFrame, out: str) -> None:
-    """Per scenario the clips in the release and the families present, as JSON."""
-    index.groupBy("scenario").agg(F.count("*").alias("clips_in_release"), F.array_sort(F.collect_set("family")).alias("families")).write.json(out)
+    """What is in the release, as JSON: ``scenarios`` with their medium, occluder and capabilities, their clips and the families present, and
+    ``families`` with their domain, law, kind, what they are scored on and need, their clips and scenarios. Only what the release holds."""
+    from lawtrace.operators import taxonomy
+
+    spark = index.sparkSession
+    for name, own, other, known in (("scenario", "scenarios", "family", taxonomy.scenarios(spark).drop("scenario_no")), ("family", "families", "scenario", taxonomy.families(spark).drop("family_no"))):
+        held = index.groupBy(name).agg(F.count("*").alias("clips_in_release"), F.array_sort(F.collect_set(other)).alias("families" if own == "scenarios" else "scenarios"))
+        held.join(F.broadcast(known), name, "left").write.json(f"{out}/{own}")  # a few fixed rows
 
 
 def export(spark: SparkSession, root: str, out: str, members: tuple[str, ...] = ("rgb.mp4", "meta.json"), most_bytes: int = 1 << 30) -> DataFrame:
