@@ -41,7 +41,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read back before the next stage."""
+    """All stages over ``documents``; each result is written and read back before the next stage.
+
+    A row for each piece of each use of a document that is left, as ``packing.pack`` gives it. Null, empty and otherwise failing texts go in the first
+    stage; repeated rows lose their repeated lines and, as one document, all but one of them; null languages count as the empty one, null
+    sources are one source, and null ids are kept. Columns of any other name pass through all stages but the last. An empty table, or one whose rows
+    are all rejected, gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

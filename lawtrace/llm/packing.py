@@ -25,7 +25,7 @@ PIECES = "partition int, doc_id long, piece int, start long, length long, ids_cr
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, spaced: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of at most ``capacity`` ids: whole documents, and only longer ones cut into full pieces and a rest.
 
-    Null and empty texts are the end id alone. ``nth`` numbers the pieces of one length inside a task, so that ranks
+    Null and empty texts are the end id alone; repeated rows and rows of one id each have their own pieces. ``nth`` numbers the pieces of one length inside a task, so that ranks
     over all tasks need only one count for each task and length.
     """
 
@@ -193,7 +193,8 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 
     ``pieces`` is written once to the shared folder. Two aggregations by length (map-side combined, so a hot length
     costs one row for each task) give the histogram and each task's first rank; the plan built from the histogram has
-    a size bounded by ``capacity`` and is broadcast. No shuffle moves pieces by length. An empty table packs to none.
+    a size bounded by ``capacity`` and is broadcast. No shuffle moves pieces by length. An empty table packs to none; equal
+    pieces, of repeated rows too, are placed one by one.
     """
     spark = pieces.sparkSession
     stored, _ = written(pieces, "pieces")

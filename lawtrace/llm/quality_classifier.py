@@ -131,7 +131,8 @@ def score(docs: DataFrame, model: LatentVoter, threshold: float = 0.3, text_col:
     """Columns ``keep`` of every row with ``score`` (0..1) and ``predicted`` (1 if score >= threshold).
 
     A map over rows with the broadcast model; cosines are computed for 256 documents at a time against all labelled
-    vectors. Null counts as the empty text, which votes like any other; without any label every score is 0.5.
+    vectors. Null counts as the empty text, which votes like any other; repeated rows and
+    null ids are scored like others, each by its own text; without any label every score is 0.5.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

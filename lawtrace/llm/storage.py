@@ -27,8 +27,8 @@ def row_of(docs: DataFrame, **changed: Column) -> list[Column]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    Where the session names none, a cluster's warehouse holds the tables; only a session whose executors run inside the
-    driver, as in tests, gets a folder of the machine.
+    Only a session whose executors run inside the driver, as in tests, may name none and gets a folder of the machine; a cluster must
+    name one, as its executors do not share any folder that could be guessed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
             folder = tempfile.mkdtemp(prefix="lawtrace-")
             spark.sparkContext.setCheckpointDir(folder)
         else:
-            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lawtrace-scratch"
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder.rstrip("/")
 
 
