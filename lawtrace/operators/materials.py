@@ -33,12 +33,16 @@ def mass(material: Column, kind: Column, s: tuple[Column, ...]) -> Column:
     return density(material) * volume(kind, s) / MASS_SCALE
 
 
-def flattened(bodies: DataFrame, hue: Column, kind: Column, s: tuple[Column, ...]) -> DataFrame:
-    """Bodies with their hue at one saturation and value, the mass of the reference material, and no material."""
+def flattened(bodies: DataFrame, hue: Column, kind: Column, s: tuple[Column, ...], flat: Column | None = None) -> DataFrame:
+    """Bodies with their hue at one saturation and value, the mass of the reference material, and no material.
+
+    ``flat`` says of which rows, those of scenes whose level shows no materials; a body without a material is as it was in any case."""
     from lawtrace.functions.vectors import from_hue
 
-    rgb = from_hue(hue, 0.62, 0.88)
-    return bodies.withColumns({**{f"c{c}": x for c, x in zip("rgb", rgb)}, "mass": mass(F.lit("wood"), kind, s), "material": F.lit(None).cast("string")})
+    changes = F.col("material").isNotNull() if flat is None else flat & F.col("material").isNotNull()
+    new = {**{f"c{c}": x for c, x in zip("rgb", from_hue(hue, 0.62, 0.88))}, "mass": mass(F.lit("wood"), kind, s)}
+    kept = {c: F.when(changes, x).otherwise(F.col(c)) if c in bodies.columns else F.when(changes, x) for c, x in new.items()}
+    return bodies.withColumns({**kept, "material": F.when(~changes, F.col("material"))})
 
 
 def _lab(rgb: np.ndarray) -> np.ndarray:

@@ -13,6 +13,17 @@ def pair_uid(release: Column, scenario: Column, seed: Column) -> Column:
     return F.format_string("%s/%s/%04d", release, scenario, seed)
 
 
+def clip_uid(pair: Column, label: Column, family: Column, severity: Column) -> Column:
+    """A clip of a pair: its lawful one, or the one of a family at a severity."""
+    return F.when(label == "valid", F.concat(pair, F.lit("/valid"))).otherwise(F.concat(pair, F.lit("/invalid_"), family, F.lit("_"), severity))
+
+
+def twin_uid(pair: Column, label: Column, family: Column, severity: Column) -> Column:
+    """The clip that it is compared with: the lawful one, or for that the one of the family at the severity."""
+    other = F.when(label == "valid", "invalid").otherwise("valid")
+    return clip_uid(pair, other, family, severity)
+
+
 def stratum(uid: Column) -> Column:
     """The second part of a uid of more than two parts, else empty."""
     parts = F.split(uid, "/", -1)
@@ -106,11 +117,30 @@ def pair_integrity(clips: DataFrame) -> DataFrame:
     return n.where("valid <> 1 or invalid < 1")
 
 
-def counters(index: DataFrame) -> DataFrame:
-    """Clips, pairs and scenarios of every split, empty splits included."""
+def counters(index: DataFrame, shards: DataFrame | None = None) -> DataFrame:
+    """Clips, pairs and scenarios of every split, empty splits included; with ``shards`` (split, shard) their number too."""
     n = index.groupBy("split").agg(F.count("*").alias("clips"), F.countDistinct("pair_uid").alias("pairs"), F.countDistinct("scenario").alias("scenarios"))
     names = index.sparkSession.createDataFrame([(s,) for s, _ in SPLITS], "split string")
-    return names.join(n, "split", "left").na.fill(0)
+    out = names.join(n, "split", "left")
+    if shards is not None:
+        out = out.join(shards.groupBy("split").agg(F.countDistinct("shard").alias("shards")), "split", "left")
+    return out.na.fill(0)
+
+
+def with_notes(counted: DataFrame, index: DataFrame) -> DataFrame:
+    """``counters`` with ``note`` on empty splits: how many pairs a scenario has, as shares are taken within scenarios and two pairs fill no three splits."""
+    per = index.agg((F.countDistinct("pair_uid") / F.greatest(F.countDistinct("scenario"), F.lit(1))).alias("per"))  # one row
+    t = counted.withColumn("one", F.lit(1)).join(F.broadcast(per.withColumn("one", F.lit(1))), "one").drop("one")
+    text = F.format_string("empty: %.1f pairs a scenario do not fill three splits", F.col("per"))
+    return t.withColumn("note", F.when(F.col("clips") == 0, text)).drop("per")
+
+
+def card_by_axis(index: DataFrame, axes: tuple[str, ...] = ("scenario", "family", "tier")) -> DataFrame:
+    """``(axis, value, clips, valid, invalid, moving_share)``: the counts of ``card`` for all clips (axis "all") and by each axis, from one pass; nulls are no value."""
+    values = F.array(F.struct(F.lit("all").alias("axis"), F.lit("all").alias("value")), *[F.struct(F.lit(a).alias("axis"), F.col(a).cast("string").alias("value")) for a in axes])
+    each = index.select("label", "camera_motion", F.explode(values).alias("v")).select("label", "camera_motion", "v.*").where("value is not null")
+    moving = F.avg((F.coalesce("camera_motion", F.lit("static")) != "static").cast("double"))
+    return each.groupBy("axis", "value").agg(F.count("*").alias("clips"), F.count_if(F.col("label") == "valid").alias("valid"), F.count_if(F.col("label") == "invalid").alias("invalid"), moving.alias("moving_share"))
 
 
 def card(index: DataFrame, by: str) -> DataFrame:

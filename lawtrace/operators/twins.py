@@ -63,6 +63,12 @@ def undeclared(pairs: DataFrame, culprits: DataFrame, least: float = 1e-6) -> Da
     return pairs.groupBy("clip_uid", "body_id").agg(F.max(off).alias("changed")).where("changed").drop("changed").join(culprits, ["clip_uid", "body_id"], "left_anti")
 
 
+def unchanged(pairs: DataFrame, least: float = 1e-6) -> DataFrame:
+    """``(clip_uid)`` of pairs in which no body differs from its twin in any channel or in presence: an edit that did nothing."""
+    off = (F.greatest(*map(_off, CHANNELS)) > least) | (F.col("present") != F.col("i_present"))
+    return pairs.groupBy("clip_uid").agg(F.max(off).alias("changed")).where("not changed").select("clip_uid")
+
+
 def contamination(valid: DataFrame, invalid: DataFrame, families: DataFrame, owners: DataFrame, leak: float = 1.0, moves: float = 0.1) -> DataFrame:
     """Every law against every family: which families move a law that is not theirs, and which owners do not move theirs.
 

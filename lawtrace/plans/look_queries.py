@@ -26,10 +26,16 @@ def material_mass(spark, sf_dir):
     return tidy(b.select("p_partkey", materials.mass(F.col("material"), F.col("kind"), V.vec("s")).alias("mass"), (materials.density(F.col("material")) / materials.DENSITY["wood"]).alias("ratio")))
 
 
-@query(f"with s as (select p_partkey, p_size / 50e0 as a, p_size / 40e0 as b, p_size / 30e0 as c, (p_partkey % 100) / 100e0 as h from part) select p_partkey, {r(f'650e0 * ({_v}) / 250', 'mass')}, null as material, {r('0.88e0 - 0.88e0 * 0.62e0 * greatest(0, least((5 + h * 6) - 6 * floor((5 + h * 6) / 6), 4 - ((5 + h * 6) - 6 * floor((5 + h * 6) / 6)), 1))', 'cr')} from s")
+_red = "0.88e0 - 0.88e0 * 0.62e0 * greatest(0, least((5 + h * 6) - 6 * floor((5 + h * 6) / 6), 4 - ((5 + h * 6) - 6 * floor((5 + h * 6) / 6)), 1))"
+
+
+@query(f"""with s as (select p_partkey, p_size / 50e0 as a, p_size / 40e0 as b, p_size / 30e0 as c, (p_partkey % 100) / 100e0 as h, p_partkey % 4 <> 0 and p_partkey % 6 <> 5 as flat, p_partkey % 6 <> 5 as has from part)
+select p_partkey, {r(f'case when flat then 650e0 * ({_v}) / 250 else 7e0 end', 'mass')}, case when has and not flat then {list(NAMES)!r}[(p_partkey % 7 + 1)::int] end as material, {r(f'case when flat then {_red} else 0.1e0 end', 'cr')} from s""")
 def material_flattened(spark, sf_dir):
-    b = materials.flattened(_bodies(spark, sf_dir), F.col("hue"), F.col("kind"), V.vec("s"))
-    return tidy(b.select("p_partkey", "mass", "material", "cr"))
+    """Bodies of levels without materials; a quarter of the scenes shows them, and a sixth of the bodies has none."""
+    b = _bodies(spark, sf_dir).withColumns({"material": F.when(F.col("p_partkey") % 6 != 5, F.col("material")), "cr": F.lit(0.1), "mass": F.lit(7.0)})
+    t = materials.flattened(b, F.col("hue"), F.col("kind"), V.vec("s"), F.col("p_partkey") % 4 != 0)
+    return tidy(t.select("p_partkey", "mass", "material", "cr"))
 
 
 @query()

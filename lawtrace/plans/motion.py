@@ -231,6 +231,13 @@ def twin_undeclared_change(spark, sf_dir):
     return twins.undeclared(p, culprits(p))
 
 
+@query(TWIN_SQL + " select clip_uid from pairs group by 1 having clip_uid % 3 = 1 or not bool_or(body_id % 15 = 3 and frame >= t_event)")
+def twin_unchanged(spark, sf_dir):
+    """Pairs that an edit of two clips of three leaves as they were."""
+    valid = sized(spark, sf_dir)
+    return twins.unchanged(twins.aligned(valid, edits.teleport(valid, culprit() & (F.col("clip_uid") % 3 != 1), F.col("t_event"), 4.0)))
+
+
 SPLICE_SQL = TWIN_SQL + " select clip_uid, body_id, frame, " + r("i_px", "px") + ", " + r("pz", "pz") + " from pairs"
 
 

@@ -70,6 +70,22 @@ def release_card(spark, sf_dir):
     return tidy(release.card(with_split(spark, sf_dir), "scenario"))
 
 
+@query(JOINED + f", axes as (select label, camera_motion, unnest(['all', 'scenario', 'severity_bin', 'family_no']) as axis, unnest(['all', scenario, case when magnitude > 50000 then severity_bin end, family_no::varchar]) as value from placed) select axis, value, count(*) as clips, count(*) filter (where label = 'valid') as valid, count(*) filter (where label = 'invalid') as invalid, {r('avg((camera_motion <> $$static$$)::int)', 'moving_share')} from axes where value is not null group by 1, 2")
+def release_card_axes(spark, sf_dir):
+    """Counts of all clips and by scenario, severity and family."""
+    index = with_split(spark, sf_dir).withColumn("severity_bin", F.when(F.col("magnitude") > 50000, F.col("severity_bin")))
+    return tidy(release.card_by_axis(index, ("scenario", "severity_bin", "family_no")))
+
+
+@query(f"with source as (select concat('rel/', c_custkey, '/only') as pair_uid from customer), {strata('source')}, i as (select s.pair_uid, split, stratum as scenario from splits s), per as (select count(distinct pair_uid) / greatest(count(distinct scenario), 1)::double as per from i) select n.split, count(i.pair_uid) as clips, count(distinct i.pair_uid) as pairs, count(distinct i.scenario) as scenarios, case when count(i.pair_uid) > 0 then 1 else 0 end as shards, case when count(i.pair_uid) = 0 then printf('empty: %.1f pairs a scenario do not fill three splits', any_value(per)) end as note from (values ('main'), ('held_out'), ('debug')) n(split) cross join per left join i on i.split = n.split group by 1")
+def release_notes(spark, sf_dir):
+    """One pair for each customer as a scenario: every split but the last is empty, and says why."""
+    pairs = views.table(spark, sf_dir, "customer").select(F.concat_ws("/", F.lit("rel"), "c_custkey", F.lit("only")).alias("pair_uid"))
+    index = release.splits(pairs).withColumnRenamed("stratum", "scenario")
+    shards = index.select("split", F.lit("one").alias("shard")).distinct()
+    return release.with_notes(release.counters(index, shards), index)
+
+
 @query(CLIPS + ", invalid as (select * from clips where label = 'invalid') select scenario, null as severity_bin, count(*) as clips, " + r("avg(magnitude)", "mean_magnitude", 4) + " from invalid group by 1 union all select scenario, severity_bin, count(*), " + r("avg(magnitude)", "m", 4) + " from invalid group by 1, 2 union all select null, null, count(*), " + r("avg(magnitude)", "m", 4) + " from invalid")
 def evaluation_breakdown(spark, sf_dir):
     return tidy(release.breakdown(views.clips(spark, sf_dir), "scenario", "severity_bin"), 4)
@@ -285,6 +301,14 @@ def uid_composition(spark, sf_dir):
     return views.clips(spark, sf_dir).select("clip_key", uid.alias("pair_uid"), release.stratum(uid).alias("stratum"))
 
 
+@query(STAGED + " select clip_key, case when label = 'valid' then concat(p, '/valid') else concat(p, '/invalid_', family, '_', severity_bin) end as clip_uid, case when label = 'valid' then concat(p, '/invalid_', family, '_', severity_bin) else concat(p, '/valid') end as twin_uid from (select *, concat('rel/', scenario, '/', printf('%04d', o_orderkey % 400)) as p from staged)")
+def uid_clips(spark, sf_dir):
+    """Uids of clips and of the twins that they are compared with."""
+    pair = release.pair_uid(F.lit("rel"), F.col("scenario"), F.col("o_orderkey") % 400)
+    names = pair, F.col("label"), F.col("family"), F.col("severity_bin")
+    return staged(spark, sf_dir).select("clip_key", release.clip_uid(*names).alias("clip_uid"), release.twin_uid(*names).alias("twin_uid"))
+
+
 @query("select p_partkey, case when p_size > 25 then concat('Push ', p_size, ' ', p_name, 's past a ', split_part(p_name, ' ', 1), ' wall') else concat('Push ', case when lower(substring(p_name, 1, 1)) in ('a','e','i','o','u') then 'an ' else 'a ' end, p_name, ' past a ', split_part(p_name, ' ', 1), ' wall') end as prompt from part")
 def prompts(spark, sf_dir):
     p = views.table(spark, sf_dir, "part").withColumn("colour", F.substring_index("p_name", " ", 1)).withColumn("noun", F.expr("substring(p_name, length(colour) + 2)"))
