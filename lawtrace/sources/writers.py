@@ -105,8 +105,9 @@ def write_taxonomy(index: DataFrame, out: str) -> None:
         held.join(F.broadcast(known), name, "left").write.json(f"{out}/{own}")  # a few fixed rows
 
 
-def export(spark: SparkSession, root: str, out: str, members: tuple[str, ...] = ("rgb.mp4", "meta.json"), most_bytes: int = 1 << 30) -> DataFrame:
-    """Index, split lists, shards and taxonomy of the release tree; returns the counters by split."""
+def export(spark: SparkSession, root: str, out: str, members: tuple[str, ...] = ("rgb.mp4", "meta.json"), most_bytes: int = 128 << 20) -> DataFrame:
+    """Index, split lists, shards and taxonomy of the release tree; returns the counters by split. A task holds a shard as one value several times over, so
+    ``most_bytes`` stays far below an executor's memory."""
     from lawtrace.operators import release
     from lawtrace.sources.records import clip_records
 
