@@ -11,28 +11,35 @@ from lawtrace.plans.catalog import query, r, tidy
 from lawtrace.plans.motion import CTX, G
 from lawtrace.plans.pixel_queries import GATES_SQL, H, PLANS_SQL, W
 
-ACTOR, BYSTANDER = F.col("body_id") % 15 == 3, F.col("body_id") % 15 == 4
 LAW = ("position_continuity",)
 
 
+def actor():
+    return F.col("body_id") % 15 == 3
+
+
+def bystander():
+    return F.col("body_id") % 15 == 4
+
+
 def moved_twin(valid: DataFrame) -> DataFrame:
     """The actor stands four radii further from the event on; in even clips a bystander follows two frames later, a unit up."""
-    bad = edits.teleport(valid, ACTOR, F.col("t_event"), 4.0)
-    return edits.changed(bad, edits.late(BYSTANDER & (F.col("clip_uid") % 2 == 0), F.col("t_event") + 2), pz=F.col("pz") + 1.0)
+    bad = edits.teleport(valid, actor(), F.col("t_event"), 4.0)
+    return edits.changed(bad, edits.late(bystander() & (F.col("clip_uid") % 2 == 0), F.col("t_event") + 2), pz=F.col("pz") + 1.0)
 
 
 def motion(traj: DataFrame, contacts: DataFrame, plans: DataFrame) -> DataFrame:
     """What ``annotate.timeline`` reads of trajectories: the actor's continuity against its twin, and who left the lawful path."""
     valid = traj.join(plans.select("clip_uid", "t_event", annotate.strong_residual().alias("reference")), "clip_uid")
     invalid = moved_twin(valid)
-    twin = laws.wide(valid.where(ACTOR), contacts, views.FPS, CTX, G, LAW).withColumnRenamed(LAW[0], "twin").select(*twins.KEY, "twin")
-    own = laws.wide(invalid.where(ACTOR), contacts, views.FPS, CTX, G, LAW).select(*twins.KEY, LAW[0])
+    twin = laws.wide(valid.where(actor()), contacts, views.FPS, CTX, G, LAW).withColumnRenamed(LAW[0], "twin").select(*twins.KEY, "twin")
+    own = laws.wide(invalid.where(actor()), contacts, views.FPS, CTX, G, LAW).select(*twins.KEY, LAW[0])
     scored = own.join(twin, twins.KEY).join(plans.select("clip_uid", annotate.strong_residual().alias("reference")), "clip_uid")
     scored = scored.select("clip_uid", "frame", severity.score_against_twin(F.col(LAW[0]), F.col("twin"), F.col("reference")).alias("score"))
     pairs = twins.aligned(valid, invalid)
-    who = pairs.where(ACTOR | BYSTANDER).select("clip_uid", "body_id").distinct()
+    who = pairs.where(actor() | bystander()).select("clip_uid", "body_id").distinct()
     left = twins.diverged_frames(pairs, who).withColumn("diverged", F.lit(True))
-    absent = invalid.where(ACTOR & ~F.col("present")).select("clip_uid", "frame", F.lit(True).alias("absent"))
+    absent = invalid.where(actor() & ~F.col("present")).select("clip_uid", "frame", F.lit(True).alias("absent"))
     return scored.join(left, ["clip_uid", "frame"], "full").join(absent, ["clip_uid", "frame"], "full").select("clip_uid", "frame", "score", "diverged", "absent")
 
 
