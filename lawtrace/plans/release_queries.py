@@ -118,10 +118,11 @@ def coverage_lattice(spark, sf_dir):
     return release.coverage(c, "scenario", "family", "clip_uid", "o_orderkey", NAMES, planned)
 
 
-@query(STAGED + f" select domain, family, severity_bin, moving, count(*) as clips, {r('avg(magnitude)', 'mean_magnitude', 4)} from staged where label = 'invalid' group by rollup (domain, family, severity_bin, moving)")
+@query(STAGED + f" select domain, family, severity_bin, moving, count(*) as clips, {r('sum(magnitude)', 'total_magnitude', 2)} from staged where label = 'invalid' group by rollup (domain, family, severity_bin, moving)")
 def evaluation_by_family(spark, sf_dir):
     """Invalid clips by domain, family, severity and whether the camera moves; families are pooled in their domain's own row only."""
-    return tidy(release.breakdown(staged(spark, sf_dir), "domain", "family", "severity_bin", "moving"), 4)
+    found = release.breakdown(staged(spark, sf_dir), "domain", "family", "severity_bin", "moving")
+    return tidy(found.withColumn("total_magnitude", F.col("mean_magnitude") * F.col("clips")).drop("mean_magnitude"), 2)
 
 
 @query(f"{CLIPS}, {DIMS} select s.scenario, f.family from (select distinct scenario from clips) s cross join families f where not exists (select 1 from clips c where c.scenario = s.scenario and c.family_no = f.family_no and c.severity_bin = 'strong' and c.label = 'invalid')")
