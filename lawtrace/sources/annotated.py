@@ -41,6 +41,7 @@ def annotate_release(cells: DataFrame, plans: DataFrame, motion_of: Callable[[Da
     rows, times = annotate.annotate_pairs(cells, plans, motion_of(plans), height, width, energies)
     for name, table in (("pixels", rows), ("timelines", times)):
         _written(table.withColumn("batch", _batch(batches)), path, name)
+    times.unpersist()
 
 
 def reannotate(cells: DataFrame, plans: DataFrame, motion_of: Callable[[DataFrame], DataFrame], chosen: DataFrame, path: str, height: int, width: int, batches: int = 64, energies: DataFrame | None = None) -> None:
@@ -64,3 +65,4 @@ def reannotate(cells: DataFrame, plans: DataFrame, motion_of: Callable[[DataFram
         for folder in [f for f, held in before.items() if after.get(f) == held]:  # no row was written there
             at = jvm.org.apache.hadoop.fs.Path(folder)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    times.unpersist()
