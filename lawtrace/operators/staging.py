@@ -152,7 +152,8 @@ def stall_frames(traj: DataFrame, scenes: DataFrame, last_contact: DataFrame, sp
 def hidden_behind(points: DataFrame, bodies: DataFrame, eye: tuple[Column, Column, Column]) -> DataFrame:
     """``points`` (a key, clip_uid and px, py, pz) with ``hidden``: whether the line from the eye meets an upright static box on its way.
 
-    Boxes that are floors, lie flat (no higher than wide or deep) or are turned hide nothing. Each box of the clip is tested by slabs.
+    Boxes that are floors, lie flat (no higher than wide or deep) or are turned hide nothing. Each box of the clip is tested by slabs, in
+    shares of the line: the point itself is at 1 without rounding, so a point on a face is behind it.
     """
     boxes = bodies.where((F.col("static")) & F.col("box") & ~F.col("floor") & (F.col("hz") > F.least("hx", "hy")) & (F.abs("q0") >= 0.999)).select("clip_uid", *[f"{x}0" for x in "xyz"], *[f"h{x}" for x in "xyz"])
     held = boxes.groupBy("clip_uid").agg(F.collect_list(F.struct(*boxes.columns[1:])).alias("boxes"))  # those of one clip
@@ -160,11 +161,10 @@ def hidden_behind(points: DataFrame, bodies: DataFrame, eye: tuple[Column, Colum
     length = norm(ray)
 
     def meets(b: Column) -> Column:
-        enter, leave, inside = F.lit(0.0), length, F.lit(True)
+        enter, leave, inside = F.lit(0.0), F.lit(1.0), F.lit(True)
         for x, e, d in zip("xyz", eye, ray):
-            along = d / F.greatest(length, F.lit(1e-12))
-            level = F.abs(along) < 1e-9
-            safe = F.when(level, 1.0).otherwise(along)
+            level = F.abs(d / F.greatest(length, F.lit(1e-12))) < 1e-9
+            safe = F.when(level, 1.0).otherwise(d)
             near, far = (b[f"{x}0"] - b[f"h{x}"] - e) / safe, (b[f"{x}0"] + b[f"h{x}"] - e) / safe
             inside = inside & (~level | (F.abs(e - b[f"{x}0"]) <= b[f"h{x}"]))
             enter, leave = F.when(level, enter).otherwise(F.greatest(enter, F.least(near, far))), F.when(level, leave).otherwise(F.least(leave, F.greatest(near, far)))

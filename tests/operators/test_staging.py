@@ -36,6 +36,17 @@ def test_hidden_behind_boxes(spark):
     assert got == {(1, i): p != eye and crosses(eye, p, (0, 5, 1, 1, 0.2, 2)) for i, p in enumerate(points)} | {(2, 0): False}
 
 
+def test_points_on_the_face_of_a_box_are_hidden(spark):
+    """Each point lies on the face of its own box that looks at the eye: the line meets the box at its end, whatever its length."""
+    rng = random.Random(5)
+    eye = (5.0, -20.0, 6.0)
+    points = [(i, float(rng.randint(-40, 40)), float(rng.randint(-9, 40)), rng.randint(-40, 40) + 0.25) for i in range(300)]
+    boxes = [body(1, True, box=True, at=(x, y + 0.5, z), half=(0.25, 0.5, 1.0), clip=i) for i, x, y, z in points]
+    t = spark.createDataFrame(points, "clip_uid long, px double, py double, pz double")
+    found = staging.hidden_behind(t, spark.createDataFrame(boxes, BODIES), tuple(map(F.lit, eye)))
+    assert found.where("hidden").count() == len(points)
+
+
 def test_support_ties_and_dormant_bodies(spark):
     bodies = [body(0, True, True, box=True, at=(0, 0, 0), half=(10, 10, 0.1)), body(1, at=(0, 0, 3)), body(2), body(3, dormant=True), body(4, True, box=True, at=(5, 5, 1), half=(1, 1, 1)), body(5)]
     traj = [row(1, f, (0, 0, 3)) for f in (0, 1)] + [row(2, 0, (9, 0, 1)), row(2, 1, (9, 0, 5)), row(3, 0, (0, 0, 1.9)), row(3, 1, (0, 0, 1.9)), row(5, 0, (-9, 0, 1)), row(5, 1, (20, 0, 0.4))]
