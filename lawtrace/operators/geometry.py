@@ -30,6 +30,13 @@ def contacts(traj: DataFrame, ground: float, tolerance: float = 0.02) -> DataFra
     return bodies.unionByName(floor)
 
 
+def steady_mean(value: str, by: str = "frame") -> Column:
+    """The mean of a group's values, added in the order of ``by``: the same number however the rows are dealt. A group is one list, so it is
+    meant for the frames of a body."""
+    held = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(by, value))))
+    return F.aggregate(held, F.lit(0.0), lambda s, x: s + x[value], lambda s: s / F.nullif(F.size(held), F.lit(0)))
+
+
 def support_below(points: DataFrame, surfaces: DataFrame, floor: float, slack: float = 1e-3) -> DataFrame:
     """``points`` (clip_uid, px, py, pz, radius) with the highest surface (clip_uid, ord, cx, cy, hx, hy, top) under each:
     its footprint holds the point and its top is not above the lowest point; the first declared on ties, else the floor.

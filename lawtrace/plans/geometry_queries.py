@@ -29,7 +29,7 @@ SURFACES = "surfaces as (select clip_uid, body_id % 15 as ord, avg(px) as cx, av
 @query(f"{TC}, {SURFACES}, hits as (select t.clip_uid, t.body_id, t.frame, max(s.top) as top from traj t join surfaces s on s.clip_uid = t.clip_uid and abs(t.px - cx) <= hx + radius and abs(t.py - cy) <= hy + radius and top <= t.pz - radius + 1e-3 group by 1, 2, 3) select t.clip_uid, t.body_id, t.frame, {r('coalesce(h.top, 0)', 'support')} from traj t left join hits h on h.clip_uid = t.clip_uid and h.body_id = t.body_id and h.frame = t.frame")
 def support_below(spark, sf_dir):
     t = views.traj(spark, sf_dir)
-    s = t.groupBy("clip_uid", "body_id").agg(F.avg("px").alias("cx"), F.avg("py").alias("cy"), F.lit(2.0).alias("hx"), F.lit(2.0).alias("hy"), (F.min("pz") + F.first("body_id") % 4).alias("top")).withColumn("ord", F.col("body_id") % 15)
+    s = t.groupBy("clip_uid", "body_id").agg(geometry.steady_mean("px").alias("cx"), geometry.steady_mean("py").alias("cy"), F.lit(2.0).alias("hx"), F.lit(2.0).alias("hy"), (F.min("pz") + F.first("body_id") % 4).alias("top")).withColumn("ord", F.col("body_id") % 15)
     points = t.withColumn("point", F.struct("body_id", "frame"))
     return tidy(geometry.support_below(points, s, 0.0).select("clip_uid", "body_id", "frame", "support"))
 

@@ -164,3 +164,17 @@ def test_every_edit_keeps_the_lawful_prefix(spark, small):
     for bad in made:
         assert twins.prefix_report(twins.aligned(valid, bad), tolerance=1e-9).where("not identical").isEmpty()
         assert twins.undeclared(twins.aligned(valid, bad), valid.where(who).select("clip_uid", "body_id").distinct()).isEmpty()
+
+
+def test_means_of_supports_add_frames_in_order(spark):
+    """Rows dealt in any order give the sum in order of frames, to the last bit; nulls do not count."""
+    from lawtrace.operators import geometry
+
+    values = [0.1 * (i * 37 % 101) for i in range(70)]
+    rows = [(1, f, v) for f, v in enumerate(values)] + [(1, 70, None), (2, 0, None)]
+    t = spark.createDataFrame(rows[::-1], "body_id long, frame int, px double").repartition(3)
+    got = dict(t.groupBy("body_id").agg(geometry.steady_mean("px").alias("m")).collect())
+    total = 0.0
+    for v in values:
+        total += v
+    assert got == {1: total / len(values), 2: None}
