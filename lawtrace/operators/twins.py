@@ -79,7 +79,12 @@ def contamination(valid: DataFrame, invalid: DataFrame, families: DataFrame, own
     """
     top = lambda t, n, *by: t.groupBy(*by, "clip_uid", "law").agg(F.max("r").alias(n))
     both = top(invalid, "most", "family").join(top(valid, "twin"), ["clip_uid", "law"]).withColumn("rise", F.col("most") - F.col("twin"))
-    risen = both.groupBy("family", "law").agg(F.max("rise").alias("rise"), F.count_if(F.col("rise") > leak).alias("clips_over"))
+    return verdicts(both, families, owners, leak, moves)
+
+
+def verdicts(rises: DataFrame, families: DataFrame, owners: DataFrame, leak: float = 1.0, moves: float = 0.1) -> DataFrame:
+    """The same from ``rises``, one row (family, law, rise) for each clip's twin."""
+    risen = rises.groupBy("family", "law").agg(F.max("rise").alias("rise"), F.count_if(F.col("rise") > leak).alias("clips_over"))
     exclusive = owners.select("law").distinct().withColumn("exclusive", F.lit(True))
     own = owners.withColumn("owner", F.lit(True))
     t = families.join(risen, "family").join(F.broadcast(exclusive), "law", "left").join(F.broadcast(own), ["law", "family"], "left")  # a few fixed rows

@@ -178,3 +178,11 @@ def test_means_of_supports_add_frames_in_order(spark):
     for v in values:
         total += v
     assert got == {1: total / len(values), 2: None}
+
+
+def test_twins_of_contamination_read_their_clips_a_few_times(spark, small):
+    """Edits that join are not chained: their plan would double and treble with each, in the driver's memory and in the work."""
+    from lawtrace.plans import contamination_queries
+
+    plan = contamination_queries.law_contamination(spark, small)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") <= 12
