@@ -168,8 +168,6 @@ def test_every_edit_keeps_the_lawful_prefix(spark, small):
 
 def test_means_of_supports_add_frames_in_order(spark):
     """Rows dealt in any order give the sum in order of frames, to the last bit; nulls do not count."""
-    from lawtrace.operators import geometry
-
     values = [0.1 * (i * 37 % 101) for i in range(70)]
     rows = [(1, f, v) for f, v in enumerate(values)] + [(1, 70, None), (2, 0, None)]
     t = spark.createDataFrame(rows[::-1], "body_id long, frame int, px double").repartition(3)
@@ -186,3 +184,22 @@ def test_twins_of_contamination_read_their_clips_a_few_times(spark, small):
 
     plan = contamination_queries.law_contamination(spark, small)._jdf.queryExecution().analyzed().toString()
     assert plan.count("Relation [") <= 12
+
+
+def test_medians_are_exact_without_a_task_for_each_group(spark, small):
+    import statistics
+
+    from lawtrace.plans import motion
+
+    rng = random.Random(2)
+    rows = [(g, round(rng.lognormvariate(0, 3), rng.choice((0, 6)))) for g, n in (("a", 1), ("b", 2), ("c", 3), ("d", 500), ("e", 3001)) for _ in range(n)] + [("a", None), ("z", None)]
+    found = severity.noise_floor(spark.createDataFrame(rows, "g string, r double"), ["g"])
+    got = {x["g"]: (x["mu"], x["sigma"], x["n"]) for x in found.collect()}
+    want = {"z": (None, None, 0)}
+    for g in "abcde":
+        v = [r for k, r in rows if k == g and r is not None]
+        mu = statistics.median(v)
+        want[g] = (mu, 1.4826 * statistics.median(abs(r - mu) for r in v), len(v))
+    assert got.keys() == want.keys() and all(got[g][2] == w[2] and (got[g][:2] == w[:2] or got[g][:2] == pytest.approx(w[:2], rel=1e-12)) for g, w in want.items())
+    # every value of a group in one task, and every row of it in another, is what a join or a median by group would take
+    assert "SortMergeJoin" not in motion.noise_scores(spark, small)._jdf.queryExecution().executedPlan().toString()
