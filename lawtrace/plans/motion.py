@@ -269,7 +269,8 @@ def noise_floor(spark, sf_dir):
 from resid join floors using (l_returnflag, l_linestatus)""")
 def noise_scores(spark, sf_dir):
     rows = _resid(spark, sf_dir)
-    scored = rows.join(severity.noise_floor(rows, ["l_returnflag", "l_linestatus"]), ["l_returnflag", "l_linestatus"])
+    floors = F.broadcast(severity.noise_floor(rows, ["l_returnflag", "l_linestatus"]))  # one row for each of a few groups
+    scored = rows.join(floors, ["l_returnflag", "l_linestatus"])
     return tidy(scored.select("l_orderkey", "l_linenumber", severity.z_score(F.col("r")).alias("z"), severity.score_against_floor(F.col("r"), F.col("mu"), F.lit(60.0)).alias("score")))
 
 
