@@ -73,10 +73,16 @@ def outside(part: DataFrame, whole: DataFrame) -> DataFrame:
 
 
 def dilated(mask: DataFrame, k: int, height: int, width: int) -> DataFrame:
-    """Square dilation by ``k`` that wraps at the edges: each pixel is spread over (2k + 1) squared offsets."""
-    steps = F.sequence(F.lit(-k), F.lit(k))
-    spread = mask.select("clip_uid", "frame", "y", "x", F.explode(steps).alias("dy")).withColumn("dx", F.explode(steps))
-    return spread.select("clip_uid", "frame", F.pmod(F.col("y") + F.col("dy"), F.lit(height)).alias("y"), F.pmod(F.col("x") + F.col("dx"), F.lit(width)).alias("x")).distinct()
+    """Square dilation by ``k`` that wraps at the edges. The places of a frame, ``height`` times ``width`` at most, are one list, spread along y and
+    then along x, so that no table of spread rows has to be made distinct."""
+    def spread(places: Column, to) -> Column:
+        return F.array_distinct(F.flatten(F.transform(places, lambda p: F.transform(F.sequence(F.lit(-k), F.lit(k)), lambda d: to(F.floor(p / width).cast("int"), p % width, d)))))
+
+    place = (F.pmod(F.col("y"), F.lit(height)) * width + F.pmod(F.col("x"), F.lit(width))).cast("int")
+    held = mask.groupBy(*FRAME).agg(F.collect_set(place).alias("places"))
+    along = held.select(*FRAME, spread(F.col("places"), lambda y, x, d: F.pmod(y + d, F.lit(height)) * width + x).alias("places"))
+    wide = along.select(*FRAME, F.explode(spread(F.col("places"), lambda y, x, d: y * width + F.pmod(x + d, F.lit(width)))).alias("place"))
+    return wide.select(*FRAME, F.floor(F.col("place") / width).cast("int").alias("y"), (F.col("place") % width).alias("x"))
 
 
 def causal_levels(seg: DataFrame, roles: DataFrame, height: int, width: int, k: int = 3) -> DataFrame:

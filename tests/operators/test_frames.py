@@ -203,3 +203,15 @@ def test_medians_are_exact_without_a_task_for_each_group(spark, small):
     assert got.keys() == want.keys() and all(got[g][2] == w[2] and (got[g][:2] == w[:2] or got[g][:2] == pytest.approx(w[:2], rel=1e-12)) for g, w in want.items())
     # every value of a group in one task, and every row of it in another, is what a join or a median by group would take
     assert "SortMergeJoin" not in motion.noise_scores(spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dilation_wraps_without_a_table_of_spread_rows(spark):
+    import re
+
+    rng = random.Random(4)
+    mask = {(c, f, rng.randrange(7), rng.randrange(11)) for c in (1, 2) for f in range(3) for _ in range(f * 4)}
+    found = pixels.dilated(spark.createDataFrame(sorted(mask), "clip_uid long, frame int, y int, x int"), 2, 7, 11)
+    want = {(c, f, (y + dy) % 7, (x + dx) % 11) for c, f, y, x in mask for dy in range(-2, 3) for dx in range(-2, 3)}
+    got = [tuple(x) for x in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert not re.search(r"(?<!Object)HashAggregate", found._jdf.queryExecution().executedPlan().toString())
