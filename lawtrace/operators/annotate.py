@@ -93,13 +93,21 @@ def temporal_block(times: DataFrame, plans: DataFrame) -> DataFrame:
 def painted(pairs: DataFrame, times: DataFrame) -> DataFrame:
     """Cells with ``violation``, ``invalid`` and ``reference`` (masks), ``severity`` and ``divergence`` (zero: nothing), and the gates of
     their frame. Severity lies on the invalid side's culprits; only where they are gone and leave no pixel, on the lawful footprint."""
-    names = ("seen", "visible_inv", "gone", "causal", "s_visible", "s_inv")
+    names = ("seen", "visible_inv", "gone", "causal", "observable", "s_visible", "s_inv")
     gates = times.groupBy("clip_uid").agg(F.array_sort(F.collect_list(F.struct("frame", *names))).alias("gates"))  # one for each frame, from 0
     severity = F.when(F.col("in_i") & F.col("visible_inv"), F.col("s_inv")).when(F.col("in_v") & F.col("gone"), F.col("s_visible")).otherwise(0.0)
     out = pairs.join(gates, "clip_uid").withColumn("gate", F.get("gates", F.col("frame"))).where("gate is not null").drop("gates").withColumns({n: F.col(f"gate.{n}") for n in names}).drop("gate")
     return out.withColumns({"violation": F.col("seen") & (F.col("in_v") | F.col("in_i")), "invalid": F.col("visible_inv") & F.col("in_i"), "reference": F.col("in_v"), "severity": severity, "divergence": F.col("off") / 255.0})
 
 
+def measured(pixels: DataFrame) -> DataFrame:
+    """Per clip with cells: the peak of the severity, the observable frames (each has pixels) and evidence, the largest divergence inside the
+    violation mask; ``pixels.measured`` in one pass over ``painted`` cells."""
+    frames = pixels.groupBy(*FRAME).agg(F.max(F.when(F.col("invalid"), F.col("severity"))).alias("peak"), F.max("observable").cast("long").alias("observable"), F.max(F.when(F.col("violation"), F.col("divergence"))).alias("evidence"))
+    top = lambda c: F.coalesce(F.max(c), F.lit(0.0))
+    return frames.groupBy("clip_uid").agg(top("peak").alias("peak_severity"), F.sum("observable").alias("observable_frames"), top("evidence").alias("evidence"))
+
+
 def causal_levels(pixels: DataFrame, plans: DataFrame, height: int, width: int, k: int = 3) -> DataFrame:
     """Pixels of the invalid side on causal frames: 1 on culprits, 2 on bodies that left their path, and on static bodies that the plan
     names within ``k`` pixels of a culprit."""

@@ -228,8 +228,7 @@ select clip_uid, {r('peak_severity', 'peak_severity')}, observable_frames, {r('e
 
 @query(AUDIT_SQL)
 def audit_measure(spark, sf_dir):
-    s = Scene(spark, sf_dir)
-    m = pixels.measured(s.clips, s.field(), pixels.observable_frames(s.both()), s.mask(), pixels.divergence(s.both()))
+    m = annotate.measured(Scene(spark, sf_dir).painted())
     return tidy(m.withColumn("invisible", F.expr(pixels.INVISIBLE)).withColumn("unscored", F.expr(pixels.UNSCORED)))
 
 

@@ -155,3 +155,11 @@ def test_energy_of_both_sides(spark, tmp_path):
     got = {(r["clip_uid"], r["side"], r["frame"], r["y"], r["x"]): r["value"] for r in rows.where("annotation = 'energy_map'").collect()}
     want = {(c, "valid", t, y, x): 0.25 * v for c, t, y, x, v, *_ in tables[0] if v in (1, 3)} | {(c, "invalid", t, y, x): -1.0 for c, t, y, x, *rest in tables[0] if rest[4] in (1, 3)}
     assert got == want
+
+
+def test_audits_read_their_cells_a_few_times(spark, small):
+    """One pass over painted cells: before, the severity, the mask, the divergence and the frames each made the cells anew."""
+    from lawtrace.plans import pixel_queries
+
+    plan = pixel_queries.audit_measure(spark, small)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") <= 6
