@@ -5,7 +5,6 @@ from __future__ import annotations
 import colorsys
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +50,7 @@ def _lab(rgb: np.ndarray) -> np.ndarray:
     c = np.clip(rgb, 0, 1)
     xyz = np.where(c <= 0.04045, c / 12.92, ((c + 0.055) / 1.055) ** 2.4) @ np.array(SRGB_TO_XYZ).T / np.array(WHITE)
     f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
-    return np.array([116 * f[1] - 16, 500 * (f[0] - f[1]), 200 * (f[1] - f[2])])
+    return np.array([116 * f[..., 1] - 16, 500 * (f[..., 0] - f[..., 1]), 200 * (f[..., 1] - f[..., 2])])
 
 
 def colour_at_distance(rgb: tuple[float, float, float], wanted: float, steps: int = 20) -> tuple[float, float, float]:
@@ -70,13 +69,43 @@ def colour_at_distance(rgb: tuple[float, float, float], wanted: float, steps: in
     return tuple(float(x) for x in path(high))
 
 
+def _turned(h: np.ndarray, s: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``colorsys.hsv_to_rgb`` of many colours."""
+    i = np.floor(h * 6).astype(int)
+    f = h * 6 - i
+    p, q, t = v * (1 - s), v * (1 - s * f), v * (1 - s * (1 - f))
+    parts = ((v, q, p, p, t, v), (t, v, v, q, p, p), (p, p, t, v, v, q))
+    return np.stack([np.choose(i % 6, c) for c in parts], axis=1)
+
+
+def colours_at_distance(rgb: np.ndarray, wanted: float, steps: int = 20) -> np.ndarray:
+    """``colour_at_distance`` of many colours at once, row by row."""
+    start = np.clip(np.asarray(rgb, float), 0, 1).reshape(-1, 3)
+    if not len(start):
+        return start
+    h, s, v = np.array([colorsys.rgb_to_hsv(*c) for c in start.tolist()]).T
+    lab = lambda c: np.stack(_lab(c), axis=1)
+    here = lab(start)
+    distance = lambda c: np.linalg.norm(lab(c) - here, axis=1) / 100
+    corners = np.array([[r, g, b] for r in (0, 1) for g in (0, 1) for b in (0, 1)], float)
+    far = corners[np.argmax(np.stack([distance(np.broadcast_to(c, start.shape)) for c in corners]), axis=0)]
+    turns = distance(_turned((h + 0.5) % 1.0, s, v)) >= wanted
+    path = lambda x: np.where(turns[:, None], _turned((h + 0.5 * x) % 1.0, s, v), start + (far - start) * x[:, None])
+    low, high = np.zeros(len(start)), np.ones(len(start))
+    for _ in range(steps):
+        middle = (low + high) / 2
+        near = distance(path(middle)) < wanted
+        low, high = np.where(near, middle, low), np.where(near, high, middle)
+    return path(high)
+
+
 def recolour_targets(colours: DataFrame, wanted: float) -> DataFrame:
     """``colours`` (cr, cg, cb) with (tr, tg, tb) at ``wanted`` distance, found once for each distinct colour."""
 
     def found(batches):
         for batch in batches:
-            out = [colour_at_distance(tuple(c), wanted) for c in batch[["cr", "cg", "cb"]].to_numpy()]
-            yield batch.assign(**{n: pd.Series([o[i] for o in out], dtype=float) for i, n in enumerate(("tr", "tg", "tb"))})
+            out = colours_at_distance(batch[["cr", "cg", "cb"]].to_numpy(), wanted)
+            yield batch.assign(**{n: out[:, i] for i, n in enumerate(("tr", "tg", "tb"))})
 
     distinct = colours.select("cr", "cg", "cb").distinct()
     targets = distinct.mapInPandas(found, "cr double, cg double, cb double, tr double, tg double, tb double")

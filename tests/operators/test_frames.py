@@ -215,3 +215,13 @@ def test_dilation_wraps_without_a_table_of_spread_rows(spark):
     got = [tuple(x) for x in found.collect()]
     assert len(got) == len(want) and set(got) == want
     assert not re.search(r"(?<!Object)HashAggregate", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_colours_at_a_distance_at_once(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    colours = np.concatenate([rng.random((200, 3)), [[0, 0, 0], [1, 1, 1], [0.5, 0.5, 0.5], [1, 0, 0]]])
+    for wanted in (0.1, 0.25, 5.0):
+        one = np.array([materials.colour_at_distance(tuple(c), wanted) for c in colours])
+        assert np.allclose(materials.colours_at_distance(colours, wanted), one, atol=1e-9)
