@@ -42,6 +42,24 @@ def test_chunks_give_the_library_ids():
             assert [x.tolist() for part in slices(pa.array(ODD * 2), rows=5, size=200) for x in own.encode(part)] == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet=st.sampled_from("abrstzKÉéßÿµªº×đ'"), max_size=8), st.text(alphabet=st.sampled_from(encoding.SIGNS + "'<|>2"), max_size=4)), max_size=8))
+def test_words_with_signs_give_the_library_ids(parts):
+    text = " ".join(word + signs for word, signs in parts)
+    for path, spaced in ((BYTES, True), (WORDS, False)):
+        assert encoding.encoder(path, spaced).encode(pa.array([text]))[0].tolist() == library(path).encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_go_straight_to_the_model():
+    for path, spaced in ((BYTES, True), (WORDS, False)):
+        own = ChunkEncoder(path, spaced)
+        whole, asked = own.tokenizer, []
+        own.tokenizer = type("Counted", (), {"encode_batch_fast": lambda _, texts, **more: asked.extend(texts) or whole.encode_batch_fast(texts, **more)})()
+        text = "Étés, plain words. And (more\") plain$$$ words***"
+        assert own.encode(pa.array([text]))[0].tolist() == library(path).encode(text, add_special_tokens=False).ids
+        assert [t.strip() for t in asked] == ['(more")']
+
+
 def test_very_long_texts_stay_whole_and_are_not_remembered():
     texts = ["x" * 1_000_000, "word and " * 120_000, "\t" * 1000 + "y " * 400_000]
     for path, spaced in ((BYTES, True), (WORDS, False)):
