@@ -85,7 +85,7 @@ def prepared(traj: DataFrame, contacts: DataFrame, fps: float, ctx: dict[str, fl
 
     Laws that read contacts or other bodies share one exchange by clip, which serves every window: contacts enter as
     rows of their own that a window adds up, and the other bodies of a frame are a list on each of its rows, as long as
-    the clip has bodies. Laws of a body's own motion need neither.
+    the clip has bodies. Rows are sorted twice: by frame for the lists, and by body for all the rest, when the lists are gone. Laws of a body's own motion need neither.
     """
     reads = {x for n in names or LAWS for x in READS[n]}
     t = with_defaults(traj)
@@ -93,18 +93,15 @@ def prepared(traj: DataFrame, contacts: DataFrame, fps: float, ctx: dict[str, fl
         t = t.withColumn("is_body", F.lit(True)).unionByName(contact_sides(contacts), allowMissingColumns=True)
     if reads:
         t = t.repartition("clip_uid")
-    if "forces" in reads:
-        same = Window.partitionBy(*KEY, "frame")
-        t = t.withColumns({f"f{a}": F.coalesce(F.sum(f"f{a}").over(same), F.lit(0.0)) for a in "xyz"} | {"touch": F.count("fx").over(same) > 0}).where("is_body")
-    else:
-        t = t.withColumns({f"f{a}": F.lit(0.0) for a in "xyz"} | {"touch": F.lit(False)})
+    body = F.struct("body_id", *BODY)
     if "others" in reads:
-        t = t.withColumn("others", F.collect_list(F.struct("body_id", *BODY)).over(Window.partitionBy("clip_uid", "frame")))
+        frame = Window.partitionBy("clip_uid", "frame").orderBy("body_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        t = t.withColumn("others", F.collect_list(F.when(F.col("is_body"), body) if "forces" in reads else body).over(frame))
     else:
-        t = t.withColumn("others", F.array(F.struct("body_id", *BODY)))
+        t = t.withColumn("others", F.array(body))
     t = t.withColumns({k: _context(t, ctx, k, default) for k, default in CONTEXT.items()})
     partner, caster = (F.get(F.filter("others", lambda o: o["body_id"] == F.col(c)), F.lit(0)) for c in ("partner_id", "caster_id"))
-    t = t.withColumns({"partner": partner, "caster": caster, "pair": _members("pair_ids"), "group": _members("sibling_ids")})
+    t = t.withColumns({"partner": partner, "caster": caster, "pair": _members("pair_ids"), "group": _members("sibling_ids")}).withColumn("group_size", F.size("group"))
     dt, g = 1.0 / fps, gravity
     acc = {f"a{a}": finite_difference(f"v{a}", dt) for a in "xyz"}
     steps = {f"d{p}{a}": step(f"{p}{a}") for p in "pvw" for a in "xyz"}
@@ -121,6 +118,12 @@ def prepared(traj: DataFrame, contacts: DataFrame, fps: float, ctx: dict[str, fl
     arm = tuple(F.col(f"p{a}") - F.col(f"pivot_{a}") for a in "xyz")
     span = at_least(dot(arm, arm), 1e-12)
     t = t.withColumn("reach", F.sqrt(span)).withColumns(dict(zip(("tx", "ty", "tz"), (c / span for c in cross(arm, vec("v"))))))
+    # here, as rows then have the order of the windows that follow and hold no lists
+    if "forces" in reads:
+        same = Window.partitionBy(*KEY, "frame")
+        t = t.withColumns({f"f{a}": F.coalesce(F.sum(f"f{a}").over(same), F.lit(0.0)) for a in "xyz"} | {"touch": F.count("fx").over(same) > 0}).where("is_body")
+    else:
+        t = t.withColumns({f"f{a}": F.lit(0.0) for a in "xyz"} | {"touch": F.lit(False)})
     near = F.max("touch").over(by_frame().rowsBetween(-1, 1))
     firsts = {f"first_{c}": first(c) for c in ("volume", "alpha", "ratio", "siblings", "cr", "cg", "cb")}
     t = t.withColumns({**acc, **steps, **{f"dt{a}": step(f"t{a}") for a in "xyz"}, "speed_before": F.lag("speed").over(by_frame()), "energy_before": F.lag("pair_energy").over(by_frame()), "nth": F.row_number().over(by_frame()), "touching": near | ~F.col("contact_free"), "free": unsupported(F.col("surface_top"), fps), **firsts})
@@ -226,7 +229,7 @@ def mass_dissolution(dt, g):
 @law("object_count", "others")
 def object_count(dt, g):
     """Change of the number of bodies that are there of a declared group."""
-    return F.when(F.size("group") == 0, 0.0).otherwise(F.abs(F.col("siblings") / at_least(F.col("first_siblings"), 1) - 1))
+    return F.when(F.col("group_size") == 0, 0.0).otherwise(F.abs(F.col("siblings") / at_least(F.col("first_siblings"), 1) - 1))
 
 
 @law("colour_continuity")

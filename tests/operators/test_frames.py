@@ -225,3 +225,14 @@ def test_colours_at_a_distance_at_once(spark):
     for wanted in (0.1, 0.25, 5.0):
         one = np.array([materials.colour_at_distance(tuple(c), wanted) for c in colours])
         assert np.allclose(materials.colours_at_distance(colours, wanted), one, atol=1e-9)
+
+
+def test_laws_sort_the_rows_of_clips_twice(spark, small):
+    import re
+
+    from lawtrace.operators import laws
+    from lawtrace.plans import motion, views
+
+    rows = laws.wide(views.traj(spark, small), views.contacts(spark, small), views.FPS, motion.CTX, motion.G)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bSort \[clip_uid", plan)) == 2
