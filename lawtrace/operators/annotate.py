@@ -155,8 +155,9 @@ def annotations(pixels: DataFrame, levels: DataFrame, energies: DataFrame | None
 def annotate_pairs(cells: DataFrame, plans: DataFrame, motion: DataFrame, height: int, width: int, energies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """All labels of the clips that have a plan: ``annotations`` of their pixels, and their ``timeline``. Cells are dealt by clip once.
 
-    The timeline, one row for each frame, is kept (``unpersist`` lets it go): every annotation of pixels reads it, and a lost part is made anew."""
-    pairs = compared(cells.repartition("clip_uid"), plans)
+    Compared cells and the timeline are kept, on disk where memory is short (``unpersist`` lets them go): the timeline and every annotation read
+    the cells, every annotation of pixels reads the timeline, and a lost part is made anew."""
+    pairs = compared(cells.repartition("clip_uid"), plans).persist()
     times = timeline(pairs, plans, motion).persist()
     pixels = painted(pairs, times)
     return annotations(pixels, causal_levels(pixels, plans, height, width), energies), times

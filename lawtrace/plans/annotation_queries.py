@@ -47,8 +47,7 @@ def annotated(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Annotations and timelines of the clips that have both cells and trajectories."""
     cells, traj = views.cells(spark, sf_dir), views.traj(spark, sf_dir)
     plans = views.pair_plans(traj.select("clip_uid").distinct())
-    seen = cells.select("clip_uid").distinct()
-    plans = plans.join(seen, "clip_uid", "left_semi")
+    plans = plans.join(views.cell_clips(spark, sf_dir), "clip_uid", "left_semi")
     return annotate.annotate_pairs(cells, plans, motion(traj, views.contacts(spark, sf_dir), plans), H, W)
 
 
