@@ -5,8 +5,8 @@ the least hash. Equal strings thus have equal anchors, and the bytes from the an
 key. Neighbouring strings of one anchor make a segment of the text. Only segments whose key stands in two places or more can hold a
 repeated string; equal ones are one with a weight, and keys deal them to shards of about a megabyte. Every shard is sorted
 into a suffix array (Larsson-Sadakane refinement: ranks of the first h bytes order the first 2h, and only suffixes that still
-share their rank are sorted again), Kasai's common prefixes join equal strings, and the segments of a key that fills several
-shards are compared shard by shard, each one's sorted strings looked up in the others' by binary search. Nothing is decided by a hash
+share their rank are sorted again) up to the length of a string, so that strings of one rank are equal, and the segments of a key that fills
+several shards are compared shard by shard, each one's sorted strings looked up in the others' by binary search. Nothing is decided by a hash
 alone but which texts, and which segments, are equal (128 bits).
 """
 
@@ -79,13 +79,20 @@ def segments(raw: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``data`` (bytes, fewer than 2 ** 21) in order; the end of the data is below every byte."""
+    return ranked(data, len(data) + 1)[0]
+
+
+def ranked(data: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """``suffix_array`` of the first ``most`` bytes of every suffix, and the rank of each suffix: equal where those bytes are, so that
+    sorting ends with them. The last step looks no further ahead than is left."""
     n, bits = len(data), np.uint64(INDEX)
+    h = min(5, most)
     if n >> INDEX:
         raise ValueError(f"{n} bytes do not fit the sort key of a suffix array")
     digits = np.zeros(n + 5, np.uint64)
     digits[:n] = data.astype(np.uint64) + np.uint64(1)
     head = digits[:n]
-    for k in range(1, 5):
+    for k in range(1, h):
         head = head * np.uint64(257) + digits[k : n + k]
     packed = np.sort((head << bits) | np.arange(n, dtype=np.uint64))
     sa = (packed & np.uint64((1 << INDEX) - 1)).astype(np.int64)
@@ -95,10 +102,9 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     sizes = np.diff(np.append(begins, n))
     rank[sa] = np.repeat(begins, sizes) + 1
     slots = np.flatnonzero(np.repeat(sizes > 1, sizes))
-    h = 5
-    while len(slots):
-        who = sa[slots]
-        old, nxt = rank[who], rank[np.minimum(who + h, n)]
+    while len(slots) and h < most:
+        who, ahead = sa[slots], min(h, most - h)
+        old, nxt = rank[who], rank[np.minimum(who + ahead, n)]
         packed = np.sort((old.astype(np.uint64) << np.uint64(2 * INDEX)) | (nxt.astype(np.uint64) << bits) | who.astype(np.uint64))
         who, group = (packed & np.uint64((1 << INDEX) - 1)).astype(np.int64), packed >> bits
         sa[slots] = who  # groups keep their slots, so the k-th of what is sorted goes to the k-th open slot
@@ -106,8 +112,8 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         sizes = np.diff(np.append(begins, len(who)))
         rank[who] = np.repeat(slots[begins], sizes) + 1
         slots = slots[np.repeat(sizes > 1, sizes)]
-        h *= 2
-    return sa
+        h += ahead
+    return sa, rank[:n]
 
 
 def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int, lane: int = 128) -> np.ndarray:
@@ -150,8 +156,8 @@ class Shard:
         sizes = np.array([len(t) for t in texts], np.int64)
         self.begin = np.cumsum(sizes) - sizes
         self.data = np.frombuffer(b"".join(texts), np.uint8)
-        sa = suffix_array(self.data)
-        run = np.cumsum(common_prefixes(self.data, sa, length) < length) - 1
+        sa, rank = ranked(self.data, length)
+        run = np.cumsum(np.diff(rank[sa], prepend=-1) != 0) - 1
         inside = np.arange(len(self.data)) - np.repeat(self.begin, sizes)
         starts = inside <= np.repeat(sizes, sizes) - length  # strings that lie in their segment
         sorted_starts = starts[sa]

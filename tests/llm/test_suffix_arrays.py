@@ -50,6 +50,25 @@ def test_suffix_array_and_common_prefixes(raw, lane, most):
     assert suffix_arrays.common_prefixes(data, sa, most, lane).tolist() == [shared(raw[want[k - 1] :], raw[want[k] :]) if k else 0 for k in range(len(raw))]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=80).map(lambda b: bytes(x % 3 for x in b)), st.integers(1, 40))
+def test_ranks_up_to_a_length_are_equal_where_the_bytes_are(raw, most):
+    sa, rank = suffix_arrays.ranked(np.frombuffer(raw, np.uint8), most)
+    heads = [raw[i : i + most] for i in range(len(raw))]
+    assert [heads[i] for i in sa] == sorted(heads) and sorted(sa.tolist()) == list(range(len(raw)))
+    assert all((rank[i] < rank[j]) == (heads[i] < heads[j]) for i in range(len(raw)) for j in range(len(raw)))
+
+
+def test_a_shard_is_sorted_no_further_than_strings_reach(monkeypatch):
+    """Copies of 5,000 bytes took ten rounds and a walk over common prefixes."""
+    rounds = []
+    monkeypatch.setattr(suffix_arrays.np, "sort", lambda x, f=np.sort: rounds.append(len(x)) or f(x))
+    monkeypatch.setattr(suffix_arrays, "common_prefixes", None)
+    text = bytes(random.Random(3).choices(b"abcd", k=5000))
+    assert suffix_arrays.Shard([text, text], np.array([1, 1]), 200).total.tolist().count(2.0) == 4801
+    assert len(rounds) <= 7
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.binary(max_size=60).map(lambda b: bytes(x % 2 for x in b)), max_size=5), st.integers(1, 20))
 def test_every_string_has_one_segment_and_equal_strings_one_anchor(texts, length):
