@@ -3,6 +3,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from lawtrace.llm import line_dedup, queries
 
 CASES = ((5, 1), (7, 1), (10, 2), (15, 3), (20, 4), (24, 4), (25, 5), (30, 6), (50, 10))
@@ -56,6 +58,20 @@ def test_edits_that_shift_words_and_lengths_on_both_sides_of_the_cut(spark):
     assert len(kept) <= 0.01 * len(docs), kept
 
 
+def test_lines_of_a_repeated_phrase_meet_only_if_they_share_runs(spark):
+    """Their single words, frequent ones too, were all keys, so that all such lines of a table met."""
+    rng = random.Random(13)
+    common = [f"c{i}" for i in range(30)]
+    phrases = [[rng.choice(common) if rng.random() < 0.5 else f"w{rng.getrandbits(40):x}" for _ in range(30)] for _ in range(12)]
+    lines = [p * 5 for p in phrases]
+    rows = [(i, " ".join(w)) for i, w in enumerate(lines)] + [(100 + i, " ".join(changed(rng, w, 30))) for i, w in enumerate(lines)]
+    f = spark.createDataFrame(rows, "i long, norm string").select("i", "norm", line_dedup.features(F.col("norm"), 0.8).alias("f")).select("i", "norm", "f.*")
+    keys = line_dedup.rare_keys(F.col("n"), F.col("d"), F.col("rare"), F.col("places"), F.col("norm"), 0.8)
+    of = {r.i: set(r["keys"]) for r in f.select("i", keys.alias("keys")).collect()}
+    assert all(of[i] & of[100 + i] for i in range(12))
+    assert sum(bool(of[i] & of[j]) for i in range(12) for j in range(i)) <= 6
+
+
 def test_short_lines_and_other_white_space(spark, tmp_path):
     long = "one two three four five six"
     docs = [(0, f"All rights reserved.\n{long}\nLes.\n...\n \t\n"), (1, "all  rights\treserved\none\ttwo three four five　six\nles\n...\nAll rights kept."), (2, "没有空格的一行\nLES\r"), (3, "没有空格的一行")]
