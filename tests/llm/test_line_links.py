@@ -85,3 +85,39 @@ def test_short_lines_and_other_white_space(spark, tmp_path):
     }
     left = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, table, str(tmp_path)).collect()}
     assert left == {0: docs[0][1], 1: "...\nAll rights kept.", 2: "没有空格的一行"}
+
+
+def featured(spark, lines):
+    f = spark.createDataFrame(list(enumerate(lines)), "i long, norm string").select("i", "norm", line_dedup.features(F.col("norm"), 0.8).alias("f"))
+    return f.select("i", "norm", "f.*")
+
+
+def test_lines_that_repeat_frequent_words_do_not_meet_by_them(spark):
+    """Runs of a frequent word alone, three in a row, were keys, so that all such lines of a table met."""
+    rng = random.Random(14)
+    lines = [["a"] * 20 + ["the"] * 20 + [f"w{rng.getrandbits(40):x}"] * 25 + [f"w{rng.getrandbits(40):x}"] * 15 for _ in range(10)]
+    f = featured(spark, [" ".join(w) for w in lines] + [" ".join(changed(rng, w, 16)) for w in lines])
+    keys = line_dedup.rare_keys(F.col("n"), F.col("d"), F.col("rare"), F.col("places"), F.col("norm"), 0.8)
+    # anchors are keys with their neighbours, which such lines may share at one place
+    of = {r.i: set(r["keys"]) for r in f.select("i", keys.alias("keys")).collect()}
+    assert all(of[i] & of[10 + i] for i in range(10))
+    few = line_dedup.repeated_keys(F.col("n"), F.col("norm"), F.array().cast("array<bigint>"), 0.8)
+    of = {r.i: set(r["keys"]) for r in f.select("i", few.alias("keys")).collect()}
+    assert all(of[i] & of[10 + i] for i in range(10))
+    assert not any(of[i] & of[j] for i in range(10) for j in range(i))
+
+
+def test_parities_of_long_lines_tell_unlinked_ones_apart(spark):
+    """128 bits could not: of 150 words each, two lines without a common word differ in about 58 bits, and 60 are allowed."""
+    rng = random.Random(15)
+    sizes = (47, 48, 59, 60, 100, 150, 159, 160, 200)
+    lines = [[f"w{rng.getrandbits(40):x}" for _ in range(n)] for n in sizes]
+    other = [[f"w{rng.getrandbits(40):x}" for _ in range(n)] for n in sizes]
+    near = [changed(rng, w, len(w) // 5) for w in lines]
+    longer = [w + [f"w{rng.getrandbits(40):x}" for _ in range(len(w) // 4)] for w in lines]  # over a step of PARITIES
+    f = featured(spark, [" ".join(w) for w in lines + near + longer + other]).select("i", "n", *line_dedup.bit_classes())
+    a, b = (f.withColumnsRenamed({c: f"{s}{c}" for c in f.columns}) for s in ("a_", "b_"))
+    passed = {(r.a_i, r.b_i) for r in a.crossJoin(b).where(line_dedup.plausible_pair("a_", "b_", 0.8)).select("a_i", "b_i").collect()}
+    k = len(sizes)
+    assert all((i, k + i) in passed and (i, 2 * k + i) in passed and (2 * k + i, i) in passed for i in range(k))
+    assert not any((i, 3 * k + i) in passed for i in range(k))
