@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from lawtrace.llm import line_dedup, queries
+from lawtrace.llm import line_dedup, linking, queries, storage
 
 CASES = ((5, 1), (7, 1), (10, 2), (15, 3), (20, 4), (24, 4), (25, 5), (30, 6), (50, 10))
 
@@ -121,3 +121,18 @@ def test_parities_of_long_lines_tell_unlinked_ones_apart(spark):
     k = len(sizes)
     assert all((i, k + i) in passed and (i, 2 * k + i) in passed and (2 * k + i, i) in passed for i in range(k))
     assert not any((i, 3 * k + i) in passed for i in range(k))
+
+
+def test_edges_between_groups_join_the_groups(spark, monkeypatch):
+    """All edges were walked anew, those within and between groups alike."""
+    rng = random.Random(16)
+    first = [(a, a + 1) for a in range(0, 60, 3)] + [(a, a + 2) for a in range(0, 60, 3)]
+    more = [(rng.randrange(30), rng.randrange(30)) for _ in range(40)] + [(0, 100), (100, 101), (200, 201)]
+    more = [(min(p), max(p)) for p in more if p[0] != p[1]]
+    seen, real = [], linking.components
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    labels = linking.components(frame(first), storage.Scratch(spark))
+    monkeypatch.setattr(linking, "components", lambda edges, scratch: seen.append(edges.count()) or real(edges, scratch))
+    got = dict(tuple(r) for r in linking.joined_groups(labels, frame(more), storage.Scratch(spark)).select("node", "label").collect())
+    want = dict(tuple(r) for r in real(frame(first + more), storage.Scratch(spark)).select("node", "label").collect())
+    assert got == want and seen[0] < len(set(more))
